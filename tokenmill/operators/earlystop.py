@@ -80,37 +80,46 @@ def _numbered(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
     )
 
 
+def climb(scores: np.ndarray, best: float | None, delta: float) -> list[int]:
+    """Positions of the improvements in never-falling ``scores``.
+
+    The next improvement is the first score to reach ``best + delta``, which a
+    binary search finds.  Without a ``best`` the first score is an improvement.
+    """
+    taken, at = [], 0
+    if best is None and len(scores):
+        taken, best, at = [0], scores[0], 1
+    while at < len(scores):
+        at += int(np.searchsorted(scores[at:], best + delta, side="left"))
+        if at < len(scores):
+            taken.append(at)
+            best = scores[at]
+            at += 1
+    return taken
+
+
 def _fold_records(rule: Patience):
-    """Greedy walk over the records of each run; input is sorted by run and position."""
+    """Walk over the records of each run; input is sorted by run and position."""
     delta, limit = rule.delta, rule.limit
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, best, last_ord, stopped = None, 0.0, 0, False
+        run, best, last_ord, stopped = None, None, 0, False
         for batch in batches:
             runs = batch["run_id"].to_numpy()
             scores = batch["score"].to_numpy()
             ords = batch["ord"].to_numpy()
             taken, flags = [], []
-            edges = np.flatnonzero(np.diff(runs)) + 1
-            for lo, hi in zip([0, *edges], [*edges, len(runs)]):
+            edges = [0, *(np.flatnonzero(np.diff(runs)) + 1), len(runs)]
+            for lo, hi in zip(edges, edges[1:]):
                 if lo == hi:
                     continue
-                at = lo
                 if runs[lo] != run:
-                    run, best, last_ord, stopped = runs[lo], scores[lo], ords[lo], False
-                    taken.append(lo)
-                    flags.append(False)
-                    at = lo + 1
-                while True:
-                    # records never fall, so the next improvement is a binary search away
-                    at += int(np.searchsorted(scores[at:hi], best + delta, side="left"))
-                    if at >= hi:
-                        break
-                    stopped = stopped or bool(ords[at] - last_ord - 1 >= limit)
-                    best, last_ord = scores[at], ords[at]
-                    taken.append(at)
+                    run, best, last_ord, stopped = runs[lo], None, ords[lo] - 1, False
+                for at in climb(scores[lo:hi], best, delta):
+                    stopped = stopped or bool(ords[lo + at] - last_ord - 1 >= limit)
+                    best, last_ord = scores[lo + at], ords[lo + at]
+                    taken.append(lo + at)
                     flags.append(stopped)
-                    at += 1
             yield batch.iloc[taken].assign(stopped_before=flags)[
                 ["bucket", "run_id", "step", "ord", "score", "stopped_before"]
             ]

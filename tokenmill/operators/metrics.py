@@ -37,5 +37,5 @@ def throughput(records: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame
 
 def wall_time(records: DataFrame, time_col: str, by: Sequence[str] = ("run_id",)) -> DataFrame:
     """Seconds between the first and the last record."""
-    epoch = F.unix_micros(F.col(time_col)) / 1e6
+    epoch = F.unix_micros(F.col(time_col).cast("timestamp")) / 1e6
     return records.groupBy(*by).agg((F.max(epoch) - F.min(epoch)).alias("seconds"))

@@ -9,12 +9,22 @@ one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Use ``value`` in ``body``, worked out once per row.
+
+    A value written out inside a lambda would be worked out again for every
+    element that the lambda is applied to.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def _doubles(scores: Column) -> Column:
     return scores.cast("array<double>")
 
@@ -23,17 +33,26 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, value: total + value)
 
 
+def _shifted_exps(scores: Column, top: Column) -> Column:
+    return F.transform(scores, lambda score: F.exp(score - top))
+
+
 def log_sum_exp(scores: Column) -> Column:
     """``ln(sum(exp(score)))``, shifted by the largest score so that nothing overflows."""
     scores = _doubles(scores)
-    top = F.array_max(scores)
-    return top + F.ln(_sum(F.transform(scores, lambda score: F.exp(score - top))))
+    return _let(F.array_max(scores), lambda top: top + F.ln(_sum(_shifted_exps(scores, top))))
 
 
 def softmax(scores: Column) -> Column:
     """Array of probabilities of an array of scores."""
-    shifted = log_sum_exp(scores)
-    return F.transform(_doubles(scores), lambda score: F.exp(score - shifted))
+    scores = _doubles(scores)
+    exps = _let(F.array_max(scores), lambda top: _shifted_exps(scores, top))
+    return _let(
+        exps,
+        lambda all_exps: _let(
+            _sum(all_exps), lambda total: F.transform(all_exps, lambda one: one / total)
+        ),
+    )
 
 
 def top_k(probabilities: Column, k: int = 50) -> Column:
@@ -62,18 +81,26 @@ def draw(weighted: Column, unit: Column) -> Column:
     The weights need not sum to one.  Returns the element.
     """
     start = F.struct(F.lit(0.0).alias("seen"), F.lit(0).alias("passed"))
-    target = unit * _sum(F.transform(weighted, lambda item: item.prob))
-    walked = F.aggregate(
-        weighted,
-        start,
-        lambda acc, item: F.struct(
-            (acc.seen + item.prob).alias("seen"),
-            F.when(acc.seen + item.prob <= target, acc.passed + 1)
-            .otherwise(acc.passed)
-            .alias("passed"),
-        ),
-    )
-    return gather(weighted, F.least(walked.passed, F.size(weighted) - 1))
+
+    def passed(items: Column, target: Column) -> Column:
+        walked = F.aggregate(
+            items,
+            start,
+            lambda acc, item: F.struct(
+                (acc.seen + item.prob).alias("seen"),
+                F.when(acc.seen + item.prob <= target, acc.passed + 1)
+                .otherwise(acc.passed)
+                .alias("passed"),
+            ),
+        )
+        return walked.passed
+
+    def pick(items: Column) -> Column:
+        target = unit * _sum(F.transform(items, lambda item: item.prob))
+        position = _let(target, lambda bound: passed(items, bound))
+        return gather(items, F.least(position, F.size(items) - 1))
+
+    return _let(weighted, pick)
 
 
 def gather(values: Column, position: Column) -> Column:

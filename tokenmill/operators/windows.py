@@ -125,4 +125,4 @@ def random_prompt(
 ) -> DataFrame:
     """One of the first ``rows`` windows, drawn by a hash of ``seed`` so that it can be repeated."""
     drawn = prompt_rows(pieces, shard_id, rows, length)
-    return drawn.orderBy(F.xxhash64(F.lit(seed), "window")).limit(1)
+    return drawn.orderBy(F.md5(F.format_string(f"{seed}:%d", "window").cast("binary"))).limit(1)

@@ -35,7 +35,7 @@ def run_line(
 
 def append_lines(lines: DataFrame, path: str) -> None:
     """Append a one-column table of lines to a log folder."""
-    lines.select(F.col(lines.columns[0]).alias("value")).write.mode("append").text(path)
+    lines.toDF("value").write.mode("append").text(path)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
