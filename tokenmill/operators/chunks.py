@@ -63,7 +63,10 @@ def chunk_rows(
     if chunk_size < 1:
         raise ValueError("chunk_size must be at least 1")
     order = RowOrder.fit(df, order_by, buckets)
-    if max_chunks is not None and max_chunks * chunk_size < order.n_rows:
-        df = df.where(order.before(df, max_chunks * chunk_size))
-        order = RowOrder.fit(df, order_by, buckets)
-    return ChunkedRows(df, order.realign(df, chunk_size), chunk_size)
+    n_rows = order.n_rows
+    if max_chunks is not None:
+        n_rows = min(n_rows, max_chunks * chunk_size)
+    order = order.realign(df, chunk_size, also=[n_rows])
+    if n_rows < order.n_rows:
+        df = df.where(order.before(df, n_rows))
+    return ChunkedRows(df, order.head(n_rows), chunk_size)

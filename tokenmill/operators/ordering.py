@@ -16,7 +16,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
 BUCKET = "bucket"
 SAMPLES_PER_BUCKET = 20
@@ -89,7 +89,10 @@ class RowOrder:
         """Bucket number of a row: a binary search of its key among the cuts."""
         if not self.bounds:
             return F.lit(0)
-        cuts = F.array(*[self._literal(bound) for bound in self.bounds])
+        if len(self.keys) == 1 and isinstance(self.key_schema[0].dataType, LongType):
+            cuts = long_array([bound[0] for bound in self.bounds])
+        else:
+            cuts = F.array(*[self._literal(bound) for bound in self.bounds])
         key = self._key()
         strides = [1 << bit for bit in reversed(range(len(self.bounds).bit_length()))]
         return F.aggregate(
@@ -102,9 +105,9 @@ class RowOrder:
 
     def totals(self, df: DataFrame, value: Column) -> list[int]:
         """Sum of ``value`` per bucket, as one driver-side number per bucket."""
-        sums = df.groupBy(self.bucket().alias(BUCKET)).agg(F.sum(value).alias("total"))
-        found = {row[BUCKET]: int(row["total"] or 0) for row in sums.collect()}
-        return [found.get(bucket, 0) for bucket in range(self.n_buckets)]
+        return totals_by_bucket(
+            df.select(self.bucket().alias(BUCKET), value.alias("value")), "value", self.n_buckets
+        )
 
     def place(self, df: DataFrame) -> DataFrame:
         """Shuffle the rows once, one partition per bucket."""
@@ -141,21 +144,31 @@ class RowOrder:
         )
         return {row["ord"]: tuple(row[k] for k in self.keys) for row in hits.collect()}
 
-    def realign(self, df: DataFrame, multiple: int) -> RowOrder:
+    def realign(self, df: DataFrame, multiple: int, also: Sequence[int] = ()) -> RowOrder:
         """Move the cuts so that each bucket starts at a multiple of ``multiple`` rows.
 
         Groups of ``multiple`` consecutive rows then never straddle two
         buckets, so grouping them after :meth:`place` needs no second shuffle.
+        The positions ``also`` become starts of buckets, too.
         """
-        if multiple == 1:
+        if multiple == 1 and not set(also) - {0, self.n_rows}:
             return self
-        starts = sorted({-(-base // multiple) * multiple for base in self.bases} - {0})
-        at = self.keys_at(df, [start for start in starts if start < self.n_rows])
+        starts = {-(-base // multiple) * multiple for base in self.bases} | set(also)
+        at = self.keys_at(df, [start for start in sorted(starts) if 0 < start < self.n_rows])
         kept = sorted(at)
         return RowOrder(
             self.keys, self.key_schema, tuple(at[o] for o in kept), (0, *kept), self.n_rows
         )
 
+    def head(self, n_rows: int) -> RowOrder:
+        """The order of the first ``n_rows`` rows alone; a bucket has to start there."""
+        if n_rows >= self.n_rows:
+            return self
+        kept = [base for base in self.bases if base < n_rows] or [0]
+        return RowOrder(
+            self.keys, self.key_schema, self.bounds[: len(kept) - 1], tuple(kept), n_rows
+        )
+
     def before(self, df: DataFrame, ordinal: int) -> Column:
         """Condition ``position < ordinal`` as a comparison on the key.
 
@@ -166,28 +179,32 @@ class RowOrder:
             return F.lit(False)
         if ordinal >= self.n_rows:
             return F.lit(True)
-        return self._key() < self._literal(self.keys_at(df, [ordinal])[ordinal])
-
+        if ordinal in self.bases:
+            key = self.bounds[self.bases.index(ordinal) - 1]
+        else:
+            key = self.keys_at(df, [ordinal])[ordinal]
+        return self._key() < self._literal(key)
 
-def with_running_total(
-    placed: DataFrame,
-    value: str,
-    bucket_totals: Sequence[int],
-    order_by: str = "ord",
-    out: str = "offset",
-    first: int = 0,
-) -> DataFrame:
-    """Add ``first`` plus the sum of ``value`` over all earlier rows.
 
-    ``placed`` must carry the bucket column of :meth:`RowOrder.place`.
-    """
-    bases = [first + base for base in exclusive_sums(bucket_totals)]
+def inside_total(value: str, order_by: str = "ord") -> Column:
+    """Sum of ``value`` over the earlier rows of the same bucket."""
     earlier = (
         Window.partitionBy(BUCKET).orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
     )
-    inside = F.coalesce(F.sum(value).over(earlier), F.lit(0))
-    base = F.element_at(long_array(bases), F.col(BUCKET) + 1)
-    return placed.withColumn(out, base + inside)
+    return F.coalesce(F.sum(value).over(earlier), F.lit(0))
+
+
+def bucket_base(bucket_totals: Sequence[int], first: int = 0) -> Column:
+    """``first`` plus the totals of all earlier buckets."""
+    bases = [first + base for base in exclusive_sums(bucket_totals)]
+    return F.element_at(long_array(bases), F.col(BUCKET) + 1)
+
+
+def totals_by_bucket(df: DataFrame, value: str, n_buckets: int) -> list[int]:
+    """Sum of ``value`` per bucket of a table that carries its bucket numbers."""
+    rows = df.groupBy(BUCKET).agg(F.sum(value).alias("total")).collect()
+    found = {row[BUCKET]: int(row["total"] or 0) for row in rows}
+    return [found.get(bucket, 0) for bucket in range(n_buckets)]
 
 
 def carry_into_buckets(per_bucket: DataFrame, group: str, carries: dict[str, Column]) -> DataFrame:

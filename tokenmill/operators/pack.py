@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tokenmill.operators.ordering import with_running_total
+from tokenmill.operators.ordering import bucket_base
 from tokenmill.operators.splits import TRAIN, VAL
 
 
@@ -24,57 +24,90 @@ class Packed:
     pieces: DataFrame
     total_tokens: int
     shard_size: int
+    max_shards: int | None = None
 
     def manifest(self) -> DataFrame:
-        return shard_manifest(self.pieces)
+        """``(split, shard_id, n_tokens)`` of each shard, from the token total alone.
+
+        It equals :func:`shard_manifest` of the pieces without a pass over them.
+        """
+        n_shards = -(-self.total_tokens // self.shard_size)
+        if self.max_shards is not None:
+            n_shards = min(n_shards, self.max_shards)
+        shard_id = F.col("id")
+        filled = shard_fill(shard_id, self.total_tokens, self.shard_size)
+        return self.pieces.sparkSession.range(n_shards).select(
+            shard_split(filled, self.shard_size).alias("split"),
+            shard_id.alias("shard_id"),
+            filled.alias("n_tokens"),
+        )
+
+
+def shard_fill(shard_id: Column, total_tokens: int, shard_size: int) -> Column:
+    """Tokens in a shard when ``total_tokens`` are packed in all."""
+    left = F.lit(total_tokens).cast("bigint") - shard_id * shard_size
+    return F.least(left, F.lit(shard_size).cast("bigint"))
+
+
+def shard_split(filled: Column, shard_size: int) -> Column:
+    """Full shards are training data, the unfilled one at the end validates."""
+    return F.when(filled == shard_size, TRAIN).otherwise(VAL)
 
 
 def cut_into_shards(
-    sequences: DataFrame, shard_size: int, total_tokens: int, max_shards: int | None = None
+    sequences: DataFrame, shard_size: int, max_shards: int | None = None
 ) -> DataFrame:
-    """Cut sequences with a known global ``offset`` at the shard borders.
-
-    Full shards are training data, the unfilled one at the end validates.
-    """
+    """Cut sequences with a known global ``offset`` at the shard borders."""
     if shard_size < 1:
         raise ValueError("shard_size must be at least 1")
     kept = sequences.where("n_tokens > 0")
     if max_shards is not None:
         kept = kept.where(F.col("offset") < max_shards * shard_size)
-    size = F.lit(shard_size).cast("bigint")
     first, last = f"offset div {shard_size}L", f"(offset + n_tokens - 1) div {shard_size}L"
     cut = kept.withColumn("shard_id", F.explode(F.expr(f"sequence({first}, {last})")))
     if max_shards is not None:
         cut = cut.where(F.col("shard_id") < max_shards)
-    shard_start = F.col("shard_id") * size
+    shard_start = F.col("shard_id") * shard_size
     from_token = F.greatest(shard_start - F.col("offset"), F.lit(0))
-    to_token = F.least(shard_start + size - F.col("offset"), F.col("n_tokens"))
-    filled = F.least(F.lit(total_tokens).cast("bigint") - shard_start, size)
-    columns = {
-        "split": F.when(filled == size, TRAIN).otherwise(VAL),
-        "shard_id": F.col("shard_id"),
-        "start": F.col("offset") + from_token - shard_start,
-        "n_tokens": to_token - from_token,
-        "shard_tokens": filled,
-    }
-    if "tokens" in sequences.columns:
-        columns["tokens"] = F.slice(
+    to_token = F.least(shard_start + shard_size - F.col("offset"), F.col("n_tokens"))
+    return cut.select(
+        "shard_id",
+        (F.col("offset") + from_token - shard_start).alias("start"),
+        (to_token - from_token).alias("n_tokens"),
+        F.slice(
             "tokens", (from_token + 1).cast("int"), (to_token - from_token).cast("int")
-        )
-    return cut.select(*[column.alias(name) for name, column in columns.items()])
+        ).alias("tokens"),
+    )
+
+
+def label_shards(pieces: DataFrame, total_tokens: int, shard_size: int) -> DataFrame:
+    """Add what depends on the token total: the size of the shard and its split."""
+    filled = shard_fill(F.col("shard_id"), total_tokens, shard_size)
+    return pieces.select(
+        shard_split(filled, shard_size).alias("split"),
+        "shard_id",
+        "start",
+        "n_tokens",
+        filled.alias("shard_tokens"),
+        "tokens",
+    )
 
 
 def pack(
     sequences: DataFrame,
     bucket_totals: Sequence[int],
     shard_size: int,
-    order_by: str = "chunk_id",
     max_shards: int | None = None,
 ) -> Packed:
-    """Pack bucketed sequences; ``bucket_totals`` are their tokens per bucket."""
-    placed = with_running_total(sequences, "n_tokens", bucket_totals, order_by)
+    """Pack sequences that know their ``bucket`` and the tokens before them ``inside`` it.
+
+    ``bucket_totals`` are the tokens per bucket, so that the global offset is
+    a projection.
+    """
     total = sum(bucket_totals)
-    return Packed(cut_into_shards(placed, shard_size, total, max_shards), total, shard_size)
+    placed = sequences.withColumn("offset", bucket_base(bucket_totals) + F.col("inside"))
+    pieces = cut_into_shards(placed, shard_size, max_shards)
+    return Packed(label_shards(pieces, total, shard_size), total, shard_size, max_shards)
 
 
 def shard_manifest(pieces: DataFrame) -> DataFrame:
@@ -86,3 +119,19 @@ def shards_per_split(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_shards"), F.sum("n_tokens").alias("n_tokens")
     )
+
+
+def with_progress(pieces: DataFrame, name: str = "packing") -> tuple[DataFrame, Observation]:
+    """Count tokens, shards touched and the fill of the open shard while the pieces are written.
+
+    The observation holds its numbers once an action on the returned table is done.
+    """
+    seen = Observation(name)
+    is_open = F.col("split") == VAL
+    observed = pieces.observe(
+        seen,
+        F.sum("n_tokens").alias("n_tokens"),
+        (F.max("shard_id") + 1).alias("n_shards"),
+        F.sum(F.when(is_open, F.col("n_tokens")).otherwise(0)).alias("open_tokens"),
+    )
+    return observed, seen

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenmill.functions.tokens import prefix_token
 from tokenmill.operators.chunks import ChunkedRows, chunk_rows
 from tokenmill.operators.encode import ByteEncoder, Encoder, add_tokens
-from tokenmill.operators.ordering import BUCKET
+from tokenmill.operators.ordering import inside_total, totals_by_bucket
 from tokenmill.operators.pack import Packed, pack
 from tokenmill.operators.splits import positional_split
 from tokenmill.staging import stage
@@ -48,30 +48,28 @@ def chunked(corpus: DataFrame, plan: CorpusPlan) -> ChunkedRows:
 def encoded_chunks(
     corpus: DataFrame, plan: CorpusPlan, encoder: Encoder | None = None
 ) -> tuple[DataFrame, list[int]]:
-    """Token sequences ``(bucket, chunk_id, n_rows, tokens, n_tokens)`` and tokens per bucket.
+    """Token sequences ``(bucket, chunk_id, n_rows, tokens, n_tokens, inside)`` and bucket totals."""
+    return encode_rows(chunked(corpus, plan), encoder or ByteEncoder())
 
-    If the encoder knows lengths without encoding, the totals come from a scan
-    without a shuffle.  If not, the corpus is encoded once into a staged table.
+
+def encode_rows(chunks: ChunkedRows, encoder: Encoder) -> tuple[DataFrame, list[int]]:
+    """Encode chunks; texts are shuffled once, token arrays never.
+
+    If the encoder knows lengths without encoding, the totals per bucket come
+    from a scan without a shuffle.  If not, the encoded chunks are written to a
+    staged table and the totals are read from its length column.
     """
-    encoder = encoder or ByteEncoder()
-    chunks = chunked(corpus, plan)
-    sequences = add_tokens(chunks.texts(), encoder)
+    sequences = add_tokens(chunks.texts(), encoder).withColumn(
+        "inside", inside_total("n_tokens", "chunk_id")
+    )
     length = encoder.length(F.col("text"))
     if length is None:
         sequences = stage(sequences, "encoded")
-        totals = _staged_totals(sequences, chunks.order.n_buckets)
-        placed = sequences.repartitionById(chunks.order.n_buckets, F.col(BUCKET))
-        return placed, totals
+        return sequences, totals_by_bucket(sequences, "n_tokens", chunks.order.n_buckets)
     texts = chunks.order.totals(chunks.rows, length)
     return sequences, [t + n for t, n in zip(texts, chunks.chunks_per_bucket)]
 
 
-def _staged_totals(sequences: DataFrame, n_buckets: int) -> list[int]:
-    rows = sequences.groupBy(BUCKET).agg(F.sum("n_tokens").alias("total")).collect()
-    found = {row[BUCKET]: row["total"] for row in rows}
-    return [found.get(bucket, 0) for bucket in range(n_buckets)]
-
-
 def corpus_to_shards(
     corpus: DataFrame, plan: CorpusPlan, encoder: Encoder | None = None
 ) -> Packed:

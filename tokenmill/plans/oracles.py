@@ -61,8 +61,9 @@ paired as (
 ),
 windows as (
   select split, shard_id, shard_tokens, w as "window",
-         min(token) filter (pos % 32 = 0) as x_first, min(y) filter (pos % 32 = 31) as y_last,
-         sum(token)::bigint as x_sum, sum(y)::bigint as y_sum
+         string_agg(token::varchar, ' ' order by pos) as x,
+         string_agg(y::varchar, ' ' order by pos) as y,
+         min(y) filter (pos % 32 = 31) as y_last
   from paired group by all having count(y) = 32
 )
 """
@@ -243,6 +244,11 @@ from manifest
 """,
     "shard_checksum": _TOKENS + _CHECKSUMS,
     "shard_limit": _MANIFEST + "select split, shard_id, n_tokens from manifest where shard_id < 5",
+    "pack_progress": _MANIFEST + """
+select sum(n_tokens)::bigint as n_tokens, count(*) as n_shards,
+       sum(case when split = 'val_set' then n_tokens else 0 end)::bigint as open_tokens
+from manifest
+""",
     "shard_listing": _MANIFEST + """
 select shard_id, n_tokens from manifest where split = 'train_set'
 """,
@@ -256,11 +262,11 @@ select split, count(*) as n_shards, sum(n_tokens)::bigint as n_tokens from manif
 """,
     "npy_round_trip": _TOKENS + _CHECKSUMS,
     "window_pairs": _TOKENS + _WINDOWS + """
-select split, shard_id, "window", x_first, y_last, x_sum, y_sum from windows
+select split, shard_id, "window", x, y from windows
 """,
     "rank_batch_rows": _TOKENS + _WINDOWS + """
 select split, shard_id, "window", (("window" // 4) % 4)::bigint as rank,
-       "window" // 16 as batch, ("window" % 4)::int as row, y_sum
+       "window" // 16 as batch, ("window" % 4)::int as row, y_last
 from windows
 where shard_tokens >= 128 * (("window" // 4) % 4 + 1) + 1
   and "window" // 16 < greatest(1, (shard_tokens - 1 - 128 * (("window" // 4) % 4)) // 512)

@@ -15,7 +15,7 @@ from tokenmill.operators.chunks import chunk_rows
 from tokenmill.operators.earlystop import Patience, early_stop, early_stop_trace, improvements
 from tokenmill.operators.encode import BpeEncoder, ByteEncoder, decode
 from tokenmill.operators.ordering import RowOrder
-from tokenmill.operators.pack import Packed, shards_per_split
+from tokenmill.operators.pack import Packed, shards_per_split, with_progress
 from tokenmill.operators.schedule import batch_schedule, by_step, eval_batches, training_manifest
 from tokenmill.operators.splits import TRAIN, VAL, positional_split
 from tokenmill.operators.windows import (
@@ -33,6 +33,7 @@ from tokenmill.sources.corpus import (
     corpus_counts,
     load_corpus,
     read_texts,
+    spread,
 )
 from tokenmill.sources.shards import (
     list_shards,
@@ -157,7 +158,7 @@ def split_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokens_per_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write each split as tokens with one delimiter, read it back and count."""
     path = new_path(spark, "split_tokens")
-    write_split_tokens(split_tokens(documents(spark, sf_dir)), path)
+    write_split_tokens(split_tokens(spread(documents(spark, sf_dir))), path)
     return split_token_counts(read_split_tokens(spark, path, ["train_set", "val_set", "test_set"]))
 
 
@@ -191,7 +192,8 @@ def byte_token_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_range_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids outside the storage range, and ids left by a vocabulary of 128."""
     tokens = ByteEncoder().encode(F.col("text"))
-    encoded = documents(spark, sf_dir, "lang").select("lang", tokens.alias("tokens"))
+    corpus = spread(documents(spark, sf_dir, "lang"))
+    encoded = corpus.select("lang", tokens.alias("tokens"))
     return encoded.groupBy("lang").agg(
         F.sum(F.size("tokens")).alias("n_tokens"),
         F.sum(out_of_range(F.col("tokens"))).alias("n_out_of_range"),
@@ -217,7 +219,8 @@ def bpe_chunk_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder = BpeEncoder.from_table(sample_ranks(spark))
-    tokens = documents(spark, sf_dir).select("doc_id", encoder.encode(F.col("text")).alias("ids"))
+    corpus = spread(documents(spark, sf_dir))
+    tokens = corpus.select("doc_id", encoder.encode(F.col("text")).alias("ids"))
     return tokens.select("doc_id", decode(F.col("ids"), encoder.ranks).alias("text"))
 
 
@@ -259,6 +262,16 @@ def shard_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(spark, sf_dir, max_shards=5).manifest()
 
 
+@register
+def pack_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the packing job reports while it writes."""
+    pieces, seen = with_progress(packed(spark, sf_dir).pieces)
+    write_shards(pieces, new_path(spark, "progress"))
+    return spark.createDataFrame(
+        [seen.get], "n_tokens bigint, n_shards bigint, open_tokens bigint"
+    )
+
+
 @register
 def shard_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return list_shards(spark, written_shards(spark, sf_dir), TRAIN).drop("split")
@@ -294,10 +307,8 @@ def window_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "split",
         "shard_id",
         "window",
-        F.element_at("x", 1).alias("x_first"),
-        F.element_at("y", -1).alias("y_last"),
-        id_sum(F.col("x")).alias("x_sum"),
-        id_sum(F.col("y")).alias("y_sum"),
+        F.array_join("x", " ").alias("x"),
+        F.array_join("y", " ").alias("y"),
     )
 
 
@@ -307,7 +318,7 @@ def rank_batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = next_token_pairs(token_windows(pieces, LENGTH), LENGTH)
     rows = rank_batches(pairs, BATCH_ROWS, LENGTH, RANKS)
     return rows.select(
-        "split", "shard_id", "window", "rank", "batch", "row", id_sum(F.col("y")).alias("y_sum")
+        "split", "shard_id", "window", "rank", "batch", "row", F.element_at("y", -1).alias("y_last")
     )
 
 

@@ -70,6 +70,17 @@ def load_corpus(
     return table.select(*keys, F.col(text_col).alias("text"), *extra_columns)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core something to do if a scan has fewer splits than there are cores.
+
+    A file cannot be split below its row groups, so a small corpus may arrive
+    in one partition, which matters before per-row work in Python.  A large
+    corpus has many splits and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def corpus_counts(corpus: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows and characters, in all or per group."""
     return corpus.groupBy(*by).agg(

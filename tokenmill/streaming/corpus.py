@@ -17,11 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tokenmill.operators.chunks import ChunkedRows
-from tokenmill.operators.encode import ByteEncoder, Encoder, add_tokens
-from tokenmill.operators.ordering import BUCKET, RowOrder, with_running_total
-from tokenmill.operators.pack import Packed, cut_into_shards
-from tokenmill.plans.corpus import CorpusPlan
-from tokenmill.staging import stage
+from tokenmill.operators.encode import ByteEncoder, Encoder
+from tokenmill.operators.ordering import RowOrder, bucket_base
+from tokenmill.operators.pack import Packed, cut_into_shards, label_shards
+from tokenmill.plans.corpus import CorpusPlan, encode_rows
 
 
 def stream_corpus(
@@ -67,40 +66,26 @@ class StreamPacker:
         keys = self.plan.order_by
         keys = [keys] if isinstance(keys, str) else list(keys)
         rows = self._with_open_rows(batch.select(*keys, "text"), batch_id - 1)
+        size = self.plan.chunk_size
         order = RowOrder.fit(rows, keys, self.plan.buckets)
-        closed = order.n_rows // self.plan.chunk_size * self.plan.chunk_size
+        closed = order.n_rows // size * size
+        order = order.realign(rows, size, also=[closed])
         is_closed = order.before(rows, closed)
         self._write(rows.where(~is_closed), "open", batch_id)
-        done = rows.where(is_closed)
-        pieces, next_offset = self._pack(done, keys, next_chunk, next_offset)
+        chunks = ChunkedRows(rows.where(is_closed), order.head(closed), size)
+        pieces, next_offset = self._pack(chunks, next_offset)
         self._write(pieces, "pieces", batch_id)
-        next_chunk += closed // self.plan.chunk_size
         state = spark.range(1).select(
-            F.lit(next_chunk).cast("bigint").alias("next_chunk"),
+            F.lit(next_chunk + closed // size).cast("bigint").alias("next_chunk"),
             F.lit(next_offset).cast("bigint").alias("next_offset"),
         )
         self._write(state, "state", batch_id)
 
-    def _pack(
-        self, rows: DataFrame, keys: list[str], next_chunk: int, next_offset: int
-    ) -> tuple[DataFrame, int]:
-        size = self.plan.chunk_size
-        order = RowOrder.fit(rows, keys, self.plan.buckets).realign(rows, size)
-        chunks = ChunkedRows(rows, order, size)
-        sequences = add_tokens(chunks.texts(), self.encoder)
-        length = self.encoder.length(F.col("text"))
-        if length is None:
-            sequences = stage(sequences, "encoded").repartitionById(order.n_buckets, F.col(BUCKET))
-            sums = sequences.groupBy(BUCKET).agg(F.sum("n_tokens").alias("n")).collect()
-            found = {row[BUCKET]: row["n"] for row in sums}
-            totals = [found.get(bucket, 0) for bucket in range(order.n_buckets)]
-        else:
-            texts = order.totals(rows, length)
-            totals = [t + n for t, n in zip(texts, chunks.chunks_per_bucket)]
-        placed = with_running_total(sequences, "n_tokens", totals, "chunk_id", first=next_offset)
-        end = next_offset + sum(totals)
-        cut = cut_into_shards(placed, self.plan.shard_size, end, self.plan.max_shards)
-        return cut.select("shard_id", "start", "n_tokens", "tokens"), end
+    def _pack(self, chunks: ChunkedRows, next_offset: int) -> tuple[DataFrame, int]:
+        sequences, totals = encode_rows(chunks, self.encoder)
+        placed = sequences.withColumn("offset", bucket_base(totals, next_offset) + F.col("inside"))
+        pieces = cut_into_shards(placed, self.plan.shard_size, self.plan.max_shards)
+        return pieces, next_offset + sum(totals)
 
     def _write(self, df: DataFrame, kind: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/{kind}/batch={batch_id}")
@@ -126,23 +111,15 @@ class StreamPacker:
         """
         if last_batch is None:
             last_batch = self.last_batch(spark)
-        next_chunk, next_offset = self._state(spark, last_batch)
+        _, end = self._state(spark, last_batch)
         pieces = spark.read.parquet(f"{self.path}/pieces").where(F.col("batch") <= last_batch)
-        keys = self.plan.order_by
-        keys = [keys] if isinstance(keys, str) else list(keys)
-        open_rows = spark.read.parquet(f"{self.path}/open/batch={last_batch}")
-        end = next_offset
         pieces = pieces.drop("batch")
-        if not open_rows.isEmpty():
-            tail, end = self._pack(open_rows, keys, next_chunk, next_offset)
+        open_rows = spark.read.parquet(f"{self.path}/open/batch={last_batch}")
+        n_open = open_rows.count()
+        if n_open:
+            keys = [c for c in open_rows.columns if c != "text"]
+            order = RowOrder.fit(open_rows, keys, buckets=1)
+            tail, end = self._pack(ChunkedRows(open_rows, order, self.plan.chunk_size), end)
             pieces = pieces.unionByName(tail)
         size = self.plan.shard_size
-        filled = F.least(F.lit(end).cast("bigint") - F.col("shard_id") * size, F.lit(size))
-        labelled = pieces.withColumns(
-            {
-                "split": F.when(filled == size, "train_set").otherwise("val_set"),
-                "shard_tokens": filled.cast("bigint"),
-            }
-        )
-        columns = ["split", "shard_id", "start", "n_tokens", "shard_tokens", "tokens"]
-        return Packed(labelled.select(*columns), end, size)
+        return Packed(label_shards(pieces, end, size), end, size, self.plan.max_shards)
