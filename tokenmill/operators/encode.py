@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 from typing import Any, Protocol
@@ -9,9 +10,16 @@ from typing import Any, Protocol
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import (
+    ArrayType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from tokenmill.functions.text import END_OF_TEXT
 from tokenmill.functions.tokens import ID_LIMIT, checked, prefix_token
@@ -32,6 +40,9 @@ class Encoder(Protocol):
     def length(self, text: Column) -> Column | None:
         """Token count without encoding, where there is such a thing."""
 
+    def batch_encoder(self) -> Callable[[pa.Array], pa.Array]:
+        """Function of an Arrow batch of texts, to be run in tasks."""
+
 
 def _list_array(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(lengths) + 1, dtype=np.int32)
@@ -39,8 +50,7 @@ def _list_array(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
-@F.arrow_udf(TOKENS)
-def _utf8_bytes(texts: pa.Array) -> pa.Array:
+def utf8_bytes(texts: pa.Array) -> pa.Array:
     blobs = texts.fill_null("").cast(pa.binary())
     lengths = pc.binary_length(blobs).to_numpy(zero_copy_only=False)
     _, offsets, data = blobs.buffers()
@@ -57,11 +67,14 @@ class ByteEncoder:
     n_vocab: int = 257
 
     def encode(self, text: Column) -> Column:
-        return _utf8_bytes(text)
+        return as_column(utf8_bytes, text)
 
     def length(self, text: Column) -> Column:
         return F.octet_length(F.coalesce(text, F.lit("")))
 
+    def batch_encoder(self) -> Callable[[pa.Array], pa.Array]:
+        return utf8_bytes
+
 
 @dataclass
 class BpeEncoder:
@@ -73,7 +86,11 @@ class BpeEncoder:
 
     ranks: dict[bytes, int]
     pattern: str = SPLIT_PATTERN
-    _udf: Any = field(default=None, repr=False)
+    _batch: Any = field(default=None, repr=False)
+
+    def __post_init__(self) -> None:
+        if len(self.ranks) >= ID_LIMIT:
+            raise ValueError(f"a vocabulary has at most {ID_LIMIT - 1} entries and a delimiter")
 
     @classmethod
     def from_table(cls, ranks: DataFrame, pattern: str = SPLIT_PATTERN) -> BpeEncoder:
@@ -89,26 +106,33 @@ class BpeEncoder:
         return len(self.ranks) + 1
 
     def encode(self, text: Column) -> Column:
-        if self._udf is None:
-            self._udf = _bpe_udf(self.ranks, self.pattern)
-        return self._udf(text)
+        return as_column(self.batch_encoder(), text)
 
     def length(self, text: Column) -> None:
         return None
 
+    def batch_encoder(self) -> Callable[[pa.Array], pa.Array]:
+        if self._batch is None:
+            context = SparkSession.getActiveSession().sparkContext
+            self._batch = _Codec(context.broadcast(self.ranks), self.pattern)
+        return self._batch
+
 
 def collect_vocabulary(ranks: DataFrame) -> dict[bytes, int]:
-    rows = ranks.select("bytes", "id").limit(ID_LIMIT + 1).collect()
+    """Read a table ``(id, bytes)`` to the driver after a check of its size."""
+    if ranks.count() >= ID_LIMIT:
+        raise ValueError(f"a vocabulary has at most {ID_LIMIT - 1} entries and a delimiter")
+    rows = ranks.select("bytes", "id").collect()
     table = {bytes(row["bytes"]): row["id"] for row in rows}
-    if len(rows) > ID_LIMIT or len(table) != len(rows):
-        raise ValueError("a vocabulary has at most 2**16 distinct entries")
+    if len(table) != len(rows):
+        raise ValueError("vocabulary entries must be distinct")
     if sorted(table.values()) != list(range(len(table))):
         raise ValueError("vocabulary ids must run from 0 without gaps")
     return table
 
 
 class _Codec:
-    """Tokenizer that is sent as its rank table and built once per Python worker."""
+    """Batch encoder that is sent as its rank table and built once per task."""
 
     def __init__(self, ranks_broadcast: Any, pattern: str):
         self.ranks = ranks_broadcast
@@ -125,47 +149,72 @@ class _Codec:
             special_tokens={},
         )
 
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        encode = self.encoding.encode_ordinary
+        ids = [np.asarray(encode(text or ""), dtype=np.int32) for text in texts.to_pylist()]
+        lengths = np.fromiter((len(one) for one in ids), np.int64, len(ids))
+        return _list_array(np.concatenate(ids) if ids else np.empty(0), lengths)
+
     def __getstate__(self) -> dict[str, Any]:
         return {"ranks": self.ranks, "pattern": self.pattern}
 
 
-def _bpe_udf(ranks: dict[bytes, int], pattern: str) -> Any:
-    from pyspark.sql import SparkSession
-
-    codec = _Codec(SparkSession.getActiveSession().sparkContext.broadcast(ranks), pattern)
-
+def as_column(batch: Callable[[pa.Array], pa.Array], text: Column) -> Column:
     @F.arrow_udf(TOKENS)
     def encode(texts: pa.Array) -> pa.Array:
-        encoding = codec.encoding
-        ids = [
-            np.asarray(encoding.encode_ordinary(text or ""), dtype=np.int32)
-            for text in texts.to_pylist()
-        ]
-        lengths = np.fromiter((len(one) for one in ids), np.int64, len(ids))
-        return _list_array(np.concatenate(ids) if ids else np.empty(0), lengths)
+        return batch(texts)
 
-    return encode
+    return encode(text)
 
 
-def add_tokens(
-    df: DataFrame, encoder: Encoder, text_col: str = "text", delimiter: bool = True
+def delimited(tokens: Column, eot: int) -> Column:
+    """The delimiter id in front; ids too large for the storage type fail the job."""
+    tokens = prefix_token(tokens, eot)
+    return checked(tokens) if eot >= ID_LIMIT else tokens
+
+
+def encode_in_order(
+    texts: DataFrame, encoder: Encoder, group: str, order_by: str, text_col: str = "text"
 ) -> DataFrame:
-    """Replace the text by ``tokens`` and ``n_tokens``; the delimiter id comes first.
+    """Replace the text by ``tokens`` and ``n_tokens`` and add ``inside``, the tokens before the row.
 
-    If the encoder can tell lengths from the text alone, a job that needs only
-    ``n_tokens`` never runs the encoder.
+    Every ``group`` must lie in one partition already, so nothing is shuffled:
+    rows are sorted where they are and the count runs along with the encoder.
     """
-    text = F.col(text_col)
-    tokens, length = encoder.encode(text), encoder.length(text)
-    if delimiter:
-        tokens = prefix_token(tokens, encoder.eot)
-        length = None if length is None else length + 1
-    if encoder.eot >= ID_LIMIT:
-        tokens = checked(tokens)
-    if length is None:
-        df = df.withColumn("tokens", tokens)
-        return df.withColumn("n_tokens", F.size("tokens").cast("bigint")).drop(text_col)
-    return df.withColumns({"tokens": tokens, "n_tokens": length.cast("bigint")}).drop(text_col)
+    batch_encoder, eot = encoder.batch_encoder(), encoder.eot
+    kept = [field for field in texts.schema if field.name != text_col]
+    schema = StructType(
+        [
+            *kept,
+            StructField("tokens", TOKENS),
+            StructField("n_tokens", LongType()),
+            StructField("inside", LongType()),
+        ]
+    )
+    names = [field.name for field in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, seen = None, 0
+        for batch in batches:
+            tokens = batch_encoder(batch.column(text_col))
+            firsts = tokens.offsets.to_numpy()[:-1]
+            values = np.insert(tokens.values.to_numpy(zero_copy_only=False), firsts, eot)
+            lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False) + 1
+            inside = []
+            for owner, n in zip(batch.column(group).to_pylist(), lengths.tolist()):
+                if owner != current:
+                    current, seen = owner, 0
+                inside.append(seen)
+                seen += n
+            columns = [batch.column(name) for name in names]
+            columns += [
+                _list_array(values, lengths),
+                pa.array(lengths, pa.int64()),
+                pa.array(inside, pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "tokens", "n_tokens", "inside"])
+
+    return texts.sortWithinPartitions(group, order_by).mapInArrow(run, schema)
 
 
 def decode(tokens: Column, vocabulary: dict[bytes, int]) -> Column:
@@ -174,8 +223,6 @@ def decode(tokens: Column, vocabulary: dict[bytes, int]) -> Column:
     The delimiter id, which follows the vocabulary, reads as its marker text.
     Byte sequences that are not valid UTF-8 become replacement characters.
     """
-    from pyspark.sql import SparkSession
-
     by_id = [piece for piece, _ in sorted(vocabulary.items(), key=lambda item: item[1])]
     by_id.append(END_OF_TEXT.encode())
     shared = SparkSession.getActiveSession().sparkContext.broadcast(by_id)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tokenmill.functions.tokens import prefix_token
 from tokenmill.operators.chunks import ChunkedRows, chunk_rows
-from tokenmill.operators.encode import ByteEncoder, Encoder, add_tokens
-from tokenmill.operators.ordering import inside_total, totals_by_bucket
+from tokenmill.operators.encode import ByteEncoder, Encoder, delimited, encode_in_order
+from tokenmill.operators.ordering import BUCKET, inside_total, totals_by_bucket
 from tokenmill.operators.pack import Packed, pack
 from tokenmill.operators.splits import positional_split
 from tokenmill.staging import stage
@@ -59,15 +59,19 @@ def encode_rows(chunks: ChunkedRows, encoder: Encoder) -> tuple[DataFrame, list[
     from a scan without a shuffle.  If not, the encoded chunks are written to a
     staged table and the totals are read from its length column.
     """
-    sequences = add_tokens(chunks.texts(), encoder).withColumn(
-        "inside", inside_total("n_tokens", "chunk_id")
-    )
+    texts = chunks.texts()
     length = encoder.length(F.col("text"))
     if length is None:
-        sequences = stage(sequences, "encoded")
+        sequences = stage(encode_in_order(texts, encoder, BUCKET, "chunk_id"), "encoded")
         return sequences, totals_by_bucket(sequences, "n_tokens", chunks.order.n_buckets)
-    texts = chunks.order.totals(chunks.rows, length)
-    return sequences, [t + n for t, n in zip(texts, chunks.chunks_per_bucket)]
+    sequences = (
+        texts.withColumn("n_tokens", (length + 1).cast("bigint"))
+        .withColumn("inside", inside_total("n_tokens", "chunk_id"))
+        .withColumn("tokens", delimited(encoder.encode(F.col("text")), encoder.eot))
+        .drop("text")
+    )
+    lengths = chunks.order.totals(chunks.rows, length)
+    return sequences, [t + n for t, n in zip(lengths, chunks.chunks_per_bucket)]
 
 
 def corpus_to_shards(
