@@ -1,13 +1,19 @@
 """Early stopping over the loss series of many runs.
 
 A step improves if its score reaches the best score so far plus ``delta``; the
-best score moves only then, so this is a true fold.  Two facts make it a
-distributed job.  First, every improvement is a record, a score no smaller
-than all before it, and records come from a running maximum, which is computed
-per key range with one carried value per range.  So a run may hold most of the
-table and still no task holds the run.  Second, between two improvements
-counters and flags follow from positions alone.  Only the records go through
-the fold, in order and batch by batch.
+best score moves only then, so this is a true fold.  A run may hold most of the
+table, so no task may hold a run:
+
+* The table is cut into key ranges (buckets).  A running maximum, carried over
+  the bucket borders, leaves only the records, the scores above all earlier
+  ones; nothing else can improve.
+* The fold then needs one number per bucket, the best score that a run brings
+  into it.  Only runs that cross a border have such a number, at most one per
+  bucket.  It is found bucket by bucket, but a bucket whose highest score is
+  out of reach is passed over without reading it.
+* With these numbers known, all buckets are folded at the same time.
+
+Counters and flags follow from the positions of the improvements alone.
 """
 
 from __future__ import annotations
@@ -48,7 +54,7 @@ class Patience:
         return max(self.patience, 1)
 
 
-IMPROVEMENT = "bucket int, run_id bigint, step bigint, ord bigint, score double, stopped_before boolean"
+RECORD = "bucket int, run_id bigint, step bigint, ord bigint, score double"
 
 
 def _numbered(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
@@ -98,45 +104,132 @@ def climb(scores: np.ndarray, best: float | None, delta: float) -> list[int]:
     return taken
 
 
-def _fold_records(rule: Patience):
-    """Walk over the records of each run; input is sorted by run and position."""
-    delta, limit = rule.delta, rule.limit
+def _records(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
+    """Rows that can improve, as a staged table with one folder per bucket.
+
+    A score equal to the highest before it improves only if ``delta`` is too
+    small to change it.
+    """
+    score, before = F.col("score"), F.col("max_before")
+    can_improve = before.isNull() | (score > before) | (
+        (score == before) & (score + F.lit(rule.delta) == score)
+    )
+    kept = _numbered(series, order, rule).where(can_improve)
+    return stage(kept.select("run_id", "step", "ord", "score", BUCKET), "records", [BUCKET])
+
+
+def _fold(records: DataFrame, entries: DataFrame, rule: Patience) -> DataFrame:
+    """Improvements among the records, given the best score ``entry`` a run brings into a bucket.
+
+    ``entries`` has at most one row per bucket border, which bounds the
+    broadcast; a group is the share of one run in one bucket.
+    """
+    delta = rule.delta
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        run, best, last_ord, stopped = None, None, 0, False
+        segment, best = None, None
         for batch in batches:
-            runs = batch["run_id"].to_numpy()
-            scores = batch["score"].to_numpy()
-            ords = batch["ord"].to_numpy()
-            taken, flags = [], []
-            edges = [0, *(np.flatnonzero(np.diff(runs)) + 1), len(runs)]
+            runs, buckets = batch["run_id"].to_numpy(), batch["bucket"].to_numpy()
+            scores, entry = batch["score"].to_numpy(), batch["entry"].to_numpy()
+            taken: list[int] = []
+            borders = (np.diff(runs) != 0) | (np.diff(buckets) != 0)
+            edges = [0, *(np.flatnonzero(borders) + 1), len(runs)]
             for lo, hi in zip(edges, edges[1:]):
                 if lo == hi:
                     continue
-                if runs[lo] != run:
-                    run, best, last_ord, stopped = runs[lo], None, ords[lo] - 1, False
-                for at in climb(scores[lo:hi], best, delta):
-                    stopped = stopped or bool(ords[lo + at] - last_ord - 1 >= limit)
-                    best, last_ord = scores[lo + at], ords[lo + at]
-                    taken.append(lo + at)
-                    flags.append(stopped)
-            yield batch.iloc[taken].assign(stopped_before=flags)[
-                ["bucket", "run_id", "step", "ord", "score", "stopped_before"]
-            ]
+                if (runs[lo], buckets[lo]) != segment:
+                    segment = (runs[lo], buckets[lo])
+                    best = None if np.isnan(entry[lo]) else entry[lo]
+                found = climb(scores[lo:hi], best, delta)
+                if found:
+                    best = scores[lo + found[-1]]
+                    taken.extend(lo + at for at in found)
+            yield batch.iloc[taken][["bucket", "run_id", "step", "ord", "score"]]
+
+    return (
+        records.join(F.broadcast(entries), [BUCKET, "run_id"], "left")
+        .repartition(BUCKET, "run_id")
+        .sortWithinPartitions(BUCKET, "run_id", "ord")
+        .mapInPandas(walk, RECORD)
+    )
 
-    return walk
+
+def _entries(records: DataFrame, rule: Patience) -> DataFrame:
+    """Best score with which each run enters each further bucket: ``(bucket, run_id, entry)``.
+
+    What reaches the driver is at most two rows per bucket: the highest record
+    of each run that has records in more than one.
+    """
+    spark = records.sparkSession
+    n_buckets = F.count(F.lit(1)).over(Window.partitionBy("run_id"))
+    crossing = (
+        records.groupBy("run_id", BUCKET)
+        .agg(F.max("score").alias("top"))
+        .withColumn("n_buckets", n_buckets)
+        .where("n_buckets > 1")
+    )
+    tops: dict[int, list[tuple[int, float]]] = {}
+    for row in sorted(crossing.collect(), key=lambda row: row[BUCKET]):
+        tops.setdefault(row["run_id"], []).append((row[BUCKET], row["top"]))
+    known: dict[tuple[int, int], float] = {}
+
+    def table(entries: dict[tuple[int, int], float | None]) -> DataFrame:
+        rows = [(bucket, run, entry) for (bucket, run), entry in entries.items()]
+        return spark.createDataFrame(rows, "bucket int, run_id bigint, entry double")
+
+    if rule.delta == 0:  # every record improves, so the best score is the highest one
+        for run, per_bucket in tops.items():
+            for (_, top), (bucket, _) in zip(per_bucket, per_bucket[1:]):
+                known[bucket, run] = top
+        return table(known)
+
+    open_segments = {(per_bucket[0][0], run): None for run, per_bucket in tops.items()}
+    while open_segments:
+        current = table(open_segments)
+        at = sorted({bucket for bucket, _ in open_segments})
+        segment = records.where(F.col(BUCKET).isin(at)).join(
+            F.broadcast(current.select(BUCKET, "run_id")), [BUCKET, "run_id"], "left_semi"
+        )
+        exits = _fold(segment, current, rule).groupBy(BUCKET, "run_id").agg(F.max("score").alias("best"))
+        best = {(row[BUCKET], row["run_id"]): row["best"] for row in exits.collect()}
+        following: dict[tuple[int, int], float | None] = {}
+        for (bucket, run), entry in open_segments.items():
+            leaving = best.get((bucket, run), entry)
+            for later, top in tops[run]:
+                if later <= bucket:
+                    continue
+                known[later, run] = leaving
+                if top >= leaving + rule.delta:
+                    following[later, run] = leaving
+                    break
+        open_segments = following
+    return table(known)
 
 
 def _improvements(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
-    records = (
-        _numbered(series, order, rule)
-        .where("max_before is null or score >= max_before")
-        .select(BUCKET, "run_id", "step", "ord", "score")
+    """Staged improvements ``(bucket, run_id, step, ord, score, stopped_before)``."""
+    records = _records(series, order, rule)
+    found = stage(_fold(records, _entries(records, rule), rule), "improvements")
+    per_bucket = found.groupBy(BUCKET, "run_id").agg(F.max("ord").alias("last_ord"))
+    carried = carry_into_buckets(per_bucket, "run_id", {"ord_in": F.max("last_ord")})
+    in_run = Window.partitionBy(BUCKET, "run_id").orderBy("ord")
+    gaps = (
+        found.withColumn("ord_before", F.lag("ord").over(in_run))
+        .join(F.broadcast(carried), [BUCKET, "run_id"], "left")
+        .withColumn("ord_before", F.coalesce("ord_before", "ord_in"))
     )
-    return (
-        records.repartition("run_id")
-        .sortWithinPartitions("run_id", "ord")
-        .mapInPandas(_fold_records(rule), IMPROVEMENT)
+    stops = (
+        gaps.where(F.col("ord") - F.col("ord_before") - 1 >= rule.limit)
+        .groupBy("run_id")
+        .agg(F.min(F.col("ord_before") + rule.limit).alias("stop_ord"))
+    )
+    return found.join(stops, "run_id", "left").select(
+        BUCKET,
+        "run_id",
+        "step",
+        "ord",
+        "score",
+        F.coalesce(F.col("ord") > F.col("stop_ord"), F.lit(False)).alias("stopped_before"),
     )
 
 
@@ -180,7 +273,7 @@ def early_stop_trace(series: DataFrame, rule: Patience, buckets: int | None = No
     carried one.
     """
     order = RowOrder.fit(series, ["run_id", "step"], buckets)
-    better = stage(_improvements(series, order, rule), "improvements")
+    better = _improvements(series, order, rule)
     mark = F.struct("ord", F.col("score").alias("best"), "stopped_before")
     per_bucket = better.groupBy(BUCKET, "run_id").agg(F.max_by(mark, "ord").alias("mark"))
     present = series.groupBy(order.bucket().alias(BUCKET), "run_id").agg(

@@ -9,7 +9,7 @@ per bucket is enough to turn positions inside a bucket into global positions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 from typing import Any
@@ -21,6 +21,7 @@ from pyspark.sql.types import LongType, StructType
 BUCKET = "bucket"
 SAMPLES_PER_BUCKET = 20
 MIN_ROWS_PER_BUCKET = 128
+FEW_CUTS = 32
 
 
 def long_array(values: Sequence[int]) -> Column:
@@ -85,17 +86,26 @@ class RowOrder:
         ]
         return parts[0] if len(parts) == 1 else F.struct(*parts)
 
+    def _reaches(self, bound: Sequence[Any]) -> Column:
+        """Condition ``key >= bound`` on the key columns, compared one after the other."""
+        reached = F.lit(True)
+        for name, field, value in reversed(list(zip(self.keys, self.key_schema, bound))):
+            cut = F.lit(value).cast(field.dataType)
+            reached = (F.col(name) > cut) | ((F.col(name) == cut) & reached)
+        return reached
+
     def bucket(self) -> Column:
-        """Bucket number of a row: a binary search of its key among the cuts."""
-        if not self.bounds:
-            return F.lit(0)
+        """Bucket number of a row: how many cuts its key has reached."""
+        if len(self.bounds) <= FEW_CUTS:  # plain comparisons are compiled
+            reached = [F.when(self._reaches(bound), 1).otherwise(0) for bound in self.bounds]
+            return sum(reached, F.lit(0))
         if len(self.keys) == 1 and isinstance(self.key_schema[0].dataType, LongType):
             cuts = long_array([bound[0] for bound in self.bounds])
         else:
             cuts = F.array(*[self._literal(bound) for bound in self.bounds])
         key = self._key()
         strides = [1 << bit for bit in reversed(range(len(self.bounds).bit_length()))]
-        return F.aggregate(
+        return F.aggregate(  # a binary search
             F.array(*[F.lit(stride) for stride in strides]),
             F.lit(0),
             lambda below, stride: F.when(
@@ -153,8 +163,11 @@ class RowOrder:
         """
         if multiple == 1 and not set(also) - {0, self.n_rows}:
             return self
-        starts = {-(-base // multiple) * multiple for base in self.bases} | set(also)
-        at = self.keys_at(df, [start for start in sorted(starts) if 0 < start < self.n_rows])
+        return self.recut(df, {-(-base // multiple) * multiple for base in self.bases} | set(also))
+
+    def recut(self, df: DataFrame, starts: Iterable[int]) -> RowOrder:
+        """The same order with buckets that start at the given positions."""
+        at = self.keys_at(df, [start for start in sorted(set(starts)) if 0 < start < self.n_rows])
         kept = sorted(at)
         return RowOrder(
             self.keys, self.key_schema, tuple(at[o] for o in kept), (0, *kept), self.n_rows

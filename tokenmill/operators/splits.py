@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.operators.ordering import RowOrder
@@ -19,11 +19,23 @@ def positional_split(
     the two cut positions are looked up, so the rows themselves are not moved:
     the label is a comparison of the row's key with two literals.
     """
+    order, starts = split_starts(df, order_by, train, val)
+    return df.withColumn("split", split_label(order, df, starts))
+
+
+def split_starts(
+    df: DataFrame, order_by: str | list[str], train: float, val: float
+) -> tuple[RowOrder, tuple[int, int]]:
+    """Order of the table, cut where the validation and the test rows start."""
     order = RowOrder.fit(df, order_by)
     n_train, n_val = int(train * order.n_rows), int(val * order.n_rows)
-    return df.withColumn(
-        "split",
-        F.when(order.before(df, n_train), TRAIN)
-        .when(order.before(df, n_train + n_val), VAL)
-        .otherwise(TEST),
+    starts = (n_train, n_train + n_val)
+    return order.recut(df, starts), starts
+
+
+def split_label(order: RowOrder, df: DataFrame, starts: tuple[int, int]) -> Column:
+    return (
+        F.when(order.before(df, starts[0]), TRAIN)
+        .when(order.before(df, starts[1]), VAL)
+        .otherwise(TEST)
     )

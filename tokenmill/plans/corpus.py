@@ -12,7 +12,8 @@ from tokenmill.operators.chunks import ChunkedRows, chunk_rows
 from tokenmill.operators.encode import ByteEncoder, Encoder, delimited, encode_in_order
 from tokenmill.operators.ordering import BUCKET, inside_total, totals_by_bucket
 from tokenmill.operators.pack import Packed, pack
-from tokenmill.operators.splits import positional_split
+from tokenmill.operators.splits import split_label, split_starts
+from tokenmill.sources.corpus import spread
 from tokenmill.staging import stage
 
 
@@ -92,20 +93,16 @@ def split_tokens(
     """Positional splits as token sequences with one delimiter in front of each split.
 
     One row per document; ``order_by`` gives the order within the split.  The
-    rows are not shuffled: the first key of each split, which gets the
-    delimiter, is found by a small aggregation.
+    rows are not moved for this: the first key of each split, which gets the
+    delimiter, is looked up among the keys.
     """
     encoder = encoder or ByteEncoder()
-    labelled = positional_split(corpus, order_by, train, val)
-    firsts = [
-        row["first"]
-        for row in labelled.groupBy("split").agg(F.min(order_by).alias("first")).collect()
-    ]
+    order, starts = split_starts(corpus, order_by, train, val)
+    firsts = order.keys_at(corpus, sorted({0, *starts}))
     tokens = encoder.encode(F.col("text"))
-    return labelled.select("split", order_by, "text").select(
-        "split",
+    is_first = F.col(order_by).isin([key for (key,) in firsts.values()])
+    return spread(corpus.select(order_by, "text")).select(
+        split_label(order, corpus, starts).alias("split"),
         F.col(order_by).alias("seq"),
-        F.when(F.col(order_by).isin(firsts), prefix_token(tokens, encoder.eot))
-        .otherwise(tokens)
-        .alias("tokens"),
+        F.when(is_first, prefix_token(tokens, encoder.eot)).otherwise(tokens).alias("tokens"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,13 +30,14 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/tokenmill/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, folders: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
     The table survives the loss of any executor, and later readers scan only
-    the columns they use, which a checkpointed DataFrame cannot do.
+    the columns they use, which a checkpointed DataFrame cannot do.  With
+    ``folders``, filters on these columns choose the files to read.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
