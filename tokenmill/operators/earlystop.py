@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenmill.operators.ordering import BUCKET, RowOrder, carry_into_buckets
+from tokenmill.operators.ordering import BUCKET, MIN_NARROW_ROWS, RowOrder, with_carried
 from tokenmill.staging import stage
 
 
@@ -63,26 +63,19 @@ def _numbered(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
     per_bucket = scored.groupBy(order.bucket().alias(BUCKET), "run_id").agg(
         F.max("score").alias("max_score"), F.count(F.lit(1)).alias("n_rows")
     )
-    carried = carry_into_buckets(
-        per_bucket, "run_id", {"max_in": F.max("max_score"), "rows_in": F.sum("n_rows")}
-    )
     in_run = Window.partitionBy(BUCKET, "run_id").orderBy("step")
     earlier = in_run.rowsBetween(Window.unboundedPreceding, -1)
-    # at most one carried row per bucket, so the broadcast side is bounded
-    return (
-        order.place(scored)
-        .withColumns(
-            {"ord": F.row_number().over(in_run), "max_before": F.max("score").over(earlier)}
-        )
-        .join(F.broadcast(carried), [BUCKET, "run_id"], "left")
-        .select(
-            BUCKET,
-            "run_id",
-            "step",
-            "score",
-            (F.col("ord") + F.coalesce("rows_in", F.lit(0))).alias("ord"),
-            F.greatest("max_before", "max_in").alias("max_before"),
-        )
+    rows = order.place(scored).withColumns(
+        {"ord": F.row_number().over(in_run), "max_before": F.max("score").over(earlier)}
+    )
+    carries = {"max_in": (F.max("max_score"), "double"), "rows_in": (F.sum("n_rows"), "bigint")}
+    return with_carried(rows, order, per_bucket, "run_id", carries).select(
+        BUCKET,
+        "run_id",
+        "step",
+        "score",
+        (F.col("ord") + F.coalesce("rows_in", F.lit(0))).alias("ord"),
+        F.greatest("max_before", "max_in").alias("max_before"),
     )
 
 
@@ -154,13 +147,20 @@ def _fold(records: DataFrame, entries: DataFrame, rule: Patience) -> DataFrame:
     )
 
 
-def _entries(records: DataFrame, rule: Patience) -> DataFrame:
+def _entries(records: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
     """Best score with which each run enters each further bucket: ``(bucket, run_id, entry)``.
 
     What reaches the driver is at most two rows per bucket: the highest record
     of each run that has records in more than one.
     """
     spark = records.sparkSession
+
+    def table(entries: dict[tuple[int, int], float | None]) -> DataFrame:
+        rows = [(bucket, run, entry) for (bucket, run), entry in entries.items()]
+        return spark.createDataFrame(rows, "bucket int, run_id bigint, entry double")
+
+    if order.n_buckets == 1:
+        return table({})
     n_buckets = F.count(F.lit(1)).over(Window.partitionBy("run_id"))
     crossing = (
         records.groupBy("run_id", BUCKET)
@@ -173,10 +173,6 @@ def _entries(records: DataFrame, rule: Patience) -> DataFrame:
         tops.setdefault(row["run_id"], []).append((row[BUCKET], row["top"]))
     known: dict[tuple[int, int], float] = {}
 
-    def table(entries: dict[tuple[int, int], float | None]) -> DataFrame:
-        rows = [(bucket, run, entry) for (bucket, run), entry in entries.items()]
-        return spark.createDataFrame(rows, "bucket int, run_id bigint, entry double")
-
     if rule.delta == 0:  # every record improves, so the best score is the highest one
         for run, per_bucket in tops.items():
             for (_, top), (bucket, _) in zip(per_bucket, per_bucket[1:]):
@@ -207,30 +203,25 @@ def _entries(records: DataFrame, rule: Patience) -> DataFrame:
 
 
 def _improvements(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
-    """Staged improvements ``(bucket, run_id, step, ord, score, stopped_before)``."""
+    """Staged improvements ``(bucket, run_id, step, ord, score)``."""
     records = _records(series, order, rule)
-    found = stage(_fold(records, _entries(records, rule), rule), "improvements")
+    return stage(_fold(records, _entries(records, order, rule), rule), "improvements")
+
+
+def _stops(found: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
+    """Position ``stop_ord`` of the first stop between two improvements, for runs that have one."""
     per_bucket = found.groupBy(BUCKET, "run_id").agg(F.max("ord").alias("last_ord"))
-    carried = carry_into_buckets(per_bucket, "run_id", {"ord_in": F.max("last_ord")})
     in_run = Window.partitionBy(BUCKET, "run_id").orderBy("ord")
-    gaps = (
-        found.withColumn("ord_before", F.lag("ord").over(in_run))
-        .join(F.broadcast(carried), [BUCKET, "run_id"], "left")
-        .withColumn("ord_before", F.coalesce("ord_before", "ord_in"))
+    rows = found.withColumn("ord_before", F.lag("ord").over(in_run))
+    carries = {"ord_in": (F.max("last_ord"), "bigint")}
+    gaps = with_carried(rows, order, per_bucket, "run_id", carries).withColumn(
+        "ord_before", F.coalesce("ord_before", "ord_in")
     )
-    stops = (
+    return (
         gaps.where(F.col("ord") - F.col("ord_before") - 1 >= rule.limit)
         .groupBy("run_id")
         .agg(F.min(F.col("ord_before") + rule.limit).alias("stop_ord"))
     )
-    return found.join(stops, "run_id", "left").select(
-        BUCKET,
-        "run_id",
-        "step",
-        "ord",
-        "score",
-        F.coalesce(F.col("ord") > F.col("stop_ord"), F.lit(False)).alias("stopped_before"),
-    )
 
 
 def _val_loss(rule: Patience) -> Column:
@@ -239,29 +230,30 @@ def _val_loss(rule: Patience) -> Column:
 
 def improvements(series: DataFrame, rule: Patience, buckets: int | None = None) -> DataFrame:
     """The steps at which a run gets better, which is when it would be saved."""
-    order = RowOrder.fit(series, ["run_id", "step"], buckets)
+    order = RowOrder.fit(series, ["run_id", "step"], buckets, MIN_NARROW_ROWS)
     return _improvements(series, order, rule).select("run_id", "step", "score", _val_loss(rule))
 
 
 def early_stop(series: DataFrame, rule: Patience, buckets: int | None = None) -> DataFrame:
     """End state of every run of ``(run_id, step, loss)``."""
-    order = RowOrder.fit(series, ["run_id", "step"], buckets)
+    order = RowOrder.fit(series, ["run_id", "step"], buckets, MIN_NARROW_ROWS)
+    found = _improvements(series, order, rule)
     last = (
-        _improvements(series, order, rule)
-        .groupBy("run_id")
-        .agg(F.max_by(F.struct("step", "ord", "score", "stopped_before"), "ord").alias("last"))
+        found.groupBy("run_id")
+        .agg(F.max_by(F.struct("step", "ord", "score"), "ord").alias("last"))
         .select("run_id", "last.*")
     )
     lengths = series.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_steps"))
     counter = F.col("n_steps") - F.col("ord")
-    return last.join(lengths, "run_id").select(
+    ends = last.join(lengths, "run_id").join(_stops(found, order, rule), "run_id", "left")
+    return ends.select(
         "run_id",
         "n_steps",
         F.col("step").alias("best_step"),
         "score",
         _val_loss(rule),
         counter.alias("counter"),
-        (F.col("stopped_before") | (counter >= rule.limit)).alias("stopped"),
+        (F.col("stop_ord").isNotNull() | (counter >= rule.limit)).alias("stopped"),
     )
 
 
@@ -272,42 +264,46 @@ def early_stop_trace(series: DataFrame, rule: Patience, buckets: int | None = No
     latest one: inside its key range by a window, from earlier ranges by the
     carried one.
     """
-    order = RowOrder.fit(series, ["run_id", "step"], buckets)
-    better = _improvements(series, order, rule)
-    mark = F.struct("ord", F.col("score").alias("best"), "stopped_before")
-    per_bucket = better.groupBy(BUCKET, "run_id").agg(F.max_by(mark, "ord").alias("mark"))
-    present = series.groupBy(order.bucket().alias(BUCKET), "run_id").agg(
-        F.count(F.lit(1)).alias("n_rows")
+    order = RowOrder.fit(series, ["run_id", "step"], buckets, MIN_NARROW_ROWS)
+    found = _improvements(series, order, rule)
+    stopped_before = F.coalesce(F.col("ord") > F.col("stop_ord"), F.lit(False))
+    better = found.join(_stops(found, order, rule), "run_id", "left").withColumn(
+        "mark", F.struct("ord", F.col("score").alias("best"), stopped_before.alias("stopped_before"))
     )
-    carried = carry_into_buckets(
-        present.join(per_bucket, [BUCKET, "run_id"], "left"),
-        "run_id",
-        {"mark_in": F.last("mark", ignorenulls=True), "rows_in": F.sum("n_rows")},
+    per_bucket = (
+        series.groupBy(order.bucket().alias(BUCKET), "run_id")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .join(
+            better.groupBy(BUCKET, "run_id").agg(F.max_by("mark", "ord").alias("mark")),
+            [BUCKET, "run_id"],
+            "left",
+        )
     )
     rows = order.place(
-        series.select("run_id", "step", F.col("loss"), F.lit(1).alias("is_row")).unionByName(
-            better.select("run_id", "step", F.lit(0).alias("is_row"), mark.alias("mark")),
+        series.select("run_id", "step", "loss", F.lit(1).alias("is_row")).unionByName(
+            better.select("run_id", "step", F.lit(0).alias("is_row"), "mark"),
             allowMissingColumns=True,
         )
     )
     in_run = Window.partitionBy(BUCKET, "run_id").orderBy("step", "is_row")
     upto = in_run.rowsBetween(Window.unboundedPreceding, 0)
-    traced = (
-        rows.withColumns(
-            {
-                "ord": F.sum("is_row").over(upto),
-                "state": F.last("mark", ignorenulls=True).over(upto),
-                "improved": F.coalesce(F.lag("is_row").over(in_run) == 0, F.lit(False)),
-            }
-        )
-        .where("is_row = 1")
-        .join(F.broadcast(carried), [BUCKET, "run_id"], "left")
-        .withColumns(
-            {
-                "ord": F.col("ord") + F.coalesce("rows_in", F.lit(0)),
-                "state": F.coalesce("state", "mark_in"),
-            }
-        )
+    numbered = rows.withColumns(
+        {
+            "ord": F.sum("is_row").over(upto),
+            "state": F.last("mark", ignorenulls=True).over(upto),
+            "improved": F.coalesce(F.lag("is_row").over(in_run) == 0, F.lit(False)),
+        }
+    ).where("is_row = 1")
+    mark_type = "struct<ord: bigint, best: double, stopped_before: boolean>"
+    carries = {
+        "mark_in": (F.last("mark", ignorenulls=True), mark_type),
+        "rows_in": (F.sum("n_rows"), "bigint"),
+    }
+    traced = with_carried(numbered, order, per_bucket, "run_id", carries).withColumns(
+        {
+            "ord": F.col("ord") + F.coalesce("rows_in", F.lit(0)),
+            "state": F.coalesce("state", "mark_in"),
+        }
     )
     counter = F.col("ord") - F.col("state.ord")
     return traced.select(

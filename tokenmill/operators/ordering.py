@@ -20,7 +20,9 @@ from pyspark.sql.types import LongType, StructType
 
 BUCKET = "bucket"
 SAMPLES_PER_BUCKET = 20
+# Rows that are worth a task of their own: documents, and rows of a few numbers.
 MIN_ROWS_PER_BUCKET = 128
+MIN_NARROW_ROWS = 100_000
 FEW_CUTS = 32
 
 
@@ -48,7 +50,13 @@ class RowOrder:
     n_rows: int
 
     @classmethod
-    def fit(cls, df: DataFrame, keys: str | Sequence[str], buckets: int | None = None) -> RowOrder:
+    def fit(
+        cls,
+        df: DataFrame,
+        keys: str | Sequence[str],
+        buckets: int | None = None,
+        min_rows: int = MIN_ROWS_PER_BUCKET,
+    ) -> RowOrder:
         """Read the keys of ``df`` (and nothing else) to place the cuts.
 
         What reaches the driver is a hash sample of about 20 keys per bucket
@@ -59,7 +67,7 @@ class RowOrder:
         n_rows = key_rows.count()
         if buckets is None:
             most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            buckets = min(most, n_rows // MIN_ROWS_PER_BUCKET)
+            buckets = min(most, n_rows // min_rows)
         buckets = max(1, buckets)
         bounds: tuple[tuple[Any, ...], ...] = ()
         if buckets > 1:
@@ -69,6 +77,8 @@ class RowOrder:
             picks = sorted({len(sample) * i // buckets for i in range(1, buckets)})
             bounds = tuple(sample[i] for i in picks if 0 < i < len(sample))
         order = cls(keys, key_rows.schema, bounds, (0,) * (len(bounds) + 1), n_rows)
+        if not bounds:
+            return order
         counts = order.totals(key_rows, F.lit(1))
         return cls(keys, key_rows.schema, bounds, tuple(exclusive_sums(counts)), n_rows)
 
@@ -220,21 +230,29 @@ def totals_by_bucket(df: DataFrame, value: str, n_buckets: int) -> list[int]:
     return [found.get(bucket, 0) for bucket in range(n_buckets)]
 
 
-def carry_into_buckets(per_bucket: DataFrame, group: str, carries: dict[str, Column]) -> DataFrame:
-    """What each group brings into a bucket from the buckets before it.
+def with_carried(
+    df: DataFrame,
+    order: RowOrder,
+    per_bucket: DataFrame,
+    group: str,
+    carries: dict[str, tuple[Column, str]],
+) -> DataFrame:
+    """Add to bucketed rows what their group brings into the bucket from the buckets before it.
 
     ``per_bucket`` has one row per (bucket, group) of a table ordered by group
-    first.  A bucket is a key range, so at most one group enters it from
-    earlier buckets, and the result has at most one row per bucket.
+    first, ``carries`` names the aggregate over a group's earlier buckets and
+    its type.  A bucket is a key range, so at most one group enters it from
+    earlier buckets: the broadcast table has at most one row per bucket.
     """
+    if order.n_buckets == 1:
+        return df.withColumns({n: F.lit(None).cast(kind) for n, (_, kind) in carries.items()})
     earlier = (
         Window.partitionBy(group).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = {name: column.over(earlier) for name, column in carries.items()}
-    return (
-        per_bucket.withColumns(
-            {**carried, "entered": F.count(F.lit(1)).over(earlier) > 0}
-        )
+    carried = {name: column.over(earlier) for name, (column, _) in carries.items()}
+    entering = (
+        per_bucket.withColumns({**carried, "entered": F.count(F.lit(1)).over(earlier) > 0})
         .where("entered")
         .select(BUCKET, group, *carries)
     )
+    return df.join(F.broadcast(entering), [BUCKET, group], "left")

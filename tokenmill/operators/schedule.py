@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenmill.functions import steps
-from tokenmill.operators.ordering import BUCKET, RowOrder
+from tokenmill.operators.ordering import BUCKET, MIN_NARROW_ROWS, RowOrder
 from tokenmill.operators.windows import usable_batches
 
 
@@ -41,7 +41,7 @@ def batch_schedule(
     """
     if n_batches < 1:
         raise ValueError("n_batches must be at least 1")
-    order = RowOrder.fit(manifest, "shard_id", buckets)
+    order = RowOrder.fit(manifest, "shard_id", buckets, MIN_NARROW_ROWS)
     if order.n_rows == 0:
         raise ValueError("no shards found for the split")
     manifest = manifest.select("shard_id", "n_tokens")
