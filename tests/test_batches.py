@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.functions import steps
 from tokenmill.operators.schedule import batch_schedule, by_step, training_manifest
+from tokenmill.plans.training import prompt_text, training_batches
 from tokenmill.operators.windows import (
     next_token_pairs,
     random_prompt,
@@ -32,7 +33,7 @@ def model_windows(tokens, length):
     return [tokens[at : at + length + 1] for at in range(0, len(tokens) - length, length)]
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     sizes=st.lists(st.integers(1, 60), min_size=1, max_size=3),
     cuts=st.sets(st.integers(1, 59), max_size=12),
@@ -88,7 +89,7 @@ def test_rank_batches_equal_the_readers(spark, ranks):
     assert found == expected
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     sizes=st.lists(st.integers(1, 120), min_size=1, max_size=6),
     rows=st.integers(1, 3),
@@ -153,9 +154,23 @@ def test_learning_rate_knots(spark):
     assert rates == pytest.approx([6e-4, 6e-4, 3.3e-4, 6e-5, 6e-5])
 
 
+def test_prompt_as_text(spark):
+    shard = [256, *b"the quick brown fox jumps over the lazy dog", 9999]
+    vocabulary = {bytes([b]): b for b in range(256)}
+    texts = {prompt_text(pieces_of(spark, [shard], {9}), vocabulary, 5, 7, s).first()["text"] for s in range(4)}
+    assert texts <= {"<|endoftext|>the qu", "ick bro", "wn fox ", "jumps o", "ver the"}
+
+
+def test_training_batches(spark):
+    rows = training_batches(pieces_of(spark, [list(range(30))], {9}), 2, 3, 2).collect()
+    assert sorted((r["rank"], r["batch"], r["row"], r["x"][0]) for r in rows) == [
+        (0, 0, 0, 0), (0, 0, 1, 3), (0, 1, 0, 12), (0, 1, 1, 15), (1, 0, 0, 6), (1, 0, 1, 9)
+    ]
+
+
 def test_prompt_is_one_of_the_first_rows(spark):
     pieces = pieces_of(spark, [list(range(100)), list(range(500, 600))], {20})
-    drawn = [random_prompt(pieces, 0, 5, 7, seed).collect() for seed in range(6)]
+    drawn = [random_prompt(pieces, 0, 5, 7, seed).collect() for seed in range(4)]
     assert all(len(rows) == 1 and rows[0]["window"] < 5 for rows in drawn)
     assert all(r[0]["x"] == list(range(7 * r[0]["window"], 7 * r[0]["window"] + 7)) for r in drawn)
     assert len({rows[0]["window"] for rows in drawn}) > 1

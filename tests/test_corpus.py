@@ -72,7 +72,7 @@ def test_shards_equal_one_long_stream(spark, size):
     assert manifest == sorted(map(tuple, shard_manifest(packed.pieces).collect()))
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     texts=st.lists(st.text(max_size=8), min_size=1, max_size=25),
     chunk=st.integers(1, 6),

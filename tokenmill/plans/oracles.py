@@ -120,10 +120,23 @@ select pos, arg_min(id, rank_no)::int as id from cum
 where seen > u * whole or rank_no = 50 group by pos
 """
 
-_FOLD = """
-with recursive s as (
-  select user_id as run_id, event_id as step, value as loss, -value as score,
-         row_number() over (partition by user_id order by event_id) as n from events
+_SERIES = """
+series as (select user_id as run_id, event_id as step, value as loss from events)
+"""
+
+_STEP_MEANS = """
+by_rank as (
+  select user_id as run_id, event_id // 1000 as step, event_id % 4 as rank, avg(value) as loss
+  from events group by all
+),
+series as (select run_id, step, round(avg(loss), 6) as loss from by_rank group by run_id, step)
+"""
+
+_FOLD_OVER = """
+with recursive {series},
+s as (
+  select run_id, step, loss, -loss as score,
+         row_number() over (partition by run_id order by step) as n from series
 ),
 f as (
   select run_id, step, loss, n, score as best, step as best_step, 0::bigint as counter,
@@ -139,11 +152,15 @@ f as (
 )
 """
 
-_FOLD_END = _FOLD + """
+_FOLD = _FOLD_OVER.format(series=_SERIES)
+
+_LAST_STATE = """
 select run_id, n as n_steps, best_step, best as score, -best as val_loss, counter, stopped
 from f qualify row_number() over (partition by run_id order by n desc) = 1
 """
 
+_FOLD_END = _FOLD + _LAST_STATE
+
 _LR = """case when {s} < 715 then 6e-4::double * ({s} + 1) / 715
      when {s} > 19073 then 6e-4::double * 0.1
      else 6e-4::double * 0.1 + 0.5 * (1 + cos(pi() * ({s} - 715) / (19073 - 715)::double))
@@ -340,6 +357,7 @@ select run_id, step, loss, best, counter, improved, stopped from f
     "improvement_events": _FOLD + """
 select run_id, step, best as score, loss as val_loss from f where improved
 """,
+    "validation_pipeline": _FOLD_OVER.format(series=_STEP_MEANS) + _LAST_STATE,
     "stream_pack": _TOKENS + _CHECKSUMS,
     "stream_early_stop": _FOLD_END,
     "stream_run_log": _RUN_LOG,

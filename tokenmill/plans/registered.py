@@ -25,6 +25,7 @@ from tokenmill.operators.windows import (
     token_windows,
 )
 from tokenmill.plans.corpus import CorpusPlan, corpus_to_shards, encoded_chunks, split_tokens
+from tokenmill.plans.training import validate_runs
 from tokenmill.sources import npy, runlog
 from tokenmill.sources.corpus import (
     Corpus,
@@ -445,6 +446,7 @@ def metric_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") * 10 + 100).alias("dt_ms"),
         F.lit(BATCH_ROWS * LENGTH).cast("bigint").alias("tokens"),
         "ts",
+        "event_id",
     )
 
 
@@ -544,6 +546,13 @@ def improvement_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return improvements(loss_series(spark, sf_dir), RULE)
 
 
+@register
+def validation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batch losses to rank means to step means to early stopping, per run."""
+    records = metric_records(spark, sf_dir).withColumn("step", F.expr("event_id div 1000"))
+    return validate_runs(records, RULE)
+
+
 # Streams
 
 

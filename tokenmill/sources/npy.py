@@ -1,8 +1,9 @@
 """Shards as ``.npy`` files of unsigned 16-bit ids, one file per shard.
 
-Writing goes through a Python data source: the shard id decides the partition,
-a task holds one shard at a time, and files get their final names only when
-the whole job has succeeded.  Reading uses Spark's binary file source.
+Writing goes through a Python data source: the shard id decides the partition
+and a task holds one shard at a time.  The task gives a finished file its final
+name itself; a repeated task writes the same bytes under the same name.  The
+driver only adds the success marker.  Reading uses Spark's binary file source.
 """
 
 from __future__ import annotations
@@ -34,32 +35,31 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 
 @dataclass
 class Written(WriterCommitMessage):
-    moves: list[tuple[str, str]]
+    n_shards: int
 
 
 class NpyWriter(DataSourceArrowWriter):
-    def __init__(self, options: dict[str, str], overwrite: bool):
+    def __init__(self, options: dict[str, str]):
         self.path = options["path"].rstrip("/")
-        self.overwrite = overwrite
-        self.pending = f"{self.path}/_pending-{uuid.uuid4().hex}"
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
-        files, folder = _open(self.pending)
+        files, folder = _open(self.path)
         files.create_dir(folder, recursive=True)
-        moves: list[tuple[str, str]] = []
         shard: tuple[str, int] | None = None
         parts: list[np.ndarray] = []
+        n_shards = 0
 
-        def flush() -> None:
+        def flush() -> int:
             if shard is None:
-                return
+                return 0
             name = FILE_NAME.format(split=shard[0], shard_id=shard[1])
-            attempt = f"{folder}/{uuid.uuid4().hex}"
+            attempt = f"{folder}/_{uuid.uuid4().hex}"
             blob = io.BytesIO()
             np.save(blob, np.concatenate(parts))
             with files.open_output_stream(attempt) as sink:
                 sink.write(blob.getvalue())
-            moves.append((attempt, name))
+            files.move(attempt, f"{folder}/{name}")
+            return 1
 
         for batch in batches:
             rows = zip(
@@ -69,33 +69,22 @@ class NpyWriter(DataSourceArrowWriter):
             )
             for split, shard_id, tokens in rows:
                 if shard != (split, shard_id):
-                    flush()
+                    n_shards += flush()
                     shard, parts = (split, shard_id), []
                 ids = tokens.values.to_numpy(zero_copy_only=False)
                 if len(ids) and (ids.min() < 0 or ids.max() >= 2**16):
                     raise ValueError(f"shard {shard_id} holds ids that do not fit 16 bits")
                 parts.append(ids.astype("<u2"))
-        flush()
-        return Written(moves)
+        n_shards += flush()
+        return Written(n_shards)
 
     def commit(self, messages: list[Any]) -> None:
-        files, target = _open(self.path)
-        if self.overwrite:
-            for info in files.get_file_info(fs.FileSelector(target, allow_not_found=True)):
-                if info.is_file and info.path.endswith(".npy"):
-                    files.delete_file(info.path)
-        for message in messages:
-            for attempt, name in message.moves if message else ():
-                files.move(attempt, f"{target}/{name}")
-        self._drop_pending()
+        files, folder = _open(self.path)
+        with files.open_output_stream(f"{folder}/_SUCCESS"):
+            pass
 
     def abort(self, messages: list[Any]) -> None:
-        self._drop_pending()
-
-    def _drop_pending(self) -> None:
-        files, folder = _open(self.pending)
-        if files.get_file_info(folder).type == fs.FileType.Directory:
-            files.delete_dir(folder)
+        """Finished files may stay: without the marker the export is not complete."""
 
 
 class NpyShards(DataSource):
@@ -104,21 +93,24 @@ class NpyShards(DataSource):
         return "npy_shards"
 
     def writer(self, schema: StructType, overwrite: bool) -> NpyWriter:
-        return NpyWriter(self.options, overwrite)
+        return NpyWriter(self.options)
 
 
-def write_npy(pieces: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Export pieces as one file per shard.
+def write_npy(pieces: DataFrame, path: str) -> None:
+    """Export pieces as one file per shard in place of what ``path`` held.
 
     Only the tokens of one shard, a bounded number, come together in one place.
     """
+    files, folder = _open(path)
+    files.create_dir(folder, recursive=True)
+    files.delete_dir_contents(folder)
     pieces.sparkSession.dataSource.register(NpyShards)
     (
         pieces.select("split", "shard_id", "start", "tokens")
         .repartition("split", "shard_id")
         .sortWithinPartitions("split", "shard_id", "start")
         .write.format("npy_shards")
-        .mode(mode)
+        .mode("append")
         .option("path", path)
         .save()
     )
