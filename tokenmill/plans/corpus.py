@@ -105,4 +105,5 @@ def split_tokens(
         split_label(order, corpus, starts).alias("split"),
         F.col(order_by).alias("seq"),
         F.when(is_first, prefix_token(tokens, encoder.eot)).otherwise(tokens).alias("tokens"),
+        (encoder.length(F.col("text")) + is_first.cast("int")).cast("bigint").alias("n_tokens"),
     )

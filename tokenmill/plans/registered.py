@@ -560,6 +560,7 @@ def arrivals(df: DataFrame, key: str, parts: int) -> Iterator[DataFrame]:
     """The table in ``parts`` consecutive key ranges, as it would arrive over time."""
     order = RowOrder.fit(df, key)
     cuts = [order.n_rows * i // parts for i in range(parts + 1)]
+    order = order.recut(df, cuts)
     for start, stop in zip(cuts, cuts[1:]):
         yield df.where(~order.before(df, start) & order.before(df, stop))
 

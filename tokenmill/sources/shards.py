@@ -52,7 +52,7 @@ def list_shards(spark: SparkSession, path: str, split: str) -> DataFrame:
 
 
 def write_split_tokens(tokens: DataFrame, path: str) -> None:
-    """Write whole-split token tables ``(split, seq, tokens)``."""
+    """Write whole-split token tables ``(split, seq, tokens, n_tokens)``."""
     tokens.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
@@ -64,4 +64,5 @@ def read_split_tokens(
 
 
 def split_token_counts(tokens: DataFrame) -> DataFrame:
-    return tokens.groupBy("split").agg(F.sum(F.size("tokens")).alias("n_tokens"))
+    """Tokens per split; only the length column is read."""
+    return tokens.groupBy("split").agg(F.sum("n_tokens").alias("n_tokens"))
