@@ -9,7 +9,7 @@ from tokenmill.operators.encode import BpeEncoder
 from tokenmill.plans.corpus import CorpusPlan
 from tokenmill.sources import runlog
 from tokenmill.streaming.corpus import StreamPacker, stream_corpus
-from tokenmill.streaming.monitor import latest, monitor_to_table
+from tokenmill.streaming.monitor import RunMonitor, latest, monitor_runs
 
 TEXT = "doc_id bigint, text string"
 
@@ -74,23 +74,53 @@ def test_stream_with_bpe_and_documents(spark, tmp_path):
     assert shards_of(packer.packed(spark).pieces) == model_pack([ids(t) for t in texts], 8)
 
 
-def test_monitor_keeps_its_state_between_batches(spark, tmp_path):
-    runs = {1: [5, 4, 4, 4, 3, 3, 3, 3, 3], 2: [1, 2, 0.5, 0.4, 0.1, 7, 8, 9, 9], 3: [2.0]}
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    rule = Patience(3, 0.2)
-    df = series(spark, runs)
+RUNS = {
+    1: [5, 4, 4, 4, 3, 3, 3, 3, 3],
+    2: [1, 2, 0.5, 0.4, 0.1, 7, 8, 9, 9],
+    3: [2.0],
+    4: [9, 9, 9, 9, 1, 1],
+}
+
+
+def watch(spark, tmp_path, start):
+    source = str(tmp_path / "in")
+    df = series(spark, RUNS)
     for part in ("step < 30", "step >= 30 and step < 40", "step >= 40"):
         df.where(part).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(df.schema).parquet(source)
-        monitor_to_table(stream, rule, out, str(tmp_path / "checkpoint")).awaitTermination()
-    got = {r["run_id"]: r for r in latest(spark.read.parquet(out).drop("batch")).collect()}
-    for run_id, losses in runs.items():
+        start(spark.readStream.schema(df.schema).parquet(source), str(tmp_path / "checkpoint"))
+
+
+def check_states(states):
+    got = {r["run_id"]: r for r in states.collect()}
+    assert set(got) == set(RUNS)
+    for run_id, losses in RUNS.items():
         best, counter, _, stopped = stop_trace(losses, 3, 0.2, "min")[-1]
         r = got[run_id]
         assert (r["score"], r["counter"], r["stopped"], r["n_steps"]) == (best, counter, stopped, len(losses))
         assert r["val_loss"] == -best
 
 
+def test_monitor_keeps_its_state_between_batches(spark, tmp_path):
+    monitor = RunMonitor(str(tmp_path / "out"), Patience(3, 0.2))
+    watch(spark, tmp_path, lambda s, c: monitor.start(s, c).awaitTermination())
+    check_states(monitor.state(spark))
+
+
+def test_stateful_operator_keeps_its_state_between_batches(spark, tmp_path):
+    out = str(tmp_path / "out")
+
+    def start(stream, checkpoint):
+        (
+            monitor_runs(stream, Patience(3, 0.2)).writeStream.outputMode("update")
+            .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            .awaitTermination()
+        )
+
+    watch(spark, tmp_path, start)
+    check_states(latest(spark.read.parquet(out).drop("batch")))
+
+
 def test_log_tailing(spark, tmp_path):
     path = str(tmp_path / "log")
     lines = [f"Step: {i}, val_loss: {i / 2:.4f}" for i in range(5)] + ["?"]

@@ -58,15 +58,25 @@ RECORD = "bucket int, run_id bigint, step bigint, ord bigint, score double"
 
 
 def _numbered(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
-    """Rows with the position ``ord`` in their run and the best score before them."""
-    scored = series.select("run_id", "step", rule.score(F.col("loss")).alias("score"))
+    """Rows with the position ``ord`` in their run and the best score before them.
+
+    A row of ``weight`` w stands for itself and for w - 1 rows without an
+    improvement right after it.
+    """
+    scored = _weighted(series).select(
+        "run_id", "step", "weight", rule.score(F.col("loss")).alias("score")
+    )
     per_bucket = scored.groupBy(order.bucket().alias(BUCKET), "run_id").agg(
-        F.max("score").alias("max_score"), F.count(F.lit(1)).alias("n_rows")
+        F.max("score").alias("max_score"), F.sum("weight").alias("n_rows")
     )
     in_run = Window.partitionBy(BUCKET, "run_id").orderBy("step")
+    upto = in_run.rowsBetween(Window.unboundedPreceding, 0)
     earlier = in_run.rowsBetween(Window.unboundedPreceding, -1)
     rows = order.place(scored).withColumns(
-        {"ord": F.row_number().over(in_run), "max_before": F.max("score").over(earlier)}
+        {
+            "ord": F.sum("weight").over(upto) - F.col("weight") + 1,
+            "max_before": F.max("score").over(earlier),
+        }
     )
     carries = {"max_in": (F.max("max_score"), "double"), "rows_in": (F.sum("n_rows"), "bigint")}
     return with_carried(rows, order, per_bucket, "run_id", carries).select(
@@ -79,6 +89,12 @@ def _numbered(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
     )
 
 
+def _weighted(series: DataFrame) -> DataFrame:
+    if "weight" in series.columns:
+        return series
+    return series.withColumn("weight", F.lit(1).cast("bigint"))
+
+
 def climb(scores: np.ndarray, best: float | None, delta: float) -> list[int]:
     """Positions of the improvements in never-falling ``scores``.
 
@@ -235,7 +251,7 @@ def improvements(series: DataFrame, rule: Patience, buckets: int | None = None)
 
 
 def early_stop(series: DataFrame, rule: Patience, buckets: int | None = None) -> DataFrame:
-    """End state of every run of ``(run_id, step, loss)``."""
+    """End state of every run of ``(run_id, step, loss)``, or of a continued series with ``weight``."""
     order = RowOrder.fit(series, ["run_id", "step"], buckets, MIN_NARROW_ROWS)
     found = _improvements(series, order, rule)
     last = (
@@ -243,7 +259,7 @@ def early_stop(series: DataFrame, rule: Patience, buckets: int | None = None) ->
         .agg(F.max_by(F.struct("step", "ord", "score"), "ord").alias("last"))
         .select("run_id", "last.*")
     )
-    lengths = series.groupBy("run_id").agg(F.count(F.lit(1)).alias("n_steps"))
+    lengths = _weighted(series).groupBy("run_id").agg(F.sum("weight").alias("n_steps"))
     counter = F.col("n_steps") - F.col("ord")
     ends = last.join(lengths, "run_id").join(_stops(found, order, rule), "run_id", "left")
     return ends.select(

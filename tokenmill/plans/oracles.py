@@ -360,5 +360,6 @@ select run_id, step, best as score, loss as val_loss from f where improved
     "validation_pipeline": _FOLD_OVER.format(series=_STEP_MEANS) + _LAST_STATE,
     "stream_pack": _TOKENS + _CHECKSUMS,
     "stream_early_stop": _FOLD_END,
+    "stream_run_state": _FOLD_END,
     "stream_run_log": _RUN_LOG,
 }

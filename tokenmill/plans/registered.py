@@ -47,7 +47,7 @@ from tokenmill.sources.shards import (
 )
 from tokenmill.staging import new_path
 from tokenmill.streaming.corpus import StreamPacker, stream_corpus
-from tokenmill.streaming.monitor import latest, monitor_to_table
+from tokenmill.streaming.monitor import RunMonitor, latest, monitor_runs
 
 # Settings that the SQL counterparts repeat.
 SHARD_SIZE = 100_000
@@ -580,13 +580,35 @@ def stream_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def stream_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watch the runs as records arrive, with a restart after each arrival."""
     losses = loss_series(spark, sf_dir)
-    source, out = new_path(spark, "losses_in"), new_path(spark, "losses_out")
-    checkpoint = new_path(spark, "losses_checkpoint")
+    source, checkpoint = new_path(spark, "losses_in"), new_path(spark, "losses_checkpoint")
+    monitor = RunMonitor(new_path(spark, "losses_out"), RULE)
     for part in arrivals(losses, "step", 2):
         part.write.mode("append").parquet(source)
         stream = spark.readStream.schema(losses.schema).parquet(source)
-        monitor_to_table(stream, RULE, out, checkpoint).awaitTermination()
+        monitor.start(stream, checkpoint).awaitTermination()
+    return monitor.state(spark)
+
+
+@register
+def stream_run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the stateful operator on small micro-batches."""
+    losses = loss_series(spark, sf_dir)
+    source, out = new_path(spark, "losses_in"), new_path(spark, "states_out")
+    checkpoint = new_path(spark, "states_checkpoint")
+    for part in arrivals(losses, "step", 2):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(losses.schema).parquet(source)
+        query = (
+            monitor_runs(stream, RULE)
+            .writeStream.outputMode("update")
+            .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return latest(spark.read.parquet(out).drop("batch"))
 
 

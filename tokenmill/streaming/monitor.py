@@ -1,4 +1,10 @@
-"""Early stopping over a stream of loss records, and log tailing."""
+"""Early stopping over a stream of loss records.
+
+:func:`monitor_runs` is the stateful operator: it takes what a micro-batch
+holds of one run into one task, so it is for streams whose micro-batches are
+bounded at the source.  :class:`RunMonitor` goes through the batch operator, in
+which a run is spread over tasks, so a backlog or one hot run does it no harm.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +13,12 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tokenmill.operators.earlystop import Patience, climb
+from tokenmill.operators.earlystop import Patience, climb, early_stop
 
 STATE = "best double, best_step bigint, n_steps bigint, counter bigint, stopped boolean"
 OUTPUT = (
@@ -67,22 +73,66 @@ def monitor_runs(losses: DataFrame, rule: Patience) -> DataFrame:
     )
 
 
-def monitor_to_table(
-    losses: DataFrame, rule: Patience, path: str, checkpoint: str
-) -> StreamingQuery:
-    """Write the updates of each micro-batch below its number; a repeated batch overwrites."""
+class RunMonitor:
+    """``foreachBatch`` sink that keeps the state of all runs, one table per micro-batch.
 
-    def write(updates: DataFrame, batch_id: int) -> None:
-        updates.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    The state of a run enters the next micro-batch as one row: its best loss,
+    standing for all steps since.  A repeated micro-batch starts from the state
+    of its predecessor again and overwrites its own.
+    """
 
-    return (
-        monitor_runs(losses, rule)
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    def __init__(self, path: str, rule: Patience):
+        self.path = path.rstrip("/")
+        self.rule = rule
+
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.path}/batch={batch_id}"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        new = batch.select("run_id", "step", "loss", F.lit(1).cast("bigint").alias("weight"))
+        if batch_id == 0:
+            ends = early_stop(new, self.rule)
+        else:
+            before = batch.sparkSession.read.schema(OUTPUT).parquet(self._folder(batch_id - 1))
+            carried = before.select(
+                "run_id",
+                F.col("best_step").alias("step"),
+                F.col("val_loss").alias("loss"),
+                (F.col("counter") + 1).alias("weight"),
+            )
+            # the carried row repeats steps that ``before`` has counted already
+            known = before.select(
+                "run_id",
+                (F.col("n_steps") - F.col("counter") - 1).alias("earlier_steps"),
+                F.col("stopped").alias("stopped_earlier"),
+            )
+            ends = (
+                early_stop(new.unionByName(carried), self.rule)
+                .join(known, "run_id", "left")
+                .withColumns(
+                    {
+                        "n_steps": F.col("n_steps") + F.coalesce("earlier_steps", F.lit(0)),
+                        "stopped": F.col("stopped") | F.coalesce("stopped_earlier", F.lit(False)),
+                    }
+                )
+                .drop("earlier_steps", "stopped_earlier")
+            )
+        ends.write.mode("overwrite").parquet(self._folder(batch_id))
+
+    def start(self, losses: DataFrame, checkpoint: str) -> StreamingQuery:
+        """Take in all records that are there, then stop."""
+        return (
+            losses.writeStream.foreachBatch(self)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    def state(self, spark: SparkSession) -> DataFrame:
+        """State of all runs after the last micro-batch."""
+        states = spark.read.schema(f"{OUTPUT}, batch int").parquet(self.path)
+        last = states.agg(F.max("batch")).first()[0]
+        return states.where(F.col("batch") == last).drop("batch")
 
 
 def latest(updates: DataFrame) -> DataFrame:
