@@ -218,6 +218,20 @@ def test_split_tokens_have_one_delimiter_per_split(spark, tmp_path):
     assert sorted(firsts) == [0, 32, 38]
 
 
+def test_a_split_is_encoded_as_one_text(spark):
+    rng = random.Random(8)
+    words = ["the", "th", "e", "le", " ", "  ", "\n", "'", "ll", "é", "\u00a0", "12", "", "☃"]
+    texts = ["".join(rng.choices(words, k=rng.randrange(6))) for _ in range(200)]
+    units = split_tokens(corpus(spark, texts), encoder=BpeEncoder(dict(RANKS))).collect()
+    found = {}
+    for r in sorted(units, key=lambda r: r["seq"]):
+        assert r["n_tokens"] == len(r["tokens"])
+        found.setdefault(r["split"], []).extend(r["tokens"])
+    cuts = {"train_set": texts[:160], "val_set": texts[160:190], "test_set": texts[190:]}
+    assert found == {s: [260, *reference_ids("".join(t))] for s, t in cuts.items()}
+    assert len(units) > 50
+
+
 def test_written_shards_can_be_listed_and_pruned(spark, tmp_path):
     path = str(tmp_path / "shards")
     packed = corpus_to_shards(corpus(spark, ["x" * 99] * 30), CorpusPlan(chunk_size=3, shard_size=500))

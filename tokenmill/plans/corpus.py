@@ -12,6 +12,7 @@ from tokenmill.operators.chunks import ChunkedRows, chunk_rows
 from tokenmill.operators.encode import ByteEncoder, Encoder, delimited, encode_in_order
 from tokenmill.operators.ordering import BUCKET, inside_total, totals_by_bucket
 from tokenmill.operators.pack import Packed, pack
+from tokenmill.operators.seams import split_units
 from tokenmill.operators.splits import split_label, split_starts
 from tokenmill.sources.corpus import spread
 from tokenmill.staging import stage
@@ -88,15 +89,26 @@ def split_tokens(
     order_by: str = "doc_id",
     train: float = 0.8,
     val: float = 0.15,
-    encoder: ByteEncoder | None = None,
+    encoder: Encoder | None = None,
 ) -> DataFrame:
     """Positional splits as token sequences with one delimiter in front of each split.
 
-    One row per document; ``order_by`` gives the order within the split.  The
-    rows are not moved for this: the first key of each split, which gets the
-    delimiter, is looked up among the keys.
+    ``seq`` gives the order of the rows within the split.  With byte ids a row
+    is a document, and only the keys of the first documents, which get the
+    delimiter, are looked up.  Other encoders see the joined text of the split,
+    so a row is a stretch of it between two safe cuts.
     """
     encoder = encoder or ByteEncoder()
+    if encoder.length(F.col("text")) is None:
+        tokens = encoder.encode(F.col("text"))
+        units = split_units(corpus, order_by, train, val).select(
+            "split",
+            "seq",
+            F.when(F.col("is_first"), prefix_token(tokens, encoder.eot))
+            .otherwise(tokens)
+            .alias("tokens"),
+        )
+        return units.withColumn("n_tokens", F.size("tokens").cast("bigint"))
     order, starts = split_starts(corpus, order_by, train, val)
     firsts = order.keys_at(corpus, sorted({0, *starts}))
     tokens = encoder.encode(F.col("text"))

@@ -173,6 +173,26 @@ select event_id as step, value as loss, round(value / 2, 3) as norm,
 from events where event_id % 7 <> 3
 """
 
+# The merged pairs cannot overlap, so their tokens can be counted in the joined text.
+_BPE_COUNTS = """
+with {docs}, sized as (select *, count(*) over () as n from docs),
+c as (select {group} as part, string_agg(text, '' order by ord) as text,
+             sum(list_sum(ids)) as byte_sum from sized group by 1),
+k as (select *, octet_length(encode(text)) as nb,
+             (length(text) - length(replace(text, 'an', ''))) // 2 as n_an,
+             (length(text) - length(replace(text, 'in', ''))) // 2 as n_in,
+             (length(text) - length(replace(text, 'on', ''))) // 2 as n_on,
+             (length(text) - length(replace(text, 'en', ''))) // 2 as n_en,
+             (length(text) - length(replace(text, 'ion', ''))) // 3 as n_ion from c),
+counted as (
+  select part, (1 + nb - n_an - n_in - n_on - n_en - n_ion)::bigint as n_tokens,
+         (261 + byte_sum + n_an * (256 - 97 - 110) + n_in * (257 - 105 - 110)
+          + n_on * (258 - 111 - 110) + n_en * (259 - 101 - 110)
+          + n_ion * (260 - 105 - 258))::bigint as id_sum
+  from k
+)
+"""
+
 SQL: dict[str, str] = {
     "corpus_totals": """
 select count(*) as n_rows, sum(length(text))::bigint as n_chars from documents
@@ -237,23 +257,15 @@ with {_DOCS}
 select doc_id, len(ids[1:50])::int as n_tokens,
        coalesce(list_sum(ids[1:50]), 0)::bigint as id_sum from docs
 """,
-    # The merged pairs cannot overlap, so their tokens can be counted in the text.
-    "bpe_chunk_checksum": f"""
-with {_DOCS},
-c as (select ord // 100 as chunk_id, string_agg(text, '' order by ord) as text,
-             sum(list_sum(ids)) as byte_sum from docs group by 1),
-k as (select *, octet_length(encode(text)) as nb,
-             (length(text) - length(replace(text, 'an', ''))) // 2 as n_an,
-             (length(text) - length(replace(text, 'in', ''))) // 2 as n_in,
-             (length(text) - length(replace(text, 'on', ''))) // 2 as n_on,
-             (length(text) - length(replace(text, 'en', ''))) // 2 as n_en,
-             (length(text) - length(replace(text, 'ion', ''))) // 3 as n_ion from c)
-select chunk_id, (1 + nb - n_an - n_in - n_on - n_en - n_ion)::bigint as n_tokens,
-       (261 + byte_sum + n_an * (256 - 97 - 110) + n_in * (257 - 105 - 110)
-        + n_on * (258 - 111 - 110) + n_en * (259 - 101 - 110)
-        + n_ion * (260 - 105 - 258))::bigint as id_sum
-from k
-""",
+    "bpe_chunk_checksum": _BPE_COUNTS.format(docs=_DOCS, group="ord // 100")
+    + "select part as chunk_id, n_tokens, id_sum from counted",
+    "bpe_tokens_per_split": _BPE_COUNTS.format(
+        docs=_DOCS,
+        group="""case when ord < floor(0.8::double * n) then 'train_set'
+                      when ord < floor(0.8::double * n) + floor(0.15::double * n) then 'val_set'
+                      else 'test_set' end""",
+    )
+    + "select part as split, n_tokens, id_sum from counted",
     "bpe_round_trip": "select doc_id, text from documents",
     "shard_manifest": _MANIFEST + """
 select split, shard_id, n_tokens, split || '_shard_' || lpad(shard_id::varchar, 6, '0') as name

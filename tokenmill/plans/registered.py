@@ -163,6 +163,16 @@ def tokens_per_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_token_counts(read_split_tokens(spark, path, ["train_set", "val_set", "test_set"]))
 
 
+@register
+def bpe_tokens_per_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each split encoded as one text, with byte-pair ids."""
+    encoder = BpeEncoder.from_table(sample_ranks(spark))
+    tokens = split_tokens(documents(spark, sf_dir), encoder=encoder)
+    return tokens.groupBy("split").agg(
+        F.sum("n_tokens").alias("n_tokens"), F.sum(id_sum(F.col("tokens"))).alias("id_sum")
+    )
+
+
 @register
 def text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append all texts to text files and read the lines back."""
