@@ -202,7 +202,8 @@ def _entries(records: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
         segment = records.where(F.col(BUCKET).isin(at)).join(
             F.broadcast(current.select(BUCKET, "run_id")), [BUCKET, "run_id"], "left_semi"
         )
-        exits = _fold(segment, current, rule).groupBy(BUCKET, "run_id").agg(F.max("score").alias("best"))
+        exits = _fold(segment, current, rule).groupBy(BUCKET, "run_id")
+        exits = exits.agg(F.max("score").alias("best"))
         best = {(row[BUCKET], row["run_id"]): row["best"] for row in exits.collect()}
         following: dict[tuple[int, int], float | None] = {}
         for (bucket, run), entry in open_segments.items():
@@ -251,7 +252,10 @@ def improvements(series: DataFrame, rule: Patience, buckets: int | None = None)
 
 
 def early_stop(series: DataFrame, rule: Patience, buckets: int | None = None) -> DataFrame:
-    """End state of every run of ``(run_id, step, loss)``, or of a continued series with ``weight``."""
+    """End state of every run of ``(run_id, step, loss)``.
+
+    A ``weight`` column marks series that go on from an earlier state.
+    """
     order = RowOrder.fit(series, ["run_id", "step"], buckets, MIN_NARROW_ROWS)
     found = _improvements(series, order, rule)
     last = (
@@ -284,7 +288,8 @@ def early_stop_trace(series: DataFrame, rule: Patience, buckets: int | None = No
     found = _improvements(series, order, rule)
     stopped_before = F.coalesce(F.col("ord") > F.col("stop_ord"), F.lit(False))
     better = found.join(_stops(found, order, rule), "run_id", "left").withColumn(
-        "mark", F.struct("ord", F.col("score").alias("best"), stopped_before.alias("stopped_before"))
+        "mark",
+        F.struct("ord", F.col("score").alias("best"), stopped_before.alias("stopped_before")),
     )
     per_bucket = (
         series.groupBy(order.bucket().alias(BUCKET), "run_id")

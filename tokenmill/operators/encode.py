@@ -176,7 +176,7 @@ def delimited(tokens: Column, eot: int) -> Column:
 def encode_in_order(
     texts: DataFrame, encoder: Encoder, group: str, order_by: str, text_col: str = "text"
 ) -> DataFrame:
-    """Replace the text by ``tokens`` and ``n_tokens`` and add ``inside``, the tokens before the row.
+    """Replace the text by ``tokens``, ``n_tokens`` and ``inside``, the tokens before the row.
 
     Every ``group`` must lie in one partition already, so nothing is shuffled:
     rows are sorted where they are and the count runs along with the encoder.

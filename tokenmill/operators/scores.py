@@ -70,7 +70,8 @@ def unit_draw(seed: int, *keys: Any) -> Column:
 
     It is made of the first 52 bits of an MD5 digest, so any engine can repeat it.
     """
-    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(k) if isinstance(k, str) else k for k in keys])
+    parts = [F.col(key) if isinstance(key, str) else key for key in keys]
+    text = F.concat_ws(":", F.lit(str(seed)), *parts)
     bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint")
     return bits / F.lit(float(1 << 52))
 

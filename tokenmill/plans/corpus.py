@@ -50,7 +50,7 @@ def chunked(corpus: DataFrame, plan: CorpusPlan) -> ChunkedRows:
 def encoded_chunks(
     corpus: DataFrame, plan: CorpusPlan, encoder: Encoder | None = None
 ) -> tuple[DataFrame, list[int]]:
-    """Token sequences ``(bucket, chunk_id, n_rows, tokens, n_tokens, inside)`` and bucket totals."""
+    """Sequences ``(bucket, chunk_id, n_rows, tokens, n_tokens, inside)`` and bucket totals."""
     return encode_rows(chunked(corpus, plan), encoder or ByteEncoder())
 
 
