@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenmill.llm.contamination import Hits
+from tokenmill.llm.language import identify, learn_languages
+from tokenmill.llm.language_model import learn, score
+from tokenmill.llm.mixing import mix_sources
+from tokenmill.llm.tables import fold_of
+from tokenmill.llm.token_counts import token_counts
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 1024
+SOURCE_WEIGHTS = (5.0, 2.0, 1.0)
 
 
 def register(query: Query) -> Query:
@@ -27,7 +35,77 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @register
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    from tokenmill.llm.token_counts import token_counts
 
     counts = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def held_out(folds: int, fold: int) -> Column:
+    return F.coalesce(fold_of("doc_id", folds) == fold, F.lit(False))
+
+
+@register
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"), SOURCE_WEIGHTS)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = Hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.report().select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@register
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = learn_languages(docs.where(fold_of("doc_id", 5) != 0))
+    return identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@register
+def op10_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tree, words = learn(docs.where(fold_of("doc_id", 10) != 0))
+    return score(docs, tree, words).withColumn("held_out", held_out(10, 0))
+
+
+# The hits by joins on the words themselves; items of fewer than ten words are one window.
+SQL["op4_decontaminate"] = r"""
+with d as (
+  select doc_id, rid, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') w
+  from (select *, row_number() over () rid from documents)),
+b as (
+  select item_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') w
+  from benchmark),
+g as (
+  select distinct item_id, k, array_to_string(w[i + 1 : i + k], ' ') gram
+  from (select *, least(10, len(w)) k from b where len(w) > 0), range(0, 100000) r(i)
+  where i <= len(w) - k),
+lens as (select distinct k from g),
+x as (
+  select rid, i, lens.k k, array_to_string(w[i + 1 : i + lens.k], ' ') gram
+  from (select rid, w, unnest(range(0, len(w))) i from d), lens where i + lens.k <= len(w)),
+h as (select rid, i, x.k k, item_id from x join g using (gram)),
+p as (select rid, count(distinct i + j) n_hit from h, range(0, 10) r(j) where j < k group by rid),
+t as (select rid, count(distinct item_id) n_items,
+        array_to_string(list_sort(list(distinct item_id::varchar)), ',') items
+      from h where item_id is not null group by rid)
+select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit,
+  coalesce(n_items, 0)::bigint n_items, sha256(coalesce(items, '')) items_sha256,
+  coalesce(n_hit, 0) > 0 contaminated
+from d left join p using (rid) left join t using (rid)
+"""

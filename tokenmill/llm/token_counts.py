@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tokenmill.llm.hashtable import HashIndex
 from tokenmill.llm.text import Spans, blocks
@@ -323,7 +324,7 @@ def prefix_tables(docs: DataFrame, vocabulary: str, text: str = "text") -> DataF
                 ["doc_id", "n_bytes", "n_tokens", "ends", "counts"],
             )
 
-    return docs.select("doc_id", text).mapInArrow(run, TABLE_SCHEMA)
+    return docs.select(F.col("doc_id").cast("bigint"), text).mapInArrow(run, TABLE_SCHEMA)
 
 
 def token_counts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
@@ -341,7 +342,7 @@ def token_counts(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFr
                 ["doc_id", "n_bytes", "n_tokens"],
             )
 
-    return docs.select("doc_id", text).mapInArrow(run, COUNT_SCHEMA)
+    return docs.select(F.col("doc_id").cast("bigint"), text).mapInArrow(run, COUNT_SCHEMA)
 
 
 def counts_at(docs: DataFrame, tables: DataFrame, vocabulary: str, length: int) -> DataFrame:
