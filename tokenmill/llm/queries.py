@@ -11,6 +11,7 @@ from tokenmill.llm.contamination import Hits
 from tokenmill.llm.language import identify, learn_languages
 from tokenmill.llm.language_model import learn, score
 from tokenmill.llm.mixing import mix_sources
+from tokenmill.llm.ngram_join import NgramJoin
 from tokenmill.llm.tables import fold_of
 from tokenmill.llm.token_counts import token_counts
 
@@ -72,6 +73,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = NgramJoin(table(spark, sf_dir, "documents")).groups()
+    return groups.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 @register
 def op10_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
