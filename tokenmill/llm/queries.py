@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tokenmill.llm.contamination import Hits
 from tokenmill.llm.language import identify, learn_languages
 from tokenmill.llm.language_model import learn, score
+from tokenmill.llm.line_dedup import LineDedup
 from tokenmill.llm.mixing import mix_sources
 from tokenmill.llm.ngram_join import NgramJoin
 from tokenmill.llm.tables import fold_of
@@ -73,6 +74,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LineDedup(table(spark, sf_dir, "documents")).report()
+
+
 @register
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = NgramJoin(table(spark, sf_dir, "documents")).groups()
@@ -116,3 +122,30 @@ select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit,
   coalesce(n_hit, 0) > 0 contaminated
 from d left join p using (rid) left join t using (rid)
 """
+
+# All pairs of lines that share a run of words, by a join on the run itself.
+SQL["op8_line_dedup"] = r"""
+with l as (
+  select doc_id, i, list_filter(regexp_split_to_array(lower(line), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') w
+  from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) line,
+          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 i
+        from documents)),
+s as (
+  select doc_id, i, list_sort(list_distinct(list_transform(range(0, greatest(len(w) - 4, 1)),
+    lambda j: array_to_string(w[j + 1 : j + 5], ' ')))) t
+  from l where len(w) > 0),
+c as (select t, len(t) n, min(struct_pack(a := doc_id, b := i)) f, row_number() over () id
+      from s group by t),
+u as (select id, n, f, unnest(t) k from c),
+p as (select x.id id from u x join u y on x.k = y.k and y.f < x.f
+      group by x.id, y.id, x.n, y.n having 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+r as (
+  select doc_id, count(*) n_lines,
+    list_sort(list(i) filter (f <> struct_pack(a := doc_id, b := i)
+                              or id in (select id from p))) g
+  from s join c using (t) group by doc_id)
+select d.doc_id, coalesce(n_lines, 0)::bigint n_lines, coalesce(len(g), 0)::bigint n_removed,
+  coalesce(array_to_string(g, ','), '') removed
+from documents d left join r on d.doc_id = r.doc_id
+"""
