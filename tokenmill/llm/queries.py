@@ -13,8 +13,11 @@ from tokenmill.llm.language_model import learn, score
 from tokenmill.llm.line_dedup import LineDedup
 from tokenmill.llm.mixing import mix_sources
 from tokenmill.llm.ngram_join import NgramJoin
+from tokenmill.llm.privacy import Privacy
+from tokenmill.llm.quality import learn_quality, with_quality
 from tokenmill.llm.tables import fold_of
 from tokenmill.llm.token_counts import token_counts
+from tokenmill.llm.vector_dedup import VectorDedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +49,16 @@ def held_out(folds: int, fold: int) -> Column:
     return F.coalesce(fold_of("doc_id", folds) == fold, F.lit(False))
 
 
+@register
+def op1_sorted_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return VectorDedup(table(spark, sf_dir, "embeddings")).report()
+
+
+@register
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Privacy(table(spark, sf_dir, "documents")).report()
+
+
 @register
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"), SOURCE_WEIGHTS)
@@ -65,6 +78,15 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op6_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = learn_quality(docs, labels.where(fold_of("doc_id", 4) != 2))
+    return with_quality(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(4, 2).alias("held_out"), "score", "predicted"
+    )
+
+
 @register
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
