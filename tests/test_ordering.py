@@ -107,3 +107,24 @@ def test_split_moves_no_rows(spark):
     df = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     plan = positional_split(df, "doc_id")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_null_and_repeated_keys_are_refused(spark):
+    import pytest
+
+    nulls = spark.createDataFrame([(1,), (None,), (2,)], "key long")
+    with pytest.raises(ValueError, match="no order key"):
+        RowOrder.fit(nulls, "key")
+    twice = spark.range(400).selectExpr("id div 2 as key")
+    order = RowOrder.fit(twice, "key", 4)
+    with pytest.raises(ValueError, match="not unique"):
+        order.recut(twice, [0, 101, 203])
+
+
+def test_schedule_comes_from_many_tasks(spark):
+    from tokenmill.operators.schedule import batch_schedule
+
+    manifest = spark.range(300).selectExpr("id as shard_id", "5000L as n_tokens")
+    schedule = batch_schedule(manifest, 1, 8, 4, 50_000)
+    sizes = schedule.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 200_000 and max(sizes) < 60_000

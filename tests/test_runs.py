@@ -159,3 +159,9 @@ def test_gates(spark):
     assert [r["id"] for r in due.orderBy("id").collect()] == [20, 40, 60, 80, 94]
     watched = spark.range(95).where(steps.is_monitored(F.col("id"), 20, 40, 95))
     assert [r["id"] for r in watched.orderBy("id").collect()] == [40, 80, 94]
+
+
+def test_losses_that_are_not_numbers_are_refused(spark):
+    for buckets in (1, 3):
+        with pytest.raises(Exception, match="not a number"):
+            early_stop(series(spark, {1: [1.0, float("nan"), 0.9]}), Patience(2), buckets).collect()

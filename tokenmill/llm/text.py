@@ -3,7 +3,7 @@
 A word is a run of bytes other than the ASCII white space ``\\x20 \\x09-\\x0D``;
 A-Z count as a-z.  The hash of a word is a polynomial over a fixed random table
 of its bytes, finished by a mixer, so equal words have equal hashes in every
-task and every run.  Texts are handled in blocks of a few megabytes, so memory
+task and every run.  Texts are handled in blocks of half a megabyte, so memory
 does not depend on how many texts a batch holds; a text longer than a block is
 a block of its own.
 """
@@ -16,7 +16,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 500_000
 
 _BASE = 0x9E3779B97F4A7C15
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
@@ -46,7 +46,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(max(BLOCK_BYTES * 2, 1 << max(0, size - 1).bit_length()))
+    up, down = _powers(max(1 << 19, 1 << max(0, size - 1).bit_length()))
     return up[:size], down[:size]
 
 

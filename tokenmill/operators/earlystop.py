@@ -45,7 +45,9 @@ class Patience:
             raise ValueError("delta must not be negative")
 
     def score(self, loss: Column) -> Column:
-        """Larger is better."""
+        """Larger is better.  A loss that is not a number is an error."""
+        text = F.lit("a loss is not a number; filter such steps or end the run before them")
+        loss = F.when(F.isnan(loss), F.raise_error(text)).otherwise(loss)
         return -loss if self.mode == "min" else loss + F.lit(0.0)
 
     @property

@@ -64,7 +64,11 @@ class RowOrder:
         """
         keys = (keys,) if isinstance(keys, str) else tuple(keys)
         key_rows = df.select(*keys)
-        n_rows = key_rows.count()
+        unknown = F.count_if(F.array_contains(F.array(*[F.col(k).isNull() for k in keys]), True))
+        seen = key_rows.agg(F.count("*").alias("rows"), unknown.alias("nulls")).first()
+        n_rows = seen["rows"]
+        if seen["nulls"]:
+            raise ValueError(f"{seen['nulls']} rows have no order key in {', '.join(keys)}")
         if buckets is None:
             most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             buckets = min(most, n_rows // min_rows)
@@ -179,9 +183,18 @@ class RowOrder:
         """The same order with buckets that start at the given positions."""
         at = self.keys_at(df, [start for start in sorted(set(starts)) if 0 < start < self.n_rows])
         kept = sorted(at)
-        return RowOrder(
+        order = RowOrder(
             self.keys, self.key_schema, tuple(at[o] for o in kept), (0, *kept), self.n_rows
         )
+        # Rows of equal keys cannot be told apart, so a cut between them moves them all.
+        found = tuple(exclusive_sums(order.totals(df.select(*self.keys), F.lit(1))))
+        for place, base in enumerate(order.bases):
+            if found[place] != base:
+                raise ValueError(
+                    f"order keys {', '.join(self.keys)} are not unique: position {base} is not "
+                    f"where {order.bounds[place - 1]} begins; add a column that breaks ties"
+                )
+        return order
 
     def head(self, n_rows: int) -> RowOrder:
         """The order of the first ``n_rows`` rows alone; a bucket has to start there."""

@@ -75,8 +75,11 @@ def batch_schedule(
     batches = F.expr(
         f"sequence(0L, least(n_batches, {n_batches}L - cycle * per_cycle - ahead) - 1)"
     )
+    # A manifest is small and its schedule is not: rows are dealt out before they are written.
+    parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         placed.withColumn("cycle", F.explode(cycles))
+        .repartition(parts, "rank", "shard_id", "cycle")
         .withColumn("k", F.explode(batches))
         .select(
             "rank",

@@ -560,7 +560,7 @@ def improvement_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def validation_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Micro-batch losses to rank means to step means to early stopping, per run."""
     records = metric_records(spark, sf_dir).withColumn("step", F.expr("event_id div 1000"))
-    return validate_runs(records, RULE)
+    return validate_runs(records, RULE, digits=6)
 
 
 # Streams

@@ -42,16 +42,18 @@ def prompt_text(
 
 
 def validate_runs(
-    records: DataFrame, rule: Patience, gate: Column | None = None, digits: int = 6
+    records: DataFrame, rule: Patience, gate: Column | None = None, digits: int | None = None
 ) -> DataFrame:
     """Early stopping on the validation losses of many runs.
 
     ``records`` are micro-batch losses ``(run_id, step, rank, loss)``; the loss
-    of a step is the mean of its rank means, rounded so that it does not depend
-    on the order of the sums.  ``gate`` picks the steps that are monitored.
+    of a step is the mean of its rank means.  ``digits`` rounds it, for results
+    that must not depend on the order of the sums.  ``gate`` picks the steps that
+    are monitored.
     """
     losses = loss_by_step(records, ["run_id", "step"])
     if gate is not None:
         losses = losses.where(gate)
-    losses = losses.select("run_id", "step", F.round("loss", digits).alias("loss"))
+    loss = F.col("loss") if digits is None else F.round("loss", digits)
+    losses = losses.select("run_id", "step", loss.alias("loss"))
     return early_stop(stage(losses, "step_losses"), rule)

@@ -20,7 +20,7 @@ def work_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if context.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tokenmill-"))
     return context.getCheckpointDir().rstrip("/")
