@@ -67,13 +67,27 @@ def line_rows(docs: DataFrame) -> DataFrame:
 
 
 def with_words(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("words", F.array_remove(F.split("line", " "), "")).drop("line")
+    """The lines with ``words``, the hashes of their words in order."""
+    words = F.array_remove(F.split("line", " "), "")
+    return lines.withColumn("words", F.transform(words, lambda w: F.xxhash64(w))).drop("line")
+
+
+def token_bits(hashed: Column) -> Column:
+    return F.shiftrightunsigned(hashed, 7)
 
 
 def token_hash(at: Column) -> Column:
     """57 bits for the run of words from ``at`` on; words beyond the line's end are left out."""
-    words = [F.get("words", at + step) for step in range(WIDTH)]
-    return F.shiftrightunsigned(F.xxhash64(*words), 7)
+    return token_bits(F.xxhash64(*[F.get("words", at + step) for step in range(WIDTH)]))
+
+
+def run_hashes() -> Column:
+    """The hashes of all runs of words of a line, as ``token_hash`` gives them one by one."""
+    count = F.size("words") - (WIDTH - 1)
+    shifted = [F.slice("words", F.lit(step + 1), count) for step in range(WIDTH)]
+    return F.when(
+        count > 0, F.transform(F.arrays_zip(*shifted), lambda run: F.xxhash64(run))
+    ).otherwise(F.array(F.xxhash64("words")))
 
 
 def starts() -> Column:
@@ -104,13 +118,12 @@ def rarity_levels(lines: DataFrame) -> Column:
 def token_sets(lines: DataFrame, levels: Column) -> DataFrame:
     """The lines with ``tokens``: their distinct tokens, rarest first."""
 
-    def ranked(at: Column) -> Column:
-        token = token_hash(at)
+    def ranked(hashed: Column) -> Column:
+        token = token_bits(hashed)
         return F.shiftleft(F.get(levels, bucket(token)), 57).bitwiseOR(token)
 
-    tokens = F.transform(starts(), ranked)
-    found = with_words(lines).withColumn("tokens", F.sort_array(F.array_distinct(tokens)))
-    return found.drop("words")
+    tokens = F.transform(F.array_distinct(run_hashes()), ranked)
+    return with_words(lines).withColumn("tokens", F.sort_array(tokens)).drop("words")
 
 
 def position() -> Column:
@@ -183,12 +196,18 @@ class LineDedup:
             & (F.col("line_no") == F.col("_no"))
         )
         sets = token_sets(line_rows(self.docs).join(wanted, same), self.levels)
-        # Repeated rows hold the same line more than once.
-        found = sets.select("one", "two", "first", "tokens").dropDuplicates(["one", "two"])
-        return stage(found, "line-sets")
+        found = stage(sets.select("one", "two", "first", "tokens"), "line-sets")
+        if found.count() != wanted.count():  # repeated rows hold the same line more than once
+            found = stage(found.dropDuplicates(["one", "two"]), "line-sets")
+        return found
 
     def matches(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The classes ``(one, two)`` that come later in a verified pair of classes."""
+        pairs = stage(pairs, "line-pairs")
+        used = small_or_shuffled(
+            pairs.select(F.col("a").alias("one")).union(pairs.select("b")).distinct(), "line-used"
+        )
+        sets = sets.join(used, "one", "left_semi")
         side = lambda name: sets.select(
             F.col("one").alias(name),
             F.col("two").alias(f"{name}_two"),
