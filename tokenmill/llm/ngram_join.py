@@ -17,8 +17,9 @@ documents the first ``n - need(n) + k`` shingles of both hold ``k`` shared ones.
    a *second hash order* before their full sets are compared.
 
 Documents with equal sets are one class and are compared once.  Pairs are only
-made where they can join two components: in every list of the index the first
-document is compared with the others, then lists that still hold several
+made where they can join two components and can be similar by their sizes and the
+places of a shared shingle: in every list of the index the smallest document is
+compared with the others, then lists that still hold several
 components go on with the next 64 documents against the others, then 512, and
 so on, until every pair in a list is either compared or known to be connected.  So a
 large group of near copies costs about one comparison per document.
@@ -47,8 +48,10 @@ from tokenmill.llm.tables import partitions, small_or_shuffled
 from tokenmill.llm.text import blocks, mix, shingles, word_hashes
 from tokenmill.staging import stage
 
-UNIT_ROWS = 4_000_000
-BUCKET_ROWS = 1_000_000
+UNIT_ROWS = 500_000
+BUCKET_ROWS = 500_000
+SETS_TOGETHER = 2_000
+SHARDS = 256
 SECOND_ORDER = np.uint64(0xA0761D6478BD642F)
 SET_SALT = np.uint64(0xE7037ED1A0B428DB)
 MANY = np.uint64(0)
@@ -130,7 +133,7 @@ class _Unit:
     def add(self, own: np.ndarray, sign: int, length: int) -> None:
         if sign not in self.seen:
             self.seen[sign] = len(self.seen)
-            self.tokens.append(own[:length])
+            self.tokens.append(own[:length].copy())
             self.sizes.append(length)
             self.held += length
 
@@ -200,7 +203,7 @@ def packed_prefixes(docs: DataFrame, settings: JoinSettings, buckets: int) -> Da
 
 
 def _shared(key: tuple, rows: pa.Table) -> pa.Table:
-    """In a bucket: for each unit and set, how many tokens other sets hold too."""
+    """In a bucket: for each unit and set, how many tokens other sets hold too, packed by shard."""
 
     def numbers(name: str, kind) -> tuple[np.ndarray, np.ndarray]:
         parts = [np.frombuffer(value, kind) for value in rows[name].to_pylist()]
@@ -224,17 +227,41 @@ def _shared(key: tuple, rows: pa.Table) -> pa.Table:
     names = np.concatenate([sets[hit], local])
     rows_of = np.concatenate([row[hit], local_row])
     weight = np.concatenate([np.ones(int(hit.sum()), np.int64), counts.astype(np.int64)])
-    order = np.lexsort((rows_of, names))
-    names, rows_of, weight = names[order], rows_of[order], weight[order]
-    new = np.ones(len(names), dtype=bool)
-    new[1:] = (names[1:] != names[:-1]) | (rows_of[1:] != rows_of[:-1])
+    shard = (names % np.uint64(SHARDS)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    names, units, weight = names[order], units[rows_of][order], weight[order]
+    edges = np.searchsorted(shard[order], np.arange(SHARDS + 1))
+    parts = [(i, slice(edges[i], edges[i + 1])) for i in range(SHARDS) if edges[i] < edges[i + 1]]
+    return pa.table(
+        {
+            "shard": pa.array([i for i, _ in parts], pa.int32()),
+            "sets": pa.array([names[at].tobytes() for _, at in parts], pa.binary()),
+            "units": pa.array([units[at].tobytes() for _, at in parts], pa.binary()),
+            "counts": pa.array([weight[at].tobytes() for _, at in parts], pa.binary()),
+        }
+    )
+
+
+def _summed(key: tuple, rows: pa.Table) -> pa.Table:
+    """The shared tokens of each set of a shard, summed over buckets.
+
+    A set that several units hold is counted in each of them alike.
+    """
+    numbers = [
+        np.concatenate([np.frombuffer(value, kind) for value in rows[name].to_pylist()])
+        for name, kind in (("sets", np.uint64), ("units", np.int64), ("counts", np.int64))
+    ]
+    order = np.lexsort((numbers[1], numbers[0]))
+    sets, units, counts = (values[order] for values in numbers)
+    new = np.ones(len(sets), dtype=bool)
+    new[1:] = (sets[1:] != sets[:-1]) | (units[1:] != units[:-1])
     at = np.flatnonzero(new)
-    total = np.add.reduceat(weight, at) if len(at) else weight
+    total, sets = np.add.reduceat(counts, at), sets[at]
+    first = np.flatnonzero(np.concatenate([[True], sets[1:] != sets[:-1]]))
     return pa.table(
         {
-            "one": pa.array(names[at].view(np.int64)),
-            "unit": pa.array(units[rows_of[at]]),
-            "shared": pa.array(total.astype(np.int64)),
+            "one": pa.array(sets[first].view(np.int64)),
+            "shared": pa.array(np.maximum.reduceat(total, first)),
         }
     )
 
@@ -243,21 +270,20 @@ def _kept_sets(width: int):
     """The sets of rows whose signature is the one they were joined for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, found = [], []
-            ones, twos = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            rows = zip(
-                batch.column(0).to_pylist(), text_sets(batch.column(1), width), ones, twos,
-                strict=True,
-            )
-            for node, own, one, two in rows:
-                if signature(own) == (one, two):
-                    nodes.append(node)
-                    found.append(own.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
-                ["node", "tokens"],
-            )
+        for whole in batches:
+            for at in range(0, len(whole), SETS_TOGETHER):
+                batch = whole.slice(at, SETS_TOGETHER)
+                names, ones, twos = (batch.column(i).to_pylist() for i in (0, 2, 3))
+                sets = text_sets(batch.column(1), width)
+                nodes, found = [], []
+                for node, own, one, two in zip(names, sets, ones, twos, strict=True):
+                    if signature(own) == (one, two):
+                        nodes.append(node)
+                        found.append(own.view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))],
+                    ["node", "tokens"],
+                )
 
     return run
 
@@ -330,11 +356,9 @@ class NgramJoin:
         shared = (
             packed_prefixes(self.docs, self.settings, buckets)
             .groupBy("bucket")
-            .applyInArrow(_shared, "one bigint, unit bigint, shared bigint")
-            .groupBy("one", "unit")
-            .agg(F.sum("shared").alias("shared"))
-            .groupBy("one")
-            .agg(F.max("shared").alias("shared"))
+            .applyInArrow(_shared, "shard int, sets binary, units binary, counts binary")
+            .groupBy("shard")
+            .applyInArrow(_summed, "one bigint, shared bigint")
         )
         # A partner has at least as many shingles as it must hold of these.
         enough = F.floor(extra * held / 100) + 1
@@ -361,7 +385,11 @@ class NgramJoin:
         return found
 
     def index(self, sets: DataFrame) -> DataFrame:
-        """The inverted index ``(token, node, n)`` of the rarity-order prefixes."""
+        """The inverted index of the rarity-order prefixes.
+
+        Beside token, node and ``n`` it has ``rest``, the shingles from this one on in
+        the order, and ``before``, those before it that other sets hold too.
+        """
         tokens = sets.select(
             F.explode("tokens").alias("token"), "node", F.size("tokens").alias("n")
         )
@@ -369,13 +397,15 @@ class NgramJoin:
             tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "often"
         )
         # From the end of the order: most frequent first, shingles of one set not at all.
-        last_first = Window.partitionBy("node").orderBy(F.desc("df"), F.desc("token"))
+        whole = Window.partitionBy("node")
+        last_first = whole.orderBy(F.desc("df"), F.desc("token"))
         held = F.floor((self.settings.percent * F.col("n") + 99) / 100)
         return stage(
             tokens.join(often, "token")
-            .withColumn("from_end", F.row_number().over(last_first))
-            .where(F.col("from_end") >= held)
-            .select("token", "node", "n"),
+            .withColumn("rest", F.row_number().over(last_first))
+            .withColumn("before", F.count("*").over(whole) - F.col("rest"))
+            .where(F.col("rest") >= held)
+            .select("token", "node", "n", "rest", "before"),
             "rarity-index",
         )
 
@@ -395,16 +425,27 @@ class NgramJoin:
         sets = self.sets_of(chosen)
         index = self.index(sets).withColumn("order", F.xxhash64("node"))
         percent = self.settings.percent
-        near_size: Column = 100 * F.least("n", "a_n") >= percent * F.greatest("n", "a_n")
+        # Length and positional filter: what two sets can share at most, given one shared shingle.
+        most_shared = F.least("rest", "a_rest") + F.least("before", "a_before")
+        near_size: Column = (100 * F.least("n", "a_n") >= percent * F.greatest("n", "a_n")) & (
+            (100 + percent) * most_shared >= percent * (F.col("n") + F.col("a_n"))
+        )
+        # The smallest set of a list is compared first: where sets share one passage, it
+        # holds the least beside it and is similar to all that are similar to any.
         lists = stage(
             index.groupBy("token").agg(
-                F.count("*").alias("size"), F.min(F.struct("order", "node", "n")).alias("head")
+                F.count("*").alias("size"),
+                F.min(F.struct("n", "order", "node", "rest", "before")).alias("head"),
             ).where("size > 1"),
             "lists",
         )
         most = lists.agg(F.max("size").alias("most")).first()["most"] or 0
         heads = lists.select(
-            "token", F.col("head.node").alias("a"), F.col("head.n").alias("a_n")
+            "token",
+            F.col("head.node").alias("a"),
+            F.col("head.n").alias("a_n"),
+            F.col("head.rest").alias("a_rest"),
+            F.col("head.before").alias("a_before"),
         )
         pairs = (
             index.join(heads, "token")
@@ -441,6 +482,8 @@ class NgramJoin:
                 "token",
                 F.col("node").alias("a"),
                 F.col("n").alias("a_n"),
+                F.col("rest").alias("a_rest"),
+                F.col("before").alias("a_before"),
                 share.alias("a_share"),
                 F.col("component").alias("a_component"),
             )
@@ -472,3 +515,34 @@ class NgramJoin:
         return self.rows.join(found, ["one", "two", "n"], "left").select(
             "row", "doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id")
         )
+
+    def one_of_each(self) -> DataFrame:
+        """Of each component the row with the least ``doc_id``, all columns unchanged.
+
+        Rows without shingles stay.  A row with a null ``doc_id`` goes if its component
+        has a row with one.  Of several rows with the least ``doc_id`` one stays; as rows
+        are told apart by doc_id and text, equal rows are made one.
+        """
+        groups = self.groups()
+        kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        ids = stage(
+            kept.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("n").alias("n")), "kept"
+        )
+        single = small_or_shuffled(
+            ids.where("rows = 1 or n = 0").select(F.col("doc_id").alias("_id")), "kept-single"
+        )
+        own = F.col("doc_id").cast("bigint")
+        docs = self.docs.join(single, own.eqNullSafe(F.col("_id")), "left_semi")
+        several = ids.where("rows > 1 and n > 0").select(F.col("doc_id").alias("_id"))
+        if several.isEmpty():
+            return docs
+        # Rows that share a doc_id: one of each component, found again by a join of their own.
+        twins = stage(
+            self.docs.join(
+                small_or_shuffled(several, "kept-several"), own.eqNullSafe(F.col("_id")), "left_semi"
+            ),
+            "twins",
+        )
+        key = F.xxhash64(F.coalesce("text", F.lit("")))
+        alone = twins.withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
+        return docs.unionByName(alone)
