@@ -12,7 +12,9 @@ any line before it, in the order of ``doc_id`` and line number, matches it.
 * Prefix filter: matching lines share a token among the first ``n - need(n) + 1``.
   Tokens that occur in the prefixes of different lines make the index.
 * Length and positional filters drop pairs by the sizes of the sets and the places
-  of a shared token.  The rest is verified on the whole sets.
+  of a shared token.  So does a sketch of 128 parities per set: it differs in at most
+  as many bits as the sets have tokens that the other lacks, so no match is lost.  The
+  rest is verified on the whole sets.
 * Lines with equal sets are one class and compared once.  In each list of the index
   one line is compared with all others first; after that only lines that nothing
   has removed yet are compared with the others.  A large group of near copies
@@ -77,17 +79,21 @@ def token_bits(hashed: Column) -> Column:
 
 
 def token_hash(at: Column) -> Column:
-    """57 bits for the run of words from ``at`` on; words beyond the line's end are left out."""
-    return token_bits(F.xxhash64(*[F.get("words", at + step) for step in range(WIDTH)]))
+    """57 bits for the run of words from ``at`` on; a shorter line is one run."""
+    found = F.get("words", at)
+    for step in range(1, WIDTH):
+        found = F.xxhash64(found, F.get("words", at + step))
+    return token_bits(F.when(F.size("words") < WIDTH, F.xxhash64("words")).otherwise(found))
 
 
 def run_hashes() -> Column:
     """The hashes of all runs of words of a line, as ``token_hash`` gives them one by one."""
     count = F.size("words") - (WIDTH - 1)
-    shifted = [F.slice("words", F.lit(step + 1), count) for step in range(WIDTH)]
-    return F.when(
-        count > 0, F.transform(F.arrays_zip(*shifted), lambda run: F.xxhash64(run))
-    ).otherwise(F.array(F.xxhash64("words")))
+    found = F.slice("words", F.lit(1), count)
+    for step in range(1, WIDTH):
+        following = F.slice("words", F.lit(step + 1), count)
+        found = F.zip_with(found, following, lambda run, word: F.xxhash64(run, word))
+    return F.when(count > 0, found).otherwise(F.array(F.xxhash64("words")))
 
 
 def starts() -> Column:
@@ -126,6 +132,19 @@ def token_sets(lines: DataFrame, levels: Column) -> DataFrame:
     return with_words(lines).withColumn("tokens", F.sort_array(tokens)).drop("words")
 
 
+def parities(upper: bool) -> Column:
+    """64 bits of the sketch of ``tokens``: each token turns one of its 128 bits over."""
+
+    def turned(bits: Column, token: Column) -> Column:
+        own = (token.bitwiseAND(64) != 0) == F.lit(upper)
+        bit = F.call_function(
+            "shiftleft", F.lit(1).cast("bigint"), token.bitwiseAND(63).cast("int")
+        )
+        return F.when(own, bits.bitwiseXOR(bit)).otherwise(bits)
+
+    return F.aggregate("tokens", F.lit(0).cast("bigint"), turned)
+
+
 def position() -> Column:
     return F.struct(
         F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("text_key"), F.col("line_no")
@@ -196,7 +215,8 @@ class LineDedup:
             & (F.col("line_no") == F.col("_no"))
         )
         sets = token_sets(line_rows(self.docs).join(wanted, same), self.levels)
-        found = stage(sets.select("one", "two", "first", "tokens"), "line-sets")
+        sketch = [parities(False).alias("low"), parities(True).alias("high")]
+        found = stage(sets.select("one", "two", "first", "tokens", *sketch), "line-sets")
         if found.count() != wanted.count():  # repeated rows hold the same line more than once
             found = stage(found.dropDuplicates(["one", "two"]), "line-sets")
         return found
@@ -226,12 +246,14 @@ class LineDedup:
         )
 
     def near(self, left: DataFrame, right: DataFrame) -> DataFrame:
-        """Pairs of the two sides of the index that pass the length and positional filters."""
+        """Pairs of the two sides of the index that pass the filters by length, place and sketch."""
         a = left.select(
             "token",
             F.col("one").alias("a"),
             F.col("n").alias("a_n"),
             F.col("place").alias("a_place"),
+            F.col("low").alias("a_low"),
+            F.col("high").alias("a_high"),
             *[c for c in left.columns if c.startswith("a_")],
         )
         n, place = F.col("n"), F.col("place")
@@ -241,7 +263,11 @@ class LineDedup:
             + F.least(n - place, F.col("a_n") - F.col("a_place"))
         )
         positional = (100 + PERCENT) * most >= PERCENT * (n + F.col("a_n"))
-        condition = (F.col("one") != F.col("a")) & length & positional
+        apart = F.bit_count(F.col("low").bitwiseXOR(F.col("a_low"))) + F.bit_count(
+            F.col("high").bitwiseXOR(F.col("a_high"))
+        )
+        alike = (100 + PERCENT) * apart <= (100 - PERCENT) * (n + F.col("a_n"))
+        condition = (F.col("one") != F.col("a")) & length & positional & alike
         if "b_first" in right.columns:
             condition = condition & (F.col("a_first") < F.col("b_first"))
         return (
@@ -252,13 +278,16 @@ class LineDedup:
         """Classes whose first line matches a line of another class before it."""
         index = self.index()
         sets = self.candidate_sets(index)
+        sketches = small_or_shuffled(sets.select("one", "low", "high"), "line-sketches")
+        index = stage(index.join(sketches, "one"), "line-index")
         lists = stage(
             index.groupBy("token").agg(
-                F.min(F.struct("one", "n", "place")).alias("head"), F.count("*").alias("size")
+                F.min(F.struct("one", "n", "place", "low", "high")).alias("head"),
+                F.count("*").alias("size"),
             ),
             "line-lists",
         )
-        heads = lists.select("token", "head.one", "head.n", "head.place")
+        heads = lists.select("token", "head.one", "head.n", "head.place", "head.low", "head.high")
         gone = stage(self.matches(self.near(heads, index), sets), "later-lines")
         firsts = small_or_shuffled(
             sets.join(gone.withColumn("gone", F.lit(True)), ["one", "two"], "left").select(
