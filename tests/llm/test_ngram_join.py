@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tests.llm.conftest import DOC_SCHEMA, ODD_ROWS, SF_DIR
 
+from tokenmill.llm import components as contraction
 from tokenmill.llm import ngram_join, queries, tables
 from tokenmill.llm.components import components, forest
 from tokenmill.llm.ngram_join import JoinSettings, NgramJoin, need, prefix_length
@@ -148,8 +149,10 @@ def test_forest_keeps_components(links):
     assert len(made) < len(nodes)
 
 
+@pytest.mark.parametrize("tail", [0, 40, 20_000])
 @pytest.mark.parametrize("kind", ["chain", "star", "random"])
-def test_components(spark, kind):
+def test_components(spark, monkeypatch, kind, tail):
+    monkeypatch.setattr(contraction, "TAIL_LINKS", tail)
     draws = random.Random(2)
     links = {
         "chain": [(i, i + 1) for i in range(300)],

@@ -6,7 +6,9 @@ and those inside a node vanish.  A link's ends stay connected, so when no link i
 left each component has one name.  The order changes by round, so long chains
 shrink by a constant share, and the number of rounds grows with the logarithm of
 the longest.  Before each round every task replaces its own links by a spanning
-forest.  Nothing is collected but row counts.
+forest.  Once at most ``TAIL_LINKS`` links are left, a table of fixed size, one task
+names the rest instead of many more rounds over next to nothing.  Nothing is collected
+but row counts.
 
 A self-link makes its node a component of one; repeated links change nothing;
 links with a null end are left out.
@@ -26,6 +28,7 @@ from tokenmill.staging import stage
 
 LINK = "a bigint, b bigint"
 FOREST_ROWS = 500_000
+TAIL_LINKS = 20_000
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +65,12 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield made()
 
 
+def renamed(names: DataFrame, moves: DataFrame) -> DataFrame:
+    return names.join(moves.withColumnRenamed("a", "name"), "name", "left").select(
+        "node", F.coalesce("to", "name").alias("name")
+    )
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(node, component)`` for all nodes of links ``(a, b)``; a component is its least node."""
     links = stage(links.select("a", "b").where("a is not null and b is not null"), "links")
@@ -69,7 +78,13 @@ def components(links: DataFrame) -> DataFrame:
     left = stage(links.where("a <> b").mapInArrow(_forests, LINK), "links")
     names = nodes.withColumn("name", F.col("node"))
     turn = 0
-    while left.count():
+    while count := left.count():
+        if count <= TAIL_LINKS:
+            # The forest of all links: each node that is not a root has one link, to its root.
+            tail = left.coalesce(1).mapInArrow(_forests, LINK)
+            moves = small_or_shuffled(tail.select("a", F.col("b").alias("to")), "moves")
+            names = renamed(names, moves)
+            break
         order = lambda c, turn=turn: F.xxhash64(F.col(c), F.lit(turn))
         sides = left.union(left.select("b", "a"))
         first = F.min(F.struct(order("b").alias("o"), F.col("b")))
@@ -97,9 +112,7 @@ def components(links: DataFrame) -> DataFrame:
             .mapInArrow(_forests, LINK),
             "links",
         )
-        names = names.join(moves.withColumnRenamed("a", "name"), "name", "left").select(
-            "node", F.coalesce("to", "name").alias("name")
-        )
+        names = renamed(names, moves)
         turn += 1
     names = stage(names, "names")
     least = small_or_shuffled(
