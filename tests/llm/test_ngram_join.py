@@ -127,6 +127,35 @@ def test_empty_and_extra_columns(spark, odd, empty):
     assert set(DOC_SCHEMA) and len(got) == len(ODD_ROWS)
 
 
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_one_row_of_each_component(spark, monkeypatch, broadcast):
+    """Equal and null doc_ids: near copies go, other texts of a kept doc_id's component too."""
+    monkeypatch.setattr(tables.small_or_shuffled, "__defaults__", (broadcast,))
+    draws = random.Random(8)
+    text = lambda: " ".join(f"w{draws.randrange(10**6)}" for _ in range(60))
+    near = lambda t, n=0: f"{t} more words {n}"
+    twins, five, other, gone, nulls, mixed, lone, copied = (text() for _ in range(8))
+    rows = [
+        (1, twins), (1, near(twins)), (1, near(twins, 1)),  # near copies of one doc_id
+        (3, other), (5, near(other)), (5, five),  # doc_id 5 is kept for its other text alone
+        (5, near(five)),
+        (None, nulls), (None, near(nulls)), (None, lone),  # no doc_id at all
+        (None, mixed), (9, near(mixed)),  # the row with a doc_id stays
+        (7, gone), (7, text()), (6, near(gone)),
+        (11, copied), (11, copied), (12, copied),
+        (1, ""), (None, None), (None, " "), (5, None),
+    ]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, at int")
+    kept = [tuple(r) for r in NgramJoin(df.repartition(5)).one_of_each().collect()]
+    assert {rows[at] for *_, at in kept} == {r[:2] for r in kept}
+    groups = [{0, 1, 2}, {3}, {5, 6}, {7, 8}, {9}, {11}, {13}, {14}, {15, 16}, {18}, {19}, {20}, {21}]
+    at = sorted(r[2] for r in kept)
+    assert len(at) == len(groups)
+    assert all(len(own & set(at)) == 1 for own in groups)
+    again = NgramJoin(df.repartition(2)).one_of_each().collect()
+    assert sorted(r[2] for r in again) == at
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.sets(st.integers(0, 60), min_size=1), st.sets(st.integers(0, 60), min_size=1))
 def test_long_prefixes_share_what_they_ask_for(one, two):

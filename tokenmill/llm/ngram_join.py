@@ -98,8 +98,12 @@ def signature(own: np.ndarray) -> tuple[int, int]:
     return int(one.astype(np.int64)), int(two.astype(np.int64))
 
 
+def text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """``(row, doc_id, n, one, two)`` of every row; ``row`` numbers the rows."""
+    """``(row, doc_id, text_key, n, one, two)`` of every row; ``row`` numbers the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
@@ -110,14 +114,15 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 [
                     pa.array(np.arange(row, row + len(found))),
                     batch.column(0),
+                    batch.column(2),
                     *[pa.array(values, pa.int64()) for values in (n, one, two)],
                 ],
-                ["row", "doc_id", "n", "one", "two"],
+                ["row", "doc_id", "text_key", "n", "one", "two"],
             )
             row += len(found)
 
-    schema = "row bigint, doc_id bigint, n bigint, one bigint, two bigint"
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
+    schema = "row bigint, doc_id bigint, text_key bigint, n bigint, one bigint, two bigint"
+    return docs.select(F.col("doc_id").cast("bigint"), "text", text_key()).mapInArrow(run, schema)
 
 
 class _Unit:
@@ -498,8 +503,12 @@ class NgramJoin:
             done, turn = turn, turn * 8
         return found
 
-    def groups(self) -> DataFrame:
-        """``(row, doc_id, n, component_id)``: the least doc_id of each row's component."""
+    def named_rows(self) -> DataFrame:
+        """The rows with ``component_id``, the least doc_id of their component, and ``component``.
+
+        ``component`` tells components apart, which a doc_id that several of them hold
+        does not.  Both are null for rows without shingles.
+        """
         links = self.links()
         classes = self.classes
         if links is not None:
@@ -510,9 +519,17 @@ class NgramJoin:
             least = named.groupBy("component").agg(F.min("least").alias("component_id"))
             classes = named.join(least, "component")
         else:
-            classes = classes.withColumn("component_id", F.col("least"))
-        found = small_or_shuffled(classes.select("one", "two", "n", "component_id"), "groups")
-        return self.rows.join(found, ["one", "two", "n"], "left").select(
+            classes = classes.withColumn("component", F.col("node")).withColumn(
+                "component_id", F.col("least")
+            )
+        found = small_or_shuffled(
+            classes.select("one", "two", "n", "component", "component_id"), "groups"
+        )
+        return self.rows.join(found, ["one", "two", "n"], "left")
+
+    def groups(self) -> DataFrame:
+        """``(row, doc_id, n, component_id)``: the least doc_id of each row's component."""
+        return self.named_rows().select(
             "row", "doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id")
         )
 
@@ -520,29 +537,40 @@ class NgramJoin:
         """Of each component the row with the least ``doc_id``, all columns unchanged.
 
         Rows without shingles stay.  A row with a null ``doc_id`` goes if its component
-        has a row with one.  Of several rows with the least ``doc_id`` one stays; as rows
-        are told apart by doc_id and text, equal rows are made one.
+        has a row with one.  Of several rows with the least ``doc_id`` the one with the
+        least hash of its text stays, and of rows equal in both the one with the least
+        hash of all columns.
         """
-        groups = self.groups()
-        kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        ids = stage(
-            kept.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("n").alias("n")), "kept"
+        first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+        texts = (
+            self.named_rows()
+            .where((F.col("n") > 0) & first)
+            .groupBy("component", "component_id", "text_key")
+            .agg(F.count("*").alias("rows"))
         )
-        single = small_or_shuffled(
-            ids.where("rows = 1 or n = 0").select(F.col("doc_id").alias("_id")), "kept-single"
+        kept = texts.groupBy("component", "component_id").agg(
+            F.min(F.struct("text_key", "rows")).alias("text")
         )
-        own = F.col("doc_id").cast("bigint")
-        docs = self.docs.join(single, own.eqNullSafe(F.col("_id")), "left_semi")
-        several = ids.where("rows > 1 and n > 0").select(F.col("doc_id").alias("_id"))
+        kept = kept.select(F.col("component_id").alias("doc_id"), "text.*")
+        plain = self.rows.where("n = 0").select("doc_id", "text_key").distinct()
+        kept = stage(kept.unionByName(plain.withColumn("rows", F.lit(1).cast("bigint"))), "kept")
+
+        def held(keys: DataFrame, label: str) -> DataFrame:
+            keys = keys.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+            same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (
+                text_key() == F.col("_key")
+            )
+            return self.docs.join(small_or_shuffled(keys, label), same, "left_semi")
+
+        docs = held(kept.where("rows = 1"), "kept-single")
+        several = kept.where("rows > 1")
         if several.isEmpty():
             return docs
-        # Rows that share a doc_id: one of each component, found again by a join of their own.
-        twins = stage(
-            self.docs.join(
-                small_or_shuffled(several, "kept-several"), own.eqNullSafe(F.col("_id")), "left_semi"
-            ),
-            "twins",
+        whole = F.struct(*self.docs.columns)
+        alone = (
+            held(several, "kept-several")
+            .groupBy(F.col("doc_id").cast("bigint").alias("_id"), text_key().alias("_key"))
+            .agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("_row"))
+            .select("_row.*")
         )
-        key = F.xxhash64(F.coalesce("text", F.lit("")))
-        alone = twins.withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
         return docs.unionByName(alone)
