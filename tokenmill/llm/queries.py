@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.llm.contamination import Hits
 from tokenmill.llm.language import identify, learn_languages
-from tokenmill.llm.language_model import learn, score
+from tokenmill.llm.language_model import WHOLE, learn, score
 from tokenmill.llm.line_dedup import LineDedup
 from tokenmill.llm.mixing import mix_sources
 from tokenmill.llm.ngram_join import NgramJoin
@@ -110,7 +110,7 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    tree, words = learn(docs.where(fold_of("doc_id", 10) != 0))
+    tree, words = learn(docs.where(fold_of("doc_id", 10) != 0), WHOLE)
     return score(docs, tree, words).withColumn("held_out", held_out(10, 0))
 
 
