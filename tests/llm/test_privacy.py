@@ -113,3 +113,29 @@ def test_terms_that_disclose(spark):
     clean = {r["doc_id"]: r["text"] for r in found.sanitised().collect()}
     assert "[EMAIL]" in clean[3] and "ebulon" not in clean[3]
     assert clean[5000] == rows[-1][1] and clean[4] == rows[4][1]
+
+
+def test_terms_far_from_the_entity(spark):
+    """Terms anywhere in the texts of an entity, in a small table, told from chance."""
+    draws = random.Random(6)
+    word = lambda: f"w{draws.randrange(300)}"
+    rows, far = [], [f"f{i}" for i in range(40)]
+    for i in range(400):
+        words = [word() for _ in range(60)]
+        if i in (7, 20):  # only two texts, and the name is forty words away
+            words[5], words[50] = "Quillon", "quill@mail.example.com"
+        if i % 100 == 11:
+            words = ["Ostrander", *far, "+49 30 1234567", *far, f"alone{i}"]
+        if i == 33:
+            words[3], words[30] = "hapax", "single@mail.example.com"
+        rows.append((i, " ".join(words), "en", "a", 0))
+    rows += [(1000 + i, rows[33][1], "en", "a", 0) for i in range(5)]  # copies are no evidence
+    docs = spark.createDataFrame(rows, DOC_SCHEMA).repartition(3)
+    report = {r["doc_id"]: r for r in Privacy(docs).report().collect()}
+    for doc_id, text, *_ in rows:
+        spans = [s.split(":") for s in report[doc_id]["spans"].split(",") if s]
+        terms = [text[int(a) : int(b)] for kind, a, b in spans if kind == "term"]
+        want = ["Quillon"] if doc_id in (7, 20) else []
+        if doc_id in (11, 111, 211, 311):
+            want = ["Ostrander", *far, *far]
+        assert terms == want

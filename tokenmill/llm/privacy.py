@@ -2,15 +2,16 @@
 
 Patterns find e-mail addresses, IP addresses, card and phone numbers: these are the
 protected entities.  Other words can give one away: a word that occurs almost only
-beside one address names its owner.  For every term beside an entity the corpus
-tells how likely the entity is given the term, and how many bits the term adds to
-what one knows without it (the pointwise mutual information).  A term that occurs
-beside the entity in at least ``min_texts`` different texts, predicts it with at
-least ``min_share`` and adds at least ``min_bits`` is disclosing; in documents that
-hold the entity it is generalised, or removed if it adds ``remove_bits``.
+in texts with one address names its owner.  For every term of the texts that hold an
+entity the corpus tells how likely the entity is given the term, and how many bits the
+term adds to what one knows without it (the pointwise mutual information).  A term that
+predicts the entity with at least ``min_share`` is disclosing, if that many texts with
+both would come about by chance with a probability of at most ``chance`` for any of all
+terms and entities (the bound of Chernoff, times their number).  In documents that hold
+the entity it is generalised, or removed if it adds ``remove_bits``.
 
-Term counts cover whole texts of all documents.  Equal texts count once, so
-copies of a document are no evidence.
+Term counts cover whole texts of all documents, wherever the term is in them.  Equal
+texts count once, so copies of a document are no evidence.
 
 Contract: null text is empty and has no spans; positions are code points, the end
 exclusive; documents are told apart by ``doc_id`` and text, so repeated rows have
@@ -19,6 +20,7 @@ equal results; other columns pass through ``sanitised`` untouched.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -39,15 +41,13 @@ CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
 TERM_GAP = r"[^\p{L}\p{N}]+"
-NEAR_CHARS = 120
 
 
 @dataclass(frozen=True)
 class DisclosureSettings:
-    reach: int = 4
-    min_texts: int = 3
     min_share: float = 0.8
-    min_bits: float = 8.0
+    chance: float = 0.05
+    min_bits: float = 0.0
     remove_bits: float = 12.0
 
 
@@ -59,21 +59,10 @@ def terms(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), TERM_GAP), "")
 
 
-def matches(text: Column, kind: str, pattern: str, reach: int) -> Column:
-    """Structs of kind, number, characters since the match before, match and terms beside it."""
+def matches(text: Column, kind: str, pattern: str) -> Column:
+    """Structs of kind, number, characters since the match before, and match."""
     gaps = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-
-    def beside(n: Column) -> Column:
-        before, after = F.get(gaps, n), F.get(gaps, n + 1)
-        left = terms(F.right(before, F.lit(NEAR_CHARS)))
-        # A word that the cut may have gone through is left out.
-        whole = F.char_length(before) <= NEAR_CHARS
-        left = F.when(whole, left).otherwise(F.slice(left, F.lit(2), F.greatest(F.size(left) - 1, F.lit(0))))
-        left = F.slice(left, F.greatest(F.size(left) - reach + 1, F.lit(1)), F.lit(reach))
-        right = F.slice(terms(F.left(after, F.lit(NEAR_CHARS))), 1, reach)
-        return F.concat(left, right)
-
     return F.transform(
         found,
         lambda m, n: F.struct(
@@ -81,7 +70,6 @@ def matches(text: Column, kind: str, pattern: str, reach: int) -> Column:
             n.alias("number"),
             F.char_length(F.get(gaps, n)).alias("gap"),
             m.alias("value"),
-            beside(n).alias("terms"),
         ),
     )
 
@@ -124,18 +112,16 @@ class Privacy:
     def __init__(self, docs: DataFrame, settings: DisclosureSettings | None = None):
         self.settings = settings or DisclosureSettings()
         self.docs = docs
+        self.spark = docs.sparkSession
         self.base = stage(self.base_spans(), "base-spans")
 
     def base_spans(self) -> DataFrame:
-        """``(doc_id, text_key, kind, start, end, value, terms)`` of all valid matches."""
+        """``(doc_id, text_key, kind, start, end, value)`` of all valid matches."""
         text = F.col("text")
-        reach = self.settings.reach
-        none = F.array().cast(
-            "array<struct<kind string, number int, gap int, value string, terms array<string>>>"
-        )
+        none = F.array().cast("array<struct<kind string, number int, gap int, value string>>")
 
         def when(hint: Column, kind: str, pattern: str) -> Column:
-            return F.coalesce(F.when(hint, matches(text, kind, pattern, reach)), none)
+            return F.coalesce(F.when(hint, matches(text, kind, pattern)), none)
 
         found = F.concat(
             when(text.contains("@"), "email", EMAIL),
@@ -159,7 +145,7 @@ class Privacy:
             rows.withColumn("end", F.sum(F.col("gap") + length).over(so_far))
             .withColumn("start", F.col("end") - length)
             .where(valid(F.col("kind"), F.col("value")))
-            .select("doc_id", "text_key", "kind", "start", "end", "value", "terms")
+            .select("doc_id", "text_key", "kind", "start", "end", "value")
         )
 
     def entities(self) -> DataFrame:
@@ -168,40 +154,83 @@ class Privacy:
         name = F.when(F.col("kind").isin("card", "phone"), digits).otherwise(F.lower("value"))
         return self.base.withColumn("entity", F.concat_ws(":", "kind", name))
 
+    def term_counts(self, held: DataFrame) -> tuple[DataFrame, int]:
+        """``(term, texts, most)`` of all terms, and the number of different texts.
+
+        ``most`` is the greatest number of the term's texts that hold one kind of entity.
+        """
+        keys = stage(
+            self.docs.groupBy(text_key().alias("text_key")).agg(F.count("*").alias("copies")),
+            "text-keys",
+        )
+        copies = small_or_shuffled(keys.where("copies > 1"), "text-copies")
+        kinds = held.groupBy("text_key").agg(F.collect_set("kind").alias("kinds"))
+        texts = (
+            self.docs.select(
+                text_key().alias("text_key"), F.array_distinct(terms(F.col("text"))).alias("terms")
+            )
+            .join(copies, "text_key", "left")
+            .join(small_or_shuffled(kinds, "text-kinds"), "text_key", "left")
+        )
+        # Each of a text's copies counts as a share of one, so that no text moves to be counted.
+        one = F.lit(1.0) / F.coalesce("copies", F.lit(1))
+        holds = lambda kind: F.coalesce(F.array_contains("kinds", kind), F.lit(False))
+        found = texts.select(
+            F.explode("terms").alias("term"),
+            one.alias("one"),
+            *[F.when(holds(kind), one).otherwise(0.0).alias(kind) for kind in KINDS[:-1]],
+        )
+        whole = lambda name: F.round(F.sum(name)).cast("bigint")
+        counts = found.groupBy("term").agg(
+            whole("one").alias("texts"), F.greatest(*[whole(kind) for kind in KINDS[:-1]]).alias("most")
+        )
+        return stage(counts, "term-counts"), keys.count()
+
     def disclosing(self) -> DataFrame:
         """``(entity, term, share, bits)`` of the terms that reveal an entity."""
         s = self.settings
-        held = self.entities()
-        beside = (
-            held.select("entity", "text_key", F.explode("terms").alias("term"))
-            .where(F.char_length("term") > 1)
-            .distinct()
-            .groupBy("entity", "term")
-            .agg(F.count("*").alias("together"))
-            .where(F.col("together") >= s.min_texts)
+        held = stage(self.entities().select("entity", "kind", "text_key").distinct(), "holders")
+        if held.isEmpty():
+            return self.spark.createDataFrame(
+                [], "entity string, term string, share double, bits double"
+            )
+        counts, total = self.term_counts(held)
+        holders = stage(held.groupBy("entity").agg(F.count("*").alias("held")), "entity-holders")
+        tested = float(counts.count()) * holders.count()
+        # One text with both has by chance the probability of one in all texts at least, so
+        # it is no evidence unless these outnumber what is tested.
+        least = 1 if total * s.chance >= tested else 2
+        # A term cannot predict an entity better than it does the entity's kind.
+        wanted = counts.where(
+            (F.col("texts") >= least) & (F.col("most") >= s.min_share * F.col("texts"))
         )
-        beside = stage(beside, "terms-beside")
-        wanted = small_or_shuffled(beside.select("term").distinct(), "terms-wanted")
-        texts = self.docs.select(text_key().alias("text_key"), terms(F.col("text")).alias("terms"))
-        total = texts.select("text_key").distinct().count()
-        counts = (
-            texts.select("text_key", F.explode_outer("terms").alias("term"))
+        wanted = small_or_shuffled(wanted.select("term", "texts"), "terms-wanted")
+        often = small_or_shuffled(holders.where(F.col("held") >= least), "entities-often")
+        held = stage(held.join(often, "entity").select("entity", "held", "text_key"), "held-often")
+        keys = small_or_shuffled(held.select("text_key").distinct(), "held-texts")
+        inside = (
+            self.docs.select(text_key().alias("text_key"), "text")
+            .join(keys, "text_key", "left_semi")
+            .select("text_key", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
             .join(wanted, "term")
             .distinct()
-            .groupBy("term")
-            .agg(F.count("*").alias("texts"))
         )
-        holders = (
-            held.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("held"))
+        together = (
+            inside.join(held, "text_key")
+            .groupBy("entity", "term", "texts", "held")
+            .agg(F.count("*").alias("together"))
         )
         share = F.col("together") / F.col("texts")
+        plain = F.col("held") / F.lit(float(total))
+        missing = F.when(
+            F.col("together") < F.col("texts"), (1 - share) * F.log((1 - share) / (1 - plain))
+        ).otherwise(0.0)
+        surprise = F.col("texts") * (share * F.log(share / plain) + missing)
+        sure = F.when(share > plain, surprise >= math.log(tested / s.chance)).otherwise(False)
         return (
-            beside.join(counts, "term")
-            .join(holders, "entity")
-            .withColumn("share", share)
-            .withColumn("bits", F.log2(share * F.lit(float(max(total, 1))) / F.col("held")))
-            .where((F.col("share") >= s.min_share) & (F.col("bits") >= s.min_bits))
-            .select("entity", "term", "share", "bits")
+            together.where((share >= s.min_share) & sure)
+            .select("entity", "term", share.alias("share"), F.log2(share / plain).alias("bits"))
+            .where(F.col("bits") >= s.min_bits)
         )
 
     def term_spans(self) -> DataFrame:
@@ -261,7 +290,7 @@ class Privacy:
 
     def spans(self) -> DataFrame:
         """All spans, base ones with null ``bits``."""
-        base = self.base.drop("terms").withColumn("bits", F.lit(None).cast("double"))
+        base = self.base.withColumn("bits", F.lit(None).cast("double"))
         return base.unionByName(self.term_spans().withColumn("kind", F.lit("term")))
 
     def by_document(self) -> DataFrame:
