@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill.llm.contamination import Hits
+from tokenmill.llm.exact_dedup import ExactDedup
 from tokenmill.llm.language import identify, learn_languages
 from tokenmill.llm.language_model import WHOLE, learn, score
 from tokenmill.llm.line_dedup import LineDedup
@@ -114,6 +115,13 @@ def op10_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, tree, words).withColumn("held_out", held_out(10, 0))
 
 
+@register
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ExactDedup(table(spark, sf_dir, "documents")).report()
+    digest = F.lower(F.hex("digest")).alias("text_sha256")
+    return found.select("doc_id", "keep_id", "group_size", "kept", digest)
+
+
 # The hits by joins on the words themselves; items of fewer than ten words are one window.
 SQL["op4_decontaminate"] = r"""
 with d as (
@@ -171,3 +179,13 @@ select d.doc_id, coalesce(n_lines, 0)::bigint n_lines, coalesce(len(g), 0)::bigi
   coalesce(array_to_string(g, ','), '') removed
 from documents d left join r on d.doc_id = r.doc_id
 """
+
+SQL["op11_exact_dedup"] = r"""
+with d as (
+  select doc_id, length(coalesce(text, '')) n,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) text_sha256
+  from documents)
+select doc_id, first_value(doc_id) over g keep_id, count(*) over (partition by text_sha256) group_size,
+  row_number() over g = 1 kept, text_sha256
+from d window g as (partition by text_sha256 order by n desc, doc_id nulls last)
+"""
