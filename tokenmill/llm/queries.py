@@ -19,6 +19,7 @@ from tokenmill.llm.quality import learn_quality, with_quality
 from tokenmill.llm.tables import fold_of
 from tokenmill.llm.token_counts import token_counts
 from tokenmill.llm.vector_dedup import VectorDedup
+from tokenmill.llm.whitening import Whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,6 +123,12 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", digest)
 
 
+@register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = Whitening(table(spark, sf_dir, "embeddings")).report()
+    return rows.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 # The hits by joins on the words themselves; items of fewer than ten words are one window.
 SQL["op4_decontaminate"] = r"""
 with d as (
