@@ -215,8 +215,12 @@ class ExactDedup:
             "digest",
         )
         repeated = tested.where("maybe")
-        groups = repeated.groupBy("digest").agg(
-            F.min(_rank()).alias("best"), F.count("*").alias("group_size")
+        # Written, so that the join has a shuffle of its own and Spark can split a hot group in it.
+        groups = stage(
+            repeated.groupBy("digest").agg(
+                F.min(_rank()).alias("best"), F.count("*").alias("group_size")
+            ),
+            "exact-groups",
         )
         joined = repeated.join(groups, "digest").select(
             "doc_id",
