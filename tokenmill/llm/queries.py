@@ -14,6 +14,7 @@ from tokenmill.llm.language_model import WHOLE, learn, score
 from tokenmill.llm.line_dedup import LineDedup
 from tokenmill.llm.mixing import mix_sources
 from tokenmill.llm.ngram_join import NgramJoin
+from tokenmill.llm.periodic import PeriodicRuns
 from tokenmill.llm.privacy import Privacy
 from tokenmill.llm.quality import learn_quality, with_quality
 from tokenmill.llm.tables import fold_of
@@ -129,6 +130,42 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("deviation", F.col("deviation").cast("bigint"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text, the text repeating from some word on where the contract plants a run."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(hashed / 10)
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    a = g % n
+    p = F.floor((n - a) / (3 + g % 8)) + 1
+    place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+    planted = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i).cast("int")))
+    chosen = (hashed % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return docs.select(
+        "doc_id", F.when(chosen, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text")
+    )
+
+
+@register
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = PeriodicRuns(with_planted_runs(table(spark, sf_dir, "documents"))).report()
+    higher = lambda x, y: y["length"] * x["period"] > x["length"] * y["period"]
+    top = F.aggregate(
+        "runs", F.get("runs", F.lit(0)), lambda x, y: F.when(higher(x, y), y).otherwise(x)
+    )
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.withColumn("top", top).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 # The hits by joins on the words themselves; items of fewer than ten words are one window.
 SQL["op4_decontaminate"] = r"""
 with d as (
