@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tokenmill.llm.contamination import Hits
 from tokenmill.llm.exact_dedup import ExactDedup
@@ -130,20 +132,27 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("deviation", F.col("deviation").cast("bigint"))
 
 
+@F.arrow_udf(StringType())
+def planted(texts: pa.Array, places: pa.Array) -> pa.Array:
+    """The texts with the words from some word on repeated, as the contract plants runs."""
+    found: list[str | None] = []
+    for text, g in zip(texts.to_pylist(), places.to_pylist(), strict=True):
+        words = text.encode().split() if text else []
+        if words:
+            a = g % len(words)
+            p = 1 + (len(words) - a) // (3 + g % 8)
+            again = -(-(len(words) - a) // p)
+            words = (words[:a] + words[a : a + p] * again)[: len(words)]
+        found.append(b" ".join(words).decode() if words else text)
+    return pa.array(found, pa.string())
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
-    """doc_id and text, the text repeating from some word on where the contract plants a run."""
+    """doc_id and text, with a run planted in one document of ten."""
     hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    g = F.floor(hashed / 10)
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n = F.size(words)
-    a = g % n
-    p = F.floor((n - a) / (3 + g % 8)) + 1
-    place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
-    planted = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i).cast("int")))
-    chosen = (hashed % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return docs.select(
-        "doc_id", F.when(chosen, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text")
-    )
+    chosen = F.when(hashed % 10 == 0, F.col("text"))
+    text = F.coalesce(planted(chosen, F.floor(hashed / 10)), F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
 
 
 @register
