@@ -6,7 +6,15 @@ import numpy as np
 import pytest
 
 from tokenmill.llm import periodic
-from tokenmill.llm.periodic import PeriodicRuns, RunSettings, Words, fragments, z_function
+from tokenmill.llm.periodic import (
+    LongWords,
+    PeriodicRuns,
+    RunSettings,
+    Words,
+    fragments,
+    words_of,
+    z_function,
+)
 from tokenmill.llm.queries import op13_periodic_runs, with_planted_runs
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -66,7 +74,7 @@ def texts(count, seed=0):
 def test_fragments_hold_all_runs(seed, monkeypatch):
     monkeypatch.setattr(periodic, "TILE_COMPARISONS", random.Random(seed).choice([1, 40, 1 << 20]))
     words = repetitive(random.Random(seed), 400)
-    found = fragments(Words(" ".join(words)).codes(), RunSettings())
+    found = fragments(words_of(" ".join(words)).codes(), RunSettings())
     got = sorted(
         ((a, b - a + q, q) for q, a, b in found if b - a + q >= max(24, 3 * q)),
         key=lambda r: (r[0], r[2]),
@@ -76,7 +84,7 @@ def test_fragments_hold_all_runs(seed, monkeypatch):
 
 def test_one_word_and_long_periods():
     for words in (["a"] * 3000, [f"w{i % 997}" for i in range(3100)], ["a", "b"] * 500 + ["c"]):
-        found = fragments(Words(" ".join(words)).codes(), RunSettings())
+        found = fragments(words_of(" ".join(words)).codes(), RunSettings())
         got = sorted((a, b - a + q, q) for q, a, b in found if b - a + q >= max(24, 3 * q))
         assert got == runs_of(words)
 
@@ -91,14 +99,19 @@ def test_z_function():
         assert z_function(values) == slow
 
 
-def test_words_are_those_of_the_contract():
-    text = " é\x0b日本 x y \x1f  \n end"
-    words = Words(text)
+@pytest.mark.parametrize("kind", [Words, LongWords])
+def test_words_are_those_of_the_contract(kind):
+    text = " é\x0b日本 x y \x1f  \n end"
+    words = kind(text.encode())
     assert len(words) == len(WORD.findall(text))
     assert words.without([]) == " ".join(WORD.findall(text))
-    codes = Words("a b ab a  ab").codes()
+    codes = kind(b"a b ab a  ab").codes()
     assert (codes == np.array([0, 1, 2, 0, 2])).all()
-    assert Words(None).without([]) == "" == Words(" \n").without([])
+    assert kind(b"").without([]) == "" == kind(b" \n").without([])
+    assert words_of(None).without([]) == ""
+    runs = [(2, 9, 3), (8, 6, 1)]
+    text = " \t".join("abcdefghijklmnopq")
+    assert kind(text.encode()).without(runs) == collapsed_of(WORD.findall(text), runs)
 
 
 def reported(docs, settings=RunSettings()):

@@ -18,7 +18,7 @@ extensions can reach, so tiles are solved independently.  The tiles of a documen
 where the document was read.  What tiles pass on are fragments ``(document, period, from,
 to)`` of stretches, touching ones of a document joined first.  They are shuffled by document
 and period and stitched to whole stretches, whose runs are then joined with their document.
-Documents without a fragment, most of them, never shuffle.
+Documents in which no eight words come back, most of them, hold no run and never shuffle.
 
 Words are compared by their number in the document, which is exact.
 
@@ -49,6 +49,9 @@ NARROWEST = 16
 #: Comparisons of a tile, which bounds the memory of solving it.
 TILE_COMPARISONS = 1 << 21
 
+#: Texts of more bytes are handled as arrays.
+LONG_BYTES = 1 << 20
+
 RUNS = ArrayType(StructType([StructField(n, LongType()) for n in ("start", "length", "period")]))
 
 
@@ -122,15 +125,30 @@ def primitive(ahead: np.ndarray, periods: np.ndarray) -> np.ndarray:
 
 def grams(codes: np.ndarray) -> np.ndarray:
     """A number for each run of ``GRAM`` words, equal where the words are."""
-    count = len(codes) - GRAM + 1
     with np.errstate(over="ignore"):
-        found = np.zeros(max(0, count), np.uint64)
-        for step in range(GRAM):
-            found = (found ^ codes[step : step + len(found)]) * np.uint64(0x9E3779B97F4A7C15)
-            found ^= found >> np.uint64(29)
+        found, width = codes, 1
+        while width < GRAM:
+            found = found[: max(0, len(found) - width)] * np.uint64(0x9E3779B97F4A7C15) ^ (
+                found[width:] + np.uint64(width)
+            )
+            found = found ^ (found >> np.uint64(31))
+            width *= 2
     return found
 
 
+def comes_back(codes: np.ndarray) -> bool:
+    """Whether any eight words come up twice; else the text holds no fragment."""
+    marks = np.sort(grams(codes))
+    return bool((marks[1:] == marks[:-1]).any())
+
+
+def least_distance(marks: np.ndarray) -> int:
+    """Least distance of equal marks, below which there is no period; some are equal."""
+    order = np.argsort(marks, kind="stable")
+    same = marks[order[1:]] == marks[order[:-1]]
+    return int((order[1:] - order[:-1])[same].min())
+
+
 def solve(
     codes: np.ndarray, marks: np.ndarray, first: int, count: int, octave: Octave
 ) -> Iterator[tuple[int, int, int]]:
@@ -196,56 +214,94 @@ def joined(pieces: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
 
 def fragments(codes: np.ndarray, settings: RunSettings) -> list[tuple[int, int, int]]:
     """Joined fragments of a document, all its tiles solved here."""
-    if len(codes) < settings.least_words:
+    if len(codes) < settings.least_words or not comes_back(codes):
         return []
     marks = grams(codes)
-    if len(np.unique(marks)) == len(marks):
-        return []  # no eight words come back at all
+    least = least_distance(marks)
     found: list[tuple[int, int, int]] = []
     for octave in octaves(len(codes), settings.least_powers):
+        if octave.high <= least:
+            continue
         for first, count, _ in tiles(len(codes), octave):
             found.extend(solve(codes, marks, first, count, octave))
     return joined(found)
 
 
+def kept_words(words: int, runs: list[tuple[int, int, int]]) -> np.ndarray:
+    """For each word, whether no run has it after its first period."""
+    change = np.zeros(words + 1, np.int64)
+    for start, length, period in runs:
+        change[start + period] += 1
+        change[start + length] -= 1
+    return np.cumsum(change[:-1]) == 0
+
+
 class Words:
-    """The words of one text: where they are, and numbers that are equal for equal words."""
+    """The words of a text, and numbers that are equal for equal words."""
+
+    def __init__(self, raw: bytes):
+        self.words = raw.split()  # of bytes, splits at the white space of the contract
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def codes(self) -> np.ndarray:
+        seen: dict[bytes, int] = {}
+        numbers = (seen.setdefault(word, len(seen)) for word in self.words)
+        return np.fromiter(numbers, np.uint64, len(self.words))
 
-    def __init__(self, text: str | None):
-        self.raw = np.frombuffer((text or "").encode(), np.uint8)
+    def without(self, runs: list[tuple[int, int, int]]) -> str:
+        """The words that no run has after its first period, joined by one space."""
+        words = self.words
+        if runs:
+            words = [words[i] for i in np.flatnonzero(kept_words(len(words), runs)).tolist()]
+        return b" ".join(words).decode()
+
+
+class LongWords:
+    """The same of a long text, without an object for each word."""
+
+    def __init__(self, raw: bytes):
+        self.raw = np.frombuffer(raw, np.uint8)
         self.starts, self.ends, _ = word_bounds(self.raw, np.array([0, len(self.raw)]))
 
     def __len__(self) -> int:
         return len(self.starts)
 
     def codes(self) -> np.ndarray:
-        sizes = self.ends - self.starts
         inside = np.zeros(len(self.raw) + 1, np.int8)
         inside[self.starts] = 1
         inside[self.ends] = -1
         letters = self.raw[np.cumsum(inside[:-1], dtype=np.int8) > 0]
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
+        offsets = np.concatenate([[0], np.cumsum(self.ends - self.starts)])
         words = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
+            pa.large_binary(),
+            len(self.starts),
+            [None, pa.py_buffer(offsets), pa.py_buffer(letters)],
         )
         return pc.dictionary_encode(words).indices.to_numpy().astype(np.uint64)
 
     def without(self, runs: list[tuple[int, int, int]]) -> str:
-        """The words that no run has after its first period, joined by one space."""
-        change = np.zeros(len(self) + 1, np.int64)
-        for start, length, period in runs:
-            change[start + period] += 1
-            change[start + length] -= 1
-        kept = np.cumsum(change[:-1]) == 0
+        kept = kept_words(len(self), runs)
         mask = np.zeros(len(self.raw) + 1, np.int8)
-        mask[self.starts[kept]] = 1
+        mask[self.starts[kept]] += 1
         # A word takes the white space behind it along, which becomes the one space.
-        np.add.at(mask, np.minimum(self.ends[kept] + 1, len(self.raw)), -1)
+        mask[np.minimum(self.ends[kept] + 1, len(self.raw))] -= 1
         letters = self.raw[np.cumsum(mask[:-1], dtype=np.int8) > 0].copy()
-        letters[np.isin(letters, (9, 10, 11, 12, 13))] = 32
+        letters[(letters >= 9) & (letters <= 13)] = 32
         return letters.tobytes().removesuffix(b" ").decode()
 
 
+def words_of(text: str | None) -> Words | LongWords:
+    raw = (text or "").encode()
+    return LongWords(raw) if len(raw) > LONG_BYTES else Words(raw)
+
+
+def is_plain(words: Words | LongWords, settings: RunSettings) -> bool:
+    """Whether a text can hold no run because no eight words come back in it."""
+    return len(words) < settings.least_words or not comes_back(words.codes())
+
+
 # Rows that the first pass over the documents gives, by ``kind``.
 FRAGMENT, TILE, DOCUMENT = range(3)
 INNER = (
@@ -275,7 +331,7 @@ def _tile_rows(row: int, codes: np.ndarray, settings: RunSettings) -> Iterator[d
 
 
 def _first_pass(settings: RunSettings, kinds: pa.DataType):
-    """Fragments of documents, tiles of long ones, and the documents that have either."""
+    """Fragments of documents, tiles of long ones, and the documents that are not plain."""
     schema = pa.schema(
         [("kind", pa.int32())]
         + [(n, pa.int64()) for n in INNER_NAMES[1:-1]]
@@ -292,18 +348,16 @@ def _first_pass(settings: RunSettings, kinds: pa.DataType):
             found, places = [], []
             numbers = batch.column("row").to_pylist()
             for place, text in enumerate(batch.column("text")):
-                row, words = numbers[place], Words(text.as_py())
-                if len(words) < settings.least_words:
+                row, words = numbers[place], words_of(text.as_py())
+                if is_plain(words, settings):
                     continue
+                places.append(place)
                 if len(words) > settings.spread_words:
-                    places.append(place)
                     for tile in _tile_rows(row, words.codes(), settings):
                         yield batch_of([tile])
                     continue
                 pieces = fragments(words.codes(), settings)
                 found.extend(_fragment(row, *piece) for piece in pieces)
-                if pieces:
-                    places.append(place)
             if found:
                 yield batch_of(found)
             if places:
@@ -341,10 +395,8 @@ def _without_runs(settings: RunSettings):
         for batch in batches:
             places, counts, texts = [], [], []
             for place, text in enumerate(batch.column("text")):
-                words = Words(text.as_py())
-                if len(words) > settings.spread_words:
-                    continue
-                if len(words) >= settings.least_words and fragments(words.codes(), settings):
+                words = words_of(text.as_py())
+                if not is_plain(words, settings):
                     continue
                 places.append(place)
                 counts.append(len(words))
@@ -366,7 +418,7 @@ def _with_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, texts = [], []
         for text, runs in zip(batch.column("text"), batch.column("runs"), strict=True):
-            words = Words(text.as_py())
+            words = words_of(text.as_py())
             own = [(r["start"], r["length"], r["period"]) for r in runs.as_py()]
             counts.append(len(words))
             texts.append(words.without(own))
