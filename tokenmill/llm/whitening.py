@@ -58,7 +58,7 @@ PARTIAL = "part int, rows bigint, total binary"
 class WhiteningSettings:
     components: int = 8
     #: Columns of the block beyond the wanted ones.
-    guard: int = 8
+    guard: int = 24
     most_degree: int = 12
     tolerance: float = 1e-14
     stalled: float = 1e-10
