@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tokenmill.llm.tables import ascii_lower, small_or_shuffled
+from tokenmill.llm.tables import ascii_lower, beside, columns_of, free_name, small_or_shuffled
 from tokenmill.staging import stage
 
 #: What separates words, and what words are made of, in lower-cased text.
@@ -188,44 +188,41 @@ class Hits:
             (n_hit > 0).alias("contaminated"),
         )
 
-    def _matched(self, table: DataFrame, how: str) -> DataFrame:
-        table = table.withColumnsRenamed({"doc_id": "_hit_id", "text_key": "_hit_key"})
-        same = F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (
-            text_key(F.col("text")) == F.col("_hit_key")
-        )
-        return self.docs.join(table, same, how)
-
     def clean_documents(self) -> DataFrame:
         """The rows without a hit, all their columns unchanged."""
         hit = small_or_shuffled(
             self.spans.select("doc_id", "text_key").distinct(), "contaminated"
         )
-        return self._matched(hit, "left_anti")
+        return beside(self.docs, hit, text_key(F.col("text")), "left_anti")[0]
 
     def without_spans(self) -> DataFrame:
         """All rows, the hit words and what follows each up to the next word cut out."""
         spans = small_or_shuffled(
             self.merged()
             .groupBy("doc_id", "text_key")
-            .agg(F.collect_list(F.struct("start", "end")).alias("_spans")),
+            .agg(F.collect_list(F.struct("start", "end")).alias("spans")),
             "contaminated-spans",
         )
+        whole, found = beside(self.docs, spans, text_key(F.col("text")))
+        inside = found["spans"]
         # Words and gaps take turns; the case is the text's own, so gaps leave letters alone.
         parts = F.regexp_extract_all(F.col("text"), F.lit(PART), F.lit(0))
         leading = F.when(F.regexp_like(F.col("text"), F.lit(f"^{FIRST_GAP}")), 1).otherwise(0)
 
+        names = [free_name(whole, name) for name in ("_parts", "_leading")]
+
         def stays(part: Column, place: Column) -> Column:
-            word = F.floor((place - F.col("_leading")) / 2)
+            word = F.floor((place - F.col(names[1])) / 2)
             return ~F.exists(
-                "_spans",
+                inside,
                 lambda s: (word >= s["start"]) & (word < s["end"]),
             )
 
-        joined = self._matched(spans, "left").withColumns(
-            {"_parts": F.when(F.col("_spans").isNotNull(), parts), "_leading": leading}
+        joined = whole.withColumns(
+            {names[0]: F.when(inside.isNotNull(), parts), names[1]: leading}
         )
-        cut = F.array_join(F.filter("_parts", stays), "")
+        cut = F.array_join(F.filter(names[0], stays), "")
         return joined.withColumn(
-            "text", F.when(F.col("_spans").isNotNull(), cut).otherwise(F.col("text"))
-        ).select(*self.docs.columns)
+            "text", F.when(inside.isNotNull(), cut).otherwise(F.col("text"))
+        ).select(*columns_of(self.docs))
 

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tokenmill.llm.text import blocks, mix
+from tokenmill.llm.tables import free_name
 from tokenmill.staging import stage
 
 UNKNOWN = "und"
@@ -249,7 +250,8 @@ def predictions(docs: DataFrame, model: LanguageFilter, text: Column) -> Column:
 
 def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> DataFrame:
     """The rows with ``lang_pred`` and ``score``."""
-    found = docs.withColumn("_language", predictions(docs, model, F.col(text)))
+    name = free_name(docs, "_language")
+    found = docs.withColumn(name, predictions(docs, model, F.col(text)))
     return found.withColumns(
-        {"lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}
-    ).drop("_language")
+        {"lang_pred": F.col(f"{name}.lang_pred"), "score": F.col(f"{name}.score")}
+    ).drop(name)

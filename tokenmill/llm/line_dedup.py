@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.llm.tables import small_or_shuffled
+from tokenmill.llm.tables import beside, columns_of, small_or_shuffled
 from tokenmill.staging import stage
 
 WIDTH = 5
@@ -329,37 +329,31 @@ class LineDedup:
             )
         )
 
-    def _joined(self, removed: DataFrame) -> DataFrame:
-        found = small_or_shuffled(removed, "removed-lines").withColumnsRenamed(
-            {"doc_id": "_id", "text_key": "_key", "removed": "_removed", "n_lines": "_lines"}
-        )
-        return self.docs.join(
-            found,
-            F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id"))
-            & (text_key() == F.col("_key")),
-            "left",
-        )
-
     def report(self) -> DataFrame:
         """For every row its lines that are not blank, how many go, and which."""
         none = F.array().cast("array<int>")
-        return self._joined(self.removed()).select(
+        removed = small_or_shuffled(self.removed(), "removed-lines")
+        joined, found = beside(self.docs.select("doc_id", "text"), removed, text_key())
+        gone = F.coalesce(found["removed"], none)
+        return joined.select(
             F.col("doc_id").cast("bigint"),
-            F.coalesce("_lines", F.lit(0)).cast("bigint").alias("n_lines"),
-            F.size(F.coalesce("_removed", none)).cast("bigint").alias("n_removed"),
-            F.array_join(F.coalesce("_removed", none), ",").alias("removed"),
+            F.coalesce(found["n_lines"], F.lit(0)).cast("bigint").alias("n_lines"),
+            F.size(gone).cast("bigint").alias("n_removed"),
+            F.array_join(gone, ",").alias("removed"),
         )
 
     def deduplicated(self) -> DataFrame:
         """The documents without these lines; those of which only blank lines are left go."""
         removed = self.removed().where(F.size("removed") > 0)
+        whole, found = beside(
+            self.docs, small_or_shuffled(removed, "removed-lines"), text_key()
+        )
+        gone = found["removed"]
         lines = F.split("text", "\n")
-        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed"))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
         cut = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
-        touched = F.col("_removed").isNotNull()
-        whole = self._joined(removed)
         return (
-            whole.where(~touched | (F.size("_removed") < F.col("_lines")))
-            .withColumn("text", F.when(touched, cut).otherwise(F.col("text")))
-            .select(*self.docs.columns)
+            whole.where(gone.isNull() | (F.size(gone) < found["n_lines"]))
+            .withColumn("text", F.when(gone.isNotNull(), cut).otherwise(F.col("text")))
+            .select(*columns_of(self.docs))
         )

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tokenmill.llm.components import components
-from tokenmill.llm.tables import partitions, small_or_shuffled
+from tokenmill.llm.tables import beside, columns_of, partitions, small_or_shuffled
 from tokenmill.llm.text import blocks, mix, shingles, word_hashes
 from tokenmill.staging import stage
 
@@ -556,17 +556,14 @@ class NgramJoin:
         kept = stage(kept.unionByName(plain.withColumn("rows", F.lit(1).cast("bigint"))), "kept")
 
         def held(keys: DataFrame, label: str) -> DataFrame:
-            keys = keys.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-            same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (
-                text_key() == F.col("_key")
-            )
-            return self.docs.join(small_or_shuffled(keys, label), same, "left_semi")
+            keys = small_or_shuffled(keys.select("doc_id", "text_key"), label)
+            return beside(self.docs, keys, text_key(), "left_semi")[0]
 
         docs = held(kept.where("rows = 1"), "kept-single")
         several = kept.where("rows > 1")
         if several.isEmpty():
             return docs
-        whole = F.struct(*self.docs.columns)
+        whole = F.struct(*columns_of(self.docs))
         alone = (
             held(several, "kept-several")
             .groupBy(F.col("doc_id").cast("bigint").alias("_id"), text_key().alias("_key"))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tokenmill.llm.tables import small_or_shuffled
+from tokenmill.llm.tables import beside, columns_of, small_or_shuffled
 from tokenmill.staging import stage
 
 #: The kinds in the order of their listing.  The possessive forms match what the plain
@@ -244,11 +244,12 @@ class Privacy:
             .agg(F.max("bits").alias("bits"))
         )
         found = stage(found, "terms-found")
-        keys = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-        keys = small_or_shuffled(keys.distinct(), "terms-documents")
-        texts = self.docs.withColumn("_text", F.coalesce("text", F.lit(""))).join(
-            keys,
-            F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (text_key() == F.col("_key")),
+        keys = small_or_shuffled(found.select("doc_id", "text_key").distinct(), "terms-documents")
+        texts, of = beside(self.docs.select("doc_id", "text"), keys, text_key(), "inner")
+        texts = texts.select(
+            of["doc_id"].alias("_id"),
+            of["text_key"].alias("_key"),
+            F.coalesce("text", F.lit("")).alias("_text"),
         )
         part = F.regexp_extract_all(
             "_text", F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"), F.lit(0)
@@ -304,26 +305,24 @@ class Privacy:
             .agg(F.sort_array(F.collect_list(one)).alias("spans"))
         )
 
-    def _joined(self) -> DataFrame:
-        found = small_or_shuffled(self.by_document(), "document-spans").withColumnsRenamed(
-            {"doc_id": "_id", "text_key": "_key", "spans": "_spans"}
-        )
-        same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (
-            text_key() == F.col("_key")
-        )
-        return self.docs.join(found, same, "left")
+    def _joined(self, docs: DataFrame) -> tuple[DataFrame, Column]:
+        """Documents and the column of their spans."""
+        found = small_or_shuffled(self.by_document(), "document-spans")
+        joined, columns = beside(docs, found, text_key())
+        return joined, columns["spans"]
 
     def report(self) -> DataFrame:
         """Counts by kind, the hash of the base spans, and all spans as text."""
         empty = F.array().cast(
             "array<struct<start bigint, rank bigint, end bigint, kind string, value string, bits double>>"
         )
-        spans = F.coalesce("_spans", empty)
+        joined, own = self._joined(self.docs.select("doc_id", "text"))
+        spans = F.coalesce(own, empty)
         shown = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
         count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind))
         base = F.filter(spans, lambda s: s["kind"] != "term")
         listed = F.array_join(F.transform(base, shown), ",")
-        return self._joined().select(
+        return joined.select(
             F.col("doc_id").cast("bigint"),
             *[count(kind).cast("bigint").alias(f"n_{kind}") for kind in KINDS],
             F.sha2(listed.cast("binary"), 256).alias("base_sha256"),
@@ -351,12 +350,13 @@ class Privacy:
                 F.greatest(done["at"], s["end"]).alias("at"),
             )
 
+        joined, spans = self._joined(self.docs)
         cut = F.aggregate(
-            "_spans",
+            spans,
             start,
             step,
             lambda done: F.concat(done["made"], F.substring(text, (done["at"] + 1).cast("int"), F.char_length(text))),
         )
-        return self._joined().withColumn(
-            "text", F.when(F.col("_spans").isNotNull(), cut).otherwise(text)
-        ).select(*self.docs.columns)
+        return joined.withColumn(
+            "text", F.when(spans.isNotNull(), cut).otherwise(text)
+        ).select(*columns_of(self.docs))

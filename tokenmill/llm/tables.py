@@ -11,6 +11,32 @@ from tokenmill.staging import stage
 BROADCAST_ROWS = 500_000
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind it as no column of the table has."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def beside(
+    docs: DataFrame, table: DataFrame, key: Column, how: str = "left"
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Documents next to a table with a ``doc_id`` and a ``text_key``, which ``key`` is of the text.
+
+    The columns of the table come under names that the documents do not use; they are
+    returned by their own ones.
+    """
+    names = {column: free_name(docs, f"_{column}") for column in table.columns}
+    found = {column: F.col(name) for column, name in names.items()}
+    same = F.col("doc_id").cast("bigint").eqNullSafe(found["doc_id"]) & (key == found["text_key"])
+    return docs.join(table.withColumnsRenamed(names), same, how), found
+
+
+def columns_of(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{column}`") for column in docs.columns]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
