@@ -10,9 +10,12 @@ left open.
 
 The flight runs in blocks of a source's documents, side by side; what blocks
 leave open meets in fewer blocks, and so on, until one block holds the rest of
-a source, a handful of its smallest documents as larger ones are decided first.
-There the landing gives up the total of documents, then rounds the last one, so
-a source misses its target by less than one small document.
+a source.  The ``RESERVE`` smallest open documents of a source are kept out until then: the
+last documents of the others, which may be large, are drawn by their probability, a document
+or a few more change sides to make up for them, and what is still missing is moved into the
+probabilities of the reserve, which fly next.  The one or two that stay open are rounded, and single documents of the
+reserve or pairs change sides as long as that brings the words nearer to the target.  So
+a source misses its target by less than its smallest documents, if it has any to choose from.
 
 Contract: null text has size 0; documents of size 0 are taken 0 words; the
 document order does not matter; a null source is a source of its own that
@@ -39,6 +42,8 @@ from tokenmill.llm.text import blocks, word_bounds
 from tokenmill.staging import stage
 
 BLOCK_ROWS = 4096
+#: Documents of a source that the landing chooses from.
+RESERVE = 64
 MOST_COPIES = 3
 NEAR = 1e-9
 
@@ -149,15 +154,57 @@ def flight(
             move(active, direction)
             active = [i for i in active if is_open(i)]
     if land:
-        if len(active) == 2:
-            one, two = (weights[i] for i in active)
-            move(active, [two, -one])
-            active = [i for i in active if is_open(i)]
         for i in active:
-            values[i] = float(round(values[i]))
+            values[i] = float(draws.random() < values[i])
     return np.array(values)
 
 
+def landing(
+    chances: np.ndarray, sizes: np.ndarray, reserve: np.ndarray, draws: np.random.Generator
+) -> np.ndarray:
+    """All chances as 0 or 1, with their words near what they were.
+
+    The rows of the ``reserve`` make up for what the others miss.  Rows are taken in order.
+    """
+    done = chances.astype(float).copy()
+    decided = (done <= NEAR) | (done >= 1 - NEAR)
+    done[decided] = np.round(done[decided])
+    rest = ~reserve & ~decided
+    aim = float(chances[rest] @ sizes[rest])
+    flown = flight(done[rest], sizes[rest], True, draws)
+    done[rest] = nearer(flown, sizes[rest].astype(float), aim, pairs=False)
+    rest = ~reserve
+    own, open_sizes = done[reserve], sizes[reserve].astype(float)
+    wanted = float(chances @ sizes) - float(done[rest] @ sizes[rest])
+    expected, most = float(own @ open_sizes), float(open_sizes.sum())
+    if wanted <= expected:
+        own = own * (max(0.0, wanted) / expected if expected else 0.0)
+    else:
+        own = 1 - (1 - own) * max(0.0, most - wanted) / (most - expected)
+    done[reserve] = nearer(flight(own, open_sizes, True, draws), open_sizes, wanted)
+    return done
+
+
+def nearer(
+    taken: np.ndarray, sizes: np.ndarray, wanted: float, pairs: bool = True
+) -> np.ndarray:
+    """Change sides of single rows, or ``pairs`` too, as long as the words taken come nearer."""
+    taken = taken.copy()
+    while len(sizes):
+        change = np.where(taken > 0.5, -sizes, sizes)
+        off = float(taken @ sizes) - wanted
+        # Two changes, where the diagonal stands for one of them alone.
+        both = change[:, None] + change[None, :] if pairs else change[:, None]
+        if pairs:
+            np.fill_diagonal(both, change)
+        at = np.unravel_index(np.abs(off + both).argmin(), both.shape)
+        if abs(off + both[at]) >= abs(off) - NEAR:
+            break
+        for i in set(at) if pairs else at[:1]:
+            taken[i] = 1 - taken[i]
+    return taken
+
+
 def _fly(seed: int):
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         order = pc.sort_indices(
@@ -172,9 +219,13 @@ def _fly(seed: int):
         rows = rows.take(order)
         name = f"{seed}|{key[0].as_py()}|{key[1].as_py()}|{rows['level'][0].as_py()}"
         draws = np.random.Generator(np.random.PCG64(zlib.crc32(name.encode())))
-        chance = flight(
-            rows["chance"].to_numpy(), rows["size"].to_numpy(), rows["lands"][0].as_py(), draws
-        )
+        chances, sizes = rows["chance"].to_numpy(), rows["size"].to_numpy()
+        if rows["lands"][0].as_py():
+            is_open = (chances > NEAR) & (chances < 1 - NEAR)
+            reserve = rows["reserve"].to_numpy(zero_copy_only=False) & is_open
+            chance = landing(chances, sizes, reserve, draws)
+        else:
+            chance = flight(chances, sizes, False, draws)
         at = rows.schema.get_field_index("chance")
         return rows.set_column(at, "chance", pa.array(chance))
 
@@ -212,21 +263,44 @@ def mix_sources(
         .withColumn("chance", F.greatest(F.lit(0.0), F.col("rate") - F.col("sure")))
         .drop("rate")
         .withColumn("place", F.xxhash64("doc_id", "copy", F.lit(seed)))
+        .withColumn("row", F.struct("size", "place", "doc_id", "copy"))
+    )
+    is_open = (F.col("chance") > NEAR) & (F.col("chance") < 1 - NEAR)
+    smallest = Window.partitionBy("source").orderBy("row")
+    ends = stage(
+        rows.where(is_open & (F.col("size") > 0))
+        .select("source", "row")
+        .withColumn("number", F.row_number().over(smallest))
+        .where(F.col("number") <= RESERVE)
+        .groupBy("source")
+        .agg(F.max("row").alias("last")),
+        "mix-reserves",
+    )
+    near = F.broadcast(ends) if known["n"] <= BROADCAST_ROWS else ends
+    kept_out = is_open & (F.col("size") > 0) & (F.col("row") <= F.col("last"))
+    rows = (
+        rows.alias("r")
+        .join(near.alias("e"), F.col("r.source").eqNullSafe(F.col("e.source")), "left")
+        .select("r.*", F.coalesce(kept_out, F.lit(False)).alias("reserve"))
+        .drop("row")
     )
+    reserve = rows.where("reserve")
     done = []
-    left, most_left, level = rows, known["most"] or 0, 0
+    left, most_left, level = rows.where("not reserve"), known["most"] or 0, 0
     count: Column = F.col("n_docs")
     while True:
         number = F.ceil(count / BLOCK_ROWS)
+        lands = number <= 1
+        joining, reserve = reserve.where(lands), reserve.where(~lands)
         part = (
-            left.withColumn("lands", number <= 1)
+            left.unionByName(joining)
+            .withColumn("lands", lands)
             .withColumn("level", F.lit(level))
             .withColumn("block", F.pmod(F.xxhash64("place", F.lit(level)), number))
         )
         flown = stage(
             part.groupBy("source", "block").applyInArrow(_fly(seed), part.schema), "mix-flight"
         )
-        is_open = (F.col("chance") > NEAR) & (F.col("chance") < 1 - NEAR)
         done.append(flown.where(~is_open))
         if most_left <= BLOCK_ROWS:
             break
