@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 
+def shuffles(plan: str) -> int:
+    """Exchanges of a plan that move rows between tasks."""
+    return plan.count("Exchange") - plan.count("BroadcastExchange")
+
+
 def pack(chunks: list[list[int]], size: int) -> list[tuple[str, list[int]]]:
     """One long stream, cut into shards; a short one at the end validates."""
     stream = [token for chunk in chunks for token in chunk]

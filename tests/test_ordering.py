@@ -1,9 +1,10 @@
 import random
 
 import pytest
+from models import shuffles
 from pyspark.sql import functions as F
 
-from tokenmill.operators.ordering import RowOrder, bucket_base, inside_total, totals_by_bucket
+from tokenmill.operators.ordering import RowOrder, inside_total, totals_by_bucket, with_base
 from tokenmill.operators.splits import positional_split
 
 
@@ -71,9 +72,8 @@ def test_running_totals(spark):
     order = RowOrder.fit(df, "k", 4)
     placed = order.with_ordinal(df)
     totals = totals_by_bucket(placed, "v", order.n_buckets)
-    summed = placed.withColumn("inside", inside_total("v")).withColumn(
-        "offset", bucket_base(totals, 10) + F.col("inside")
-    )
+    summed = with_base(placed.withColumn("inside", inside_total("v")), totals, "base", 10)
+    summed = summed.withColumn("offset", F.col("base") + F.col("inside"))
     expected, total = {}, 10
     for i in range(500):
         expected[i] = total
@@ -85,7 +85,7 @@ def test_no_exchange_into_a_single_partition(spark):
     df = shuffled(spark, [(i,) for i in range(500)], "k bigint")
     order = RowOrder.fit(df, "k", 4)
     plan = order.with_ordinal(df)._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan and plan.count("Exchange") == 1
+    assert "SinglePartition" not in plan and shuffles(plan) == 1
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 130])
@@ -116,9 +116,64 @@ def test_null_and_repeated_keys_are_refused(spark):
     with pytest.raises(ValueError, match="no order key"):
         RowOrder.fit(nulls, "key")
     twice = spark.range(400).selectExpr("id div 2 as key")
-    order = RowOrder.fit(twice, "key", 4)
     with pytest.raises(ValueError, match="not unique"):
-        order.recut(twice, [0, 101, 203])
+        RowOrder.fit(twice, "key", 4)
+
+
+def test_any_repeated_key_is_refused_wherever_it_lies(spark):
+    keys = [(i,) for i in range(3000)] + [(1777,)]
+    for buckets in (1, 4, 23):
+        with pytest.raises(ValueError, match="1777.*more than once"):
+            RowOrder.fit(shuffled(spark, keys, "k bigint"), "k", buckets)
+    pairs = [("a", i % 50, i) for i in range(1000)]
+    with pytest.raises(ValueError, match="not unique"):
+        RowOrder.fit(shuffled(spark, pairs, "s string, a int, b int"), ["s", "a"], 5)
+    assert RowOrder.fit(shuffled(spark, pairs, "s string, a int, b int"), ["s", "a", "b"]).n_rows == 1000
+    with pytest.raises(ValueError, match="not unique"):
+        positional_split(spark.range(1000).selectExpr("id div 2 as doc_id"), "doc_id")
+
+
+def test_ranges_hold_about_the_same_bytes(spark):
+    """A tenth of the rows at one end of the keys hold nearly all bytes."""
+    df = spark.range(20_000).selectExpr("id as k", "if(id < 2000, 5000, 10) as n")
+    order = RowOrder.fit(df, "k", weight=F.col("n"), range_bytes=200_000)
+    total = 2000 * 5000 + 18_000 * 10
+    assert 35 <= order.n_buckets <= (total + 20_000) // 200_000  # a row counts a byte more
+    assert max(order.totals(df, F.col("n"))) < 1.7 * total / order.n_buckets
+    by_rows = RowOrder.fit(df, "k", order.n_buckets)
+    assert max(by_rows.totals(df, F.col("n"))) > 3 * total / order.n_buckets
+
+
+def test_the_number_of_ranges_does_not_depend_on_the_shuffle_setting(spark):
+    df = spark.range(50_000).selectExpr("id as k", "1000 as n")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    order = RowOrder.fit(df, "k", weight=F.col("n"), range_bytes=1_000_000)
+    assert order.n_buckets == 50
+    rows = order.with_ordinal(df.select("k")).where("k <> ord").count()
+    assert rows == 0
+    assert order.keys_at(df, [0, 17, 49_999]) == {0: (0,), 17: (17,), 49_999: (49_999,)}
+
+
+def test_one_heavy_row_gets_a_range_of_its_own(spark):
+    df = spark.range(2000).selectExpr("id as k", "if(id = 1000, 1000000, 100) as n")
+    order = RowOrder.fit(df, "k", 8, weight=F.col("n"))
+    starts = [bound for (bound,) in order.bounds]
+    assert any(900 <= start <= 1000 for start in starts)
+
+
+@pytest.mark.parametrize("schema, key", [
+    ("k timestamp", "timestamp_seconds(id * 977)"),
+    ("k date", "date_add(date'2020-01-01', cast(id as int))"),
+    ("k double", "id / 7 - 30"),
+    ("k string", "format_string('%06d é', id)"),
+    ("k decimal(20,3)", "cast(id / 8 as decimal(20,3))"),
+    ("k binary", "encode(format_string('%06d', id), 'utf-8')"),
+])
+def test_key_types(spark, schema, key):
+    df = spark.range(700).selectExpr("id", f"{key} as k")
+    order = RowOrder.fit(df, "k", 5)
+    assert order.n_buckets == 5
+    assert order.with_ordinal(df).where("id <> ord").count() == 0
 
 
 def test_schedule_comes_from_many_tasks(spark):
@@ -128,3 +183,15 @@ def test_schedule_comes_from_many_tasks(spark):
     schedule = batch_schedule(manifest, 1, 8, 4, 50_000)
     sizes = schedule.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     assert sum(sizes) == 200_000 and max(sizes) < 60_000
+
+
+@pytest.mark.parametrize("tokens", [[9], [2_000_000], [9, 2_000_000]])
+def test_one_shard_does_not_make_a_task(spark, tokens):
+    """Many cycles over a tiny shard, and one huge shard."""
+    from tokenmill.operators.schedule import batch_schedule
+
+    manifest = spark.createDataFrame(list(enumerate(tokens)), "shard_id bigint, n_tokens bigint")
+    schedule = batch_schedule(manifest, 1, 8, 1, 240_000)
+    sizes = schedule.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(sizes) == 240_000 and max(sizes) < 120_000
+    assert schedule.selectExpr("count(distinct i)", "min(i)", "max(i)").first() == (240_000, 0, 239_999)

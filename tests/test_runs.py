@@ -93,7 +93,7 @@ def test_a_run_with_most_of_the_rows_is_spread_over_buckets(spark):
 
     df = series(spark, runs)
     order = RowOrder.fit(df, ["run_id", "step"], 9)
-    spread = df.where("run_id = 2").groupBy(order.bucket()).count().collect()
+    spread = order.with_bucket(df.where("run_id = 2")).groupBy("bucket").count().collect()
     assert len(spread) >= 4 and max(r["count"] for r in spread) < 1500
 
 

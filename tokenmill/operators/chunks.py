@@ -17,6 +17,8 @@ class ChunkedRows:
     rows: DataFrame  # source rows as read, limited to the kept chunks
     order: RowOrder
     chunk_size: int
+    #: Keys and ``SIZE`` of these rows, the bytes of their texts, where they are known.
+    sizes: DataFrame | None = None
 
     @property
     def chunks_per_bucket(self) -> list[int]:
@@ -53,6 +55,7 @@ def chunk_rows(
     chunk_size: int = 100,
     max_chunks: int | None = None,
     buckets: int | None = None,
+    text_col: str = "text",
 ) -> ChunkedRows:
     """Cut a corpus into runs of ``chunk_size`` consecutive rows.
 
@@ -62,11 +65,14 @@ def chunk_rows(
     """
     if chunk_size < 1:
         raise ValueError("chunk_size must be at least 1")
-    order = RowOrder.fit(df, order_by, buckets)
+    size = F.octet_length(F.coalesce(F.col(text_col), F.lit("")))
+    order = RowOrder.fit(df, order_by, buckets, size)
     n_rows = order.n_rows
     if max_chunks is not None:
         n_rows = min(n_rows, max_chunks * chunk_size)
     order = order.realign(df, chunk_size, also=[n_rows])
+    sizes = order.sizes
     if n_rows < order.n_rows:
-        df = df.where(order.before(df, n_rows))
-    return ChunkedRows(df, order.head(n_rows), chunk_size)
+        kept = order.before(df, n_rows)
+        df, sizes = df.where(kept), sizes.where(kept)
+    return ChunkedRows(df, order.head(n_rows), chunk_size, sizes)

@@ -7,11 +7,13 @@ table, so no task may hold a run:
 * The table is cut into key ranges (buckets).  A running maximum, carried over
   the bucket borders, leaves only the records, the scores above all earlier
   ones; nothing else can improve.
-* The fold then needs one number per bucket, the best score that a run brings
-  into it.  Only runs that cross a border have such a number, at most one per
-  bucket.  It is found bucket by bucket, but a bucket whose highest score is
-  out of reach is passed over without reading it.
-* With these numbers known, all buckets are folded at the same time.
+* The fold then needs one record per bucket, the first that a run takes in it.  Only
+  runs that cross a border have to look for it.  Inside a bucket every record
+  knows with which record a run that took it leaves the bucket, and where it goes
+  from there.  These maps are put together for pairs of buckets, pairs of pairs
+  and so on, and the way of a run is read off from the largest pair down, so
+  the number of jobs grows with the logarithm of the number of buckets.
+* With these records known, all buckets are folded at the same time.
 
 Counters and flags follow from the positions of the improvements alone.
 """
@@ -23,10 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenmill.operators.ordering import BUCKET, MIN_NARROW_ROWS, RowOrder, with_carried
+from tokenmill.operators.ordering import BUCKET, RowOrder, with_carried
 from tokenmill.staging import stage
 
 
@@ -47,7 +50,7 @@ class Patience:
     def score(self, loss: Column) -> Column:
         """Larger is better.  A loss that is not a number is an error."""
         text = F.lit("a loss is not a number; filter such steps or end the run before them")
-        loss = F.when(F.isnan(loss), F.raise_error(text)).otherwise(loss)
+        loss = F.when(loss.isNull() | F.isnan(loss), F.raise_error(text)).otherwise(loss)
         return -loss if self.mode == "min" else loss + F.lit(0.0)
 
     @property
@@ -68,7 +71,7 @@ def _numbered(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
     scored = _weighted(series).select(
         "run_id", "step", "weight", rule.score(F.col("loss")).alias("score")
     )
-    per_bucket = scored.groupBy(order.bucket().alias(BUCKET), "run_id").agg(
+    per_bucket = order.with_bucket(scored).groupBy(BUCKET, "run_id").agg(
         F.max("score").alias("max_score"), F.sum("weight").alias("n_rows")
     )
     in_run = Window.partitionBy(BUCKET, "run_id").orderBy("step")
@@ -97,24 +100,31 @@ def _weighted(series: DataFrame) -> DataFrame:
     return series.withColumn("weight", F.lit(1).cast("bigint"))
 
 
-def climb(scores: np.ndarray, best: float | None, delta: float) -> list[int]:
-    """Positions of the improvements in never-falling ``scores``.
+def climb(scores: np.ndarray, at: int, delta: float) -> list[int]:
+    """Positions of the improvements in never-falling ``scores`` from the one at ``at`` on.
 
-    The next improvement is the first score to reach ``best + delta``, which a
-    binary search finds.  Without a ``best`` the first score is an improvement.
+    The next improvement is the first score to reach the last one plus ``delta``, which a
+    binary search finds.
     """
-    taken, at = [], 0
-    if best is None and len(scores):
-        taken, best, at = [0], scores[0], 1
+    taken = []
     while at < len(scores):
-        at += int(np.searchsorted(scores[at:], best + delta, side="left"))
-        if at < len(scores):
-            taken.append(at)
-            best = scores[at]
-            at += 1
+        taken.append(at)
+        at += 1 + int(np.searchsorted(scores[at + 1 :], scores[at] + delta, side="left"))
     return taken
 
 
+def last_taken(scores: np.ndarray, delta: float) -> np.ndarray:
+    """For each of some never-falling ``scores`` the position :func:`climb` ends at from there."""
+    places = np.arange(len(scores))
+    after = np.maximum(np.searchsorted(scores, scores + delta, side="left"), places + 1)
+    ends = np.where(after < len(scores), after, places)
+    while True:
+        further = ends[ends]
+        if np.array_equal(further, ends):
+            return ends
+        ends = further
+
+
 def _records(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
     """Rows that can improve, as a staged table with one folder per bucket.
 
@@ -129,96 +139,171 @@ def _records(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
     return stage(kept.select("run_id", "step", "ord", "score", BUCKET), "records", [BUCKET])
 
 
+def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The share of one run in one bucket, whole, from rows sorted by bucket and run."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        runs, buckets = batch["run_id"].to_numpy(), batch["bucket"].to_numpy()
+        borders = np.flatnonzero((np.diff(runs) != 0) | (np.diff(buckets) != 0)) + 1
+        for lo, hi in zip([0, *borders], [*borders, len(batch)]):
+            part = batch.iloc[lo:hi]
+            if held and len(part) and (
+                held[0]["run_id"].iat[0] != part["run_id"].iat[0]
+                or held[0]["bucket"].iat[0] != part["bucket"].iat[0]
+            ):
+                yield pd.concat(held)
+                held = []
+            if len(part):
+                held.append(part)
+    if held:
+        yield pd.concat(held)
+
+
+def _by_segment(records: DataFrame) -> DataFrame:
+    placed = records.repartition(BUCKET, "run_id")
+    return placed.sortWithinPartitions(BUCKET, "run_id", "ord")
+
+
 def _fold(records: DataFrame, entries: DataFrame, rule: Patience) -> DataFrame:
-    """Improvements among the records, given the best score ``entry`` a run brings into a bucket.
+    """Improvements among the records, given the record ``entry`` a run takes first in a bucket.
 
-    ``entries`` has at most one row per bucket border, which bounds the
-    broadcast; a group is the share of one run in one bucket.
+    ``entries`` has a row per bucket of each run that crosses a border, at most two per
+    bucket, which bounds the broadcast; ``entry`` is 0 where such a run takes none.  Other runs
+    begin with their first record.
     """
     delta = rule.delta
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        segment, best = None, None
-        for batch in batches:
-            runs, buckets = batch["run_id"].to_numpy(), batch["bucket"].to_numpy()
-            scores, entry = batch["score"].to_numpy(), batch["entry"].to_numpy()
-            taken: list[int] = []
-            borders = (np.diff(runs) != 0) | (np.diff(buckets) != 0)
-            edges = [0, *(np.flatnonzero(borders) + 1), len(runs)]
-            for lo, hi in zip(edges, edges[1:]):
-                if lo == hi:
+        for segment in _segments(batches):
+            entry, first = segment["entry"].iat[0], 0
+            if not np.isnan(entry):
+                if not entry:
                     continue
-                if (runs[lo], buckets[lo]) != segment:
-                    segment = (runs[lo], buckets[lo])
-                    best = None if np.isnan(entry[lo]) else entry[lo]
-                found = climb(scores[lo:hi], best, delta)
-                if found:
-                    best = scores[lo + found[-1]]
-                    taken.extend(lo + at for at in found)
-            yield batch.iloc[taken][["bucket", "run_id", "step", "ord", "score"]]
+                first = int(np.searchsorted(segment["ord"].to_numpy(), entry))
+            taken = climb(segment["score"].to_numpy(), first, delta)
+            yield segment.iloc[taken][["bucket", "run_id", "step", "ord", "score"]]
 
-    return (
-        records.join(F.broadcast(entries), [BUCKET, "run_id"], "left")
-        .repartition(BUCKET, "run_id")
-        .sortWithinPartitions(BUCKET, "run_id", "ord")
-        .mapInPandas(walk, RECORD)
+    known = records.join(F.broadcast(entries), [BUCKET, "run_id"], "left")
+    return _by_segment(known).mapInPandas(walk, RECORD)
+
+
+EXIT = "bucket int, run_id bigint, ord bigint, score double, needed double"
+
+
+def _exits(crossing: DataFrame, delta: float) -> DataFrame:
+    """For each record the score that a run has to reach to get better after its bucket."""
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for segment in _segments(batches):
+            scores = segment["score"].to_numpy()
+            needed = scores[last_taken(scores, delta)] + delta
+            yield segment.assign(needed=needed)[["bucket", "run_id", "ord", "score", "needed"]]
+
+    return _by_segment(crossing).mapInPandas(walk, EXIT)
+
+
+def _leaving(crossing: DataFrame, runs: DataFrame, most: int, delta: float) -> DataFrame:
+    """For each record the bucket ``to`` and the record ``next`` that its run takes after its bucket.
+
+    The bucket is the first later one whose highest score is enough, found by a binary search in
+    the at most ``most`` buckets of the run; inside it, scores asked for and scores there are
+    sorted together.
+    """
+    exits = _exits(crossing, delta)
+    strides = [1 << bit for bit in reversed(range(most.bit_length()))]
+
+    def passed(below: Column, stride: Column) -> Column:
+        at = F.try_element_at("tops", below + stride)
+        short = (at[BUCKET] <= F.col(BUCKET)) | (at["top"] < F.col("needed"))
+        return F.when(short, below + stride).otherwise(below)
+
+    place = F.aggregate(F.array(*[F.lit(stride) for stride in strides]), F.lit(0), passed)
+    sent = exits.join(F.broadcast(runs), "run_id").withColumn("to", F.get("tops", place)[BUCKET])
+    asked = sent.select(
+        F.col("to").alias("at"), "run_id", F.col("needed").alias("value"), F.lit(1).alias("asks"),
+        BUCKET, "ord",
+    )
+    there = crossing.select(
+        F.col(BUCKET).alias("at"), "run_id", F.col("score").alias("value"), F.lit(0).alias("asks"),
+        F.lit(None).cast("int").alias(BUCKET), "ord",
+    )
+    downwards = Window.partitionBy("at", "run_id").orderBy(
+        F.desc("value"), "asks", F.desc("ord")
     )
+    found = F.last(F.when(F.col("asks") == 0, F.col("ord")), ignorenulls=True)
+    return (
+        asked.where("at is not null").unionByName(there)
+        .withColumn("next", found.over(downwards.rowsBetween(Window.unboundedPreceding, 0)))
+        .where("asks = 1")
+        .select("run_id", BUCKET, "ord", F.col("at").alias("to"), "next")
+    )
 
 
 def _entries(records: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
-    """Best score with which each run enters each further bucket: ``(bucket, run_id, entry)``.
+    """The record a run takes first in each of its buckets: ``(bucket, run_id, entry)``.
 
-    What reaches the driver is at most two rows per bucket: the highest record
-    of each run that has records in more than one.
+    Only for runs with records in several buckets, of which a border has one at most, so
+    what reaches the driver is two rows per bucket at most.
     """
     spark = records.sparkSession
-
-    def table(entries: dict[tuple[int, int], float | None]) -> DataFrame:
-        rows = [(bucket, run, entry) for (bucket, run), entry in entries.items()]
-        return spark.createDataFrame(rows, "bucket int, run_id bigint, entry double")
-
+    empty = spark.createDataFrame([], "bucket int, run_id bigint, entry bigint")
     if order.n_buckets == 1:
-        return table({})
-    n_buckets = F.count(F.lit(1)).over(Window.partitionBy("run_id"))
-    crossing = (
-        records.groupBy("run_id", BUCKET)
-        .agg(F.max("score").alias("top"))
-        .withColumn("n_buckets", n_buckets)
-        .where("n_buckets > 1")
+        return empty
+    per_bucket = records.groupBy("run_id", BUCKET).agg(
+        F.max("score").alias("top"), F.min("ord").alias("first")
+    )
+    runs = stage(
+        per_bucket.groupBy("run_id")
+        .agg(F.array_sort(F.collect_list(F.struct(BUCKET, "top", "first"))).alias("tops"))
+        .where(F.size("tops") > 1),
+        "crossing-runs",
     )
-    tops: dict[int, list[tuple[int, float]]] = {}
-    for row in sorted(crossing.collect(), key=lambda row: row[BUCKET]):
-        tops.setdefault(row["run_id"], []).append((row[BUCKET], row["top"]))
-    known: dict[tuple[int, int], float] = {}
-
-    if rule.delta == 0:  # every record improves, so the best score is the highest one
-        for run, per_bucket in tops.items():
-            for (_, top), (bucket, _) in zip(per_bucket, per_bucket[1:]):
-                known[bucket, run] = top
-        return table(known)
-
-    open_segments = {(per_bucket[0][0], run): None for run, per_bucket in tops.items()}
-    while open_segments:
-        current = table(open_segments)
-        at = sorted({bucket for bucket, _ in open_segments})
-        segment = records.where(F.col(BUCKET).isin(at)).join(
-            F.broadcast(current.select(BUCKET, "run_id")), [BUCKET, "run_id"], "left_semi"
+    if runs.isEmpty():
+        return empty
+    crossing = records.join(F.broadcast(runs.select("run_id")), "run_id", "left_semi")
+    # levels[k] leads a record out of its block of 2^k buckets.
+    levels = [stage(_leaving(crossing, runs, order.n_buckets, rule.delta), "leaving")]
+    while 1 << len(levels) < order.n_buckets:
+        levels.append(stage(_doubled(levels[-1], len(levels)), "leaving"))
+    first = F.get("tops", F.lit(0))
+    starts = runs.select("run_id", first[BUCKET].alias(BUCKET), first["first"].alias("ord"))
+    found = starts.toArrow()
+    for size, level in reversed(list(enumerate(levels))):
+        leads = level.where(_block("to", size + 1) == _block(BUCKET, size + 1))
+        so_far = F.broadcast(spark.createDataFrame(found))
+        further = leads.join(so_far, ["run_id", BUCKET, "ord"]).select(
+            "run_id", F.col("to").alias(BUCKET), F.col("next").alias("ord")
         )
-        exits = _fold(segment, current, rule).groupBy(BUCKET, "run_id")
-        exits = exits.agg(F.max("score").alias("best"))
-        best = {(row[BUCKET], row["run_id"]): row["best"] for row in exits.collect()}
-        following: dict[tuple[int, int], float | None] = {}
-        for (bucket, run), entry in open_segments.items():
-            leaving = best.get((bucket, run), entry)
-            for later, top in tops[run]:
-                if later <= bucket:
-                    continue
-                known[later, run] = leaving
-                if top >= leaving + rule.delta:
-                    following[later, run] = leaving
-                    break
-        open_segments = following
-    return table(known)
+        found = pa.concat_tables([found, further.toArrow()]).combine_chunks()
+    way = spark.createDataFrame(found)
+    segments = runs.select("run_id", F.explode("tops").alias("segment")).select(
+        "run_id", f"segment.{BUCKET}"
+    )
+    taken = way.withColumnRenamed("ord", "entry")
+    return segments.join(F.broadcast(taken), ["run_id", BUCKET], "left").select(
+        BUCKET, "run_id", F.coalesce("entry", F.lit(0)).alias("entry")
+    )
+
+
+def _block(bucket: str, size: int) -> Column:
+    """Number of the block of 2^size buckets that a bucket is in."""
+    return F.shiftright(F.col(bucket), size)
+
+
+def _doubled(level: DataFrame, size: int) -> DataFrame:
+    """Ways out of blocks of 2^size buckets, from those out of blocks of half the size."""
+    inside = _block("to", size) == _block(BUCKET, size)
+    on = level.select(
+        "run_id",
+        F.col(BUCKET).alias("to"),
+        F.col("ord").alias("next"),
+        F.col("to").alias("to_after"),
+        F.col("next").alias("next_after"),
+    )
+    stay = level.where(inside).join(on, ["run_id", "to", "next"]).select(
+        "run_id", BUCKET, "ord", F.col("to_after").alias("to"), F.col("next_after").alias("next")
+    )
+    return level.where(~inside).unionByName(stay)
 
 
 def _improvements(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
@@ -249,7 +334,7 @@ def _val_loss(rule: Patience) -> Column:
 
 def improvements(series: DataFrame, rule: Patience, buckets: int | None = None) -> DataFrame:
     """The steps at which a run gets better, which is when it would be saved."""
-    order = RowOrder.fit(series, ["run_id", "step"], buckets, MIN_NARROW_ROWS)
+    order = RowOrder.fit(series, ["run_id", "step"], buckets)
     return _improvements(series, order, rule).select("run_id", "step", "score", _val_loss(rule))
 
 
@@ -258,7 +343,7 @@ def early_stop(series: DataFrame, rule: Patience, buckets: int | None = None) ->
 
     A ``weight`` column marks series that go on from an earlier state.
     """
-    order = RowOrder.fit(series, ["run_id", "step"], buckets, MIN_NARROW_ROWS)
+    order = RowOrder.fit(series, ["run_id", "step"], buckets)
     found = _improvements(series, order, rule)
     last = (
         found.groupBy("run_id")
@@ -286,7 +371,7 @@ def early_stop_trace(series: DataFrame, rule: Patience, buckets: int | None = No
     latest one: inside its key range by a window, from earlier ranges by the
     carried one.
     """
-    order = RowOrder.fit(series, ["run_id", "step"], buckets, MIN_NARROW_ROWS)
+    order = RowOrder.fit(series, ["run_id", "step"], buckets)
     found = _improvements(series, order, rule)
     stopped_before = F.coalesce(F.col("ord") > F.col("stop_ord"), F.lit(False))
     better = found.join(_stops(found, order, rule), "run_id", "left").withColumn(
@@ -294,7 +379,7 @@ def early_stop_trace(series: DataFrame, rule: Patience, buckets: int | None = No
         F.struct("ord", F.col("score").alias("best"), stopped_before.alias("stopped_before")),
     )
     per_bucket = (
-        series.groupBy(order.bucket().alias(BUCKET), "run_id")
+        order.with_bucket(series).groupBy(BUCKET, "run_id")
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .join(
             better.groupBy(BUCKET, "run_id").agg(F.max_by("mark", "ord").alias("mark")),

@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill.operators.ordering import bucket_base
+from tokenmill.operators.ordering import with_base
 from tokenmill.operators.splits import TRAIN, VAL
 
 
@@ -27,20 +27,25 @@ class Packed:
     max_shards: int | None = None
 
     def manifest(self) -> DataFrame:
-        """``(split, shard_id, n_tokens)`` of each shard, from the token total alone.
-
-        It equals :func:`shard_manifest` of the pieces without a pass over them.
-        """
-        n_shards = -(-self.total_tokens // self.shard_size)
-        if self.max_shards is not None:
-            n_shards = min(n_shards, self.max_shards)
-        shard_id = F.col("id")
-        filled = shard_fill(shard_id, self.total_tokens, self.shard_size)
-        return self.pieces.sparkSession.range(n_shards).select(
-            shard_split(filled, self.shard_size).alias("split"),
-            shard_id.alias("shard_id"),
-            filled.alias("n_tokens"),
-        )
+        """It equals :func:`shard_manifest` of the pieces without a pass over them."""
+        spark = self.pieces.sparkSession
+        return planned_manifest(spark, self.total_tokens, self.shard_size, self.max_shards)
+
+
+def planned_manifest(
+    spark: SparkSession, total_tokens: int, shard_size: int, max_shards: int | None = None
+) -> DataFrame:
+    """``(split, shard_id, n_tokens)`` of each shard, from the token total alone."""
+    n_shards = -(-total_tokens // shard_size)
+    if max_shards is not None:
+        n_shards = min(n_shards, max_shards)
+    shard_id = F.col("id")
+    filled = shard_fill(shard_id, total_tokens, shard_size)
+    return spark.range(n_shards).select(
+        shard_split(filled, shard_size).alias("split"),
+        shard_id.alias("shard_id"),
+        filled.alias("n_tokens"),
+    )
 
 
 def shard_fill(shard_id: Column, total_tokens: int, shard_size: int) -> Column:
@@ -105,7 +110,9 @@ def pack(
     a projection.
     """
     total = sum(bucket_totals)
-    placed = sequences.withColumn("offset", bucket_base(bucket_totals) + F.col("inside"))
+    placed = with_base(sequences, bucket_totals, "offset").withColumn(
+        "offset", F.col("offset") + F.col("inside")
+    )
     pieces = cut_into_shards(placed, shard_size, max_shards)
     return Packed(label_shards(pieces, total, shard_size), total, shard_size, max_shards)
 
