@@ -149,6 +149,17 @@ class _Codec:
             special_tokens={},
         )
 
+    @cached_property
+    def sizes(self) -> np.ndarray:
+        found = np.zeros(len(self.ranks.value), np.int64)
+        for piece, rank in self.ranks.value.items():
+            found[rank] = len(piece)
+        return found
+
+    def encode_piece(self, piece: bytes) -> list[int]:
+        """Tokens of the bytes of one piece, or of a part of one."""
+        return self.encoding._core_bpe.encode_single_piece(piece) if piece else []
+
     def __call__(self, texts: pa.Array) -> pa.Array:
         encode = self.encoding.encode_ordinary
         ids = [np.asarray(encode(text or ""), dtype=np.int32) for text in texts.to_pylist()]
@@ -159,10 +170,18 @@ class _Codec:
         return {"ranks": self.ranks, "pattern": self.pattern}
 
 
+def in_range(values: np.ndarray) -> None:
+    """Fail the task if an id does not fit the storage type."""
+    if len(values) and (values.min() < 0 or values.max() >= ID_LIMIT):
+        raise ValueError(f"token id outside 0..{ID_LIMIT - 1}")
+
+
 def as_column(batch: Callable[[pa.Array], pa.Array], text: Column) -> Column:
     @F.arrow_udf(TOKENS)
     def encode(texts: pa.Array) -> pa.Array:
-        return batch(texts)
+        tokens = batch(texts)
+        in_range(tokens.flatten().to_numpy(zero_copy_only=False))
+        return tokens
 
     return encode(text)
 
@@ -199,6 +218,7 @@ def encode_in_order(
             tokens = batch_encoder(batch.column(text_col))
             firsts = tokens.offsets.to_numpy()[:-1]
             values = np.insert(tokens.values.to_numpy(zero_copy_only=False), firsts, eot)
+            in_range(values)
             lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False) + 1
             inside = []
             for owner, n in zip(batch.column(group).to_pylist(), lengths.tolist()):
