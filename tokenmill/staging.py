@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +42,37 @@ def stage(df: DataFrame, label: str, folders: Sequence[str] = ()) -> DataFrame:
     path = new_path(spark, label)
     df.write.partitionBy(*folders).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+class Folder:
+    """A folder in whatever file system Spark reads its path from."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.context = spark.sparkContext
+        self.path = self._path(path)
+        self.files = self.path.getFileSystem(self.context._jsc.hadoopConfiguration())
+
+    def _path(self, path: str) -> Any:
+        return self.context._jvm.org.apache.hadoop.fs.Path(path)
+
+    def uri(self) -> str:
+        """The path with its scheme, which means the same on all machines."""
+        return self.files.makeQualified(self.path).toString()
+
+    def exists(self) -> bool:
+        return self.files.exists(self.path)
+
+    def create(self) -> None:
+        self.files.mkdirs(self.path)
+
+    def delete(self) -> None:
+        self.files.delete(self.path, True)
+
+    def move(self, path: str) -> None:
+        if not self.files.rename(self.path, self._path(path)):
+            raise OSError(f"{self.uri()} could not be moved to {path}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package has written, if it is there."""
+    Folder(spark, path).delete()

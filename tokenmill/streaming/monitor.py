@@ -1,9 +1,14 @@
 """Early stopping over a stream of loss records.
 
-:func:`monitor_runs` is the stateful operator: it takes what a micro-batch
-holds of one run into one task, so it is for streams whose micro-batches are
-bounded at the source.  :class:`RunMonitor` goes through the batch operator, in
-which a run is spread over tasks, so a backlog or one hot run does it no harm.
+:func:`monitor_runs` is the stateful operator.  The records of a micro-batch are reduced before
+they come to the state of their run: each stretch of ``BLOCK_STEPS`` steps of a run passes on
+its length and its records, the scores above all earlier ones of the stretch, as nothing else can
+improve.  A run that holds a whole backlog is thereby spread over tasks, and what meets
+in one task are its records.  :class:`RunMonitor` goes through the batch operator, in which the
+folding itself is spread over tasks, too.
+
+Both raise an error where a loss is null or not a number, as the batch operator does, and where
+a step does not come after all steps of earlier micro-batches.
 """
 
 from __future__ import annotations
@@ -19,19 +24,59 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tokenmill.operators.earlystop import Patience, climb, early_stop
+from tokenmill.staging import remove
 
-STATE = "best double, best_step bigint, n_steps bigint, counter bigint, stopped boolean"
+STATE = (
+    "best double, best_step bigint, n_steps bigint, counter bigint, stopped boolean, "
+    "last_step bigint"
+)
 OUTPUT = (
     "run_id bigint, n_steps bigint, best_step bigint, score double, val_loss double, "
     "counter bigint, stopped boolean"
 )
+#: Steps of a run that are reduced together.
+BLOCK_STEPS = 4096
+REDUCED = (
+    "run_id bigint, block bigint, n_rows bigint, first_step bigint, last_step bigint, "
+    "step bigint, place bigint, score double"
+)
+
+
+def reduced(losses: DataFrame, rule: Patience) -> DataFrame:
+    """The records of each block of steps of a run, with their place and the size of the block."""
+    sign = -1.0 if rule.mode == "min" else 1.0
+
+    def shorten(key: tuple[int, int], rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("step")
+        steps, scores = rows["step"].to_numpy(), sign * rows["loss"].to_numpy() + 0.0
+        if np.isnan(scores).any():
+            raise ValueError(f"a loss of run {key[0]} is not a number")
+        if (np.diff(steps) == 0).any():
+            raise ValueError(f"a step of run {key[0]} comes up more than once")
+        kept = np.flatnonzero(scores >= np.maximum.accumulate(scores))
+        return pd.DataFrame(
+            {
+                "run_id": key[0],
+                "block": key[1],
+                "n_rows": len(steps),
+                "first_step": steps[0],
+                "last_step": steps[-1],
+                "step": steps[kept],
+                "place": kept,
+                "score": scores[kept],
+            }
+        )
+
+    block = F.floor(F.col("step") / BLOCK_STEPS).alias("block")
+    blocks = losses.select("run_id", "step", F.col("loss").cast("double"), block)
+    return blocks.groupBy("run_id", "block").applyInPandas(shorten, REDUCED)
 
 
 def monitor_runs(losses: DataFrame, rule: Patience) -> DataFrame:
     """State of each run after every micro-batch of ``(run_id, step, loss)``.
 
     Steps must arrive in order from one micro-batch to the next; within one
-    they are sorted here.  The state is five numbers per run.
+    they are sorted here.  The state is six numbers per run.
     """
     sign = -1.0 if rule.mode == "min" else 1.0
     delta, limit = rule.delta, rule.limit
@@ -39,23 +84,37 @@ def monitor_runs(losses: DataFrame, rule: Patience) -> DataFrame:
     def advance(
         key: tuple[int], frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        series = pd.concat(list(frames)).sort_values("step")
-        steps, scores = series["step"].to_numpy(), sign * series["loss"].to_numpy()
+        rows = pd.concat(list(frames)).sort_values(["block", "place"])
+        blocks = rows.drop_duplicates("block")
+        ahead = blocks["n_rows"].cumsum() - blocks["n_rows"]
+        places = rows["place"].to_numpy() + rows["block"].map(
+            dict(zip(blocks["block"], ahead))
+        ).to_numpy()
+        steps, scores = rows["step"].to_numpy(), rows["score"].to_numpy()
+        records = np.flatnonzero(scores >= np.maximum.accumulate(scores))
+        places, steps, scores = places[records], steps[records], scores[records]
         if state.exists:
-            best, best_step, n_steps, counter, stopped = state.get
+            best, best_step, n_steps, counter, stopped, last_step = state.get
+            first_step = int(blocks["first_step"].iat[0])
+            if first_step <= last_step:
+                raise ValueError(
+                    f"step {first_step} of run {key[0]} is late: {last_step} has been seen"
+                )
+            first = int(np.searchsorted(scores, best + delta, side="left"))
         else:
             best, best_step, n_steps, counter, stopped = None, 0, 0, 0, False
-        highest = np.maximum.accumulate(scores)
-        records = np.flatnonzero(scores >= highest)
+            first = 0
         last = -1 - counter
-        for record in climb(scores[records], best, delta):
-            at = int(records[record])
+        for record in climb(scores, first, delta):
+            at = int(places[record])
             stopped = stopped or at - last - 1 >= limit
-            best, best_step, last = float(scores[at]), int(steps[at]), at
-        n_steps += len(scores)
-        counter = len(scores) - 1 - last
+            best, best_step, last = float(scores[record]), int(steps[record]), at
+        n_rows = int(blocks["n_rows"].sum())
+        n_steps += n_rows
+        counter = n_rows - 1 - last
         stopped = bool(stopped or counter >= limit)
-        state.update((best, best_step, n_steps, counter, stopped))
+        last_step = int(blocks["last_step"].iat[-1])
+        state.update((best, best_step, n_steps, counter, stopped, last_step))
         yield pd.DataFrame(
             {
                 "run_id": [key[0]],
@@ -68,56 +127,87 @@ def monitor_runs(losses: DataFrame, rule: Patience) -> DataFrame:
             }
         )
 
-    return losses.groupBy("run_id").applyInPandasWithState(
+    return reduced(losses, rule).groupBy("run_id").applyInPandasWithState(
         advance, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout
     )
 
 
 class RunMonitor:
-    """``foreachBatch`` sink that keeps the state of all runs, one table per micro-batch.
+    """``foreachBatch`` sink that keeps the state of all runs.
 
-    The state of a run enters the next micro-batch as one row: its best loss,
-    standing for all steps since.  A repeated micro-batch starts from the state
-    of its predecessor again and overwrites its own.
+    A micro-batch folds and writes only the runs it holds records of.  The state of a run
+    enters as one row: its best loss, standing for all steps since.  Every
+    ``snapshot_every`` micro-batches the states of all runs are written together, and what lies
+    before the snapshot ahead of that is removed.  A repeated micro-batch starts from the
+    states of its predecessors again and overwrites its own.
     """
 
-    def __init__(self, path: str, rule: Patience):
+    def __init__(self, path: str, rule: Patience, snapshot_every: int = 10):
         self.path = path.rstrip("/")
         self.rule = rule
+        self.snapshot_every = snapshot_every
 
     def _folder(self, batch_id: int) -> str:
         return f"{self.path}/batch={batch_id}"
 
+    def _before(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """Latest state of each run before a micro-batch, back to the last snapshot."""
+        first = (batch_id - 1) // self.snapshot_every * self.snapshot_every
+        folders = [self._folder(n) for n in range(first, batch_id)]
+        states = spark.read.schema(KEPT).option("basePath", self.path).parquet(*folders)
+        return newest(states)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         new = batch.select("run_id", "step", "loss", F.lit(1).cast("bigint").alias("weight"))
+        spans = new.groupBy("run_id").agg(
+            F.min("step").alias("first_step"), F.max("step").alias("last_step")
+        )
         if batch_id == 0:
-            ends = early_stop(new, self.rule)
-        else:
-            before = batch.sparkSession.read.schema(OUTPUT).parquet(self._folder(batch_id - 1))
-            carried = before.select(
-                "run_id",
-                F.col("best_step").alias("step"),
-                F.col("val_loss").alias("loss"),
-                (F.col("counter") + 1).alias("weight"),
-            )
-            # the carried row repeats steps that ``before`` has counted already
-            known = before.select(
-                "run_id",
-                (F.col("n_steps") - F.col("counter") - 1).alias("earlier_steps"),
-                F.col("stopped").alias("stopped_earlier"),
+            ends = early_stop(new, self.rule).join(spans.drop("first_step"), "run_id")
+            ends.write.mode("overwrite").parquet(self._folder(0))
+            return
+        every = self._before(spark, batch_id)
+        before = every.join(spans, "run_id").select(
+            every["*"], "first_step", spans["last_step"].alias("new_last_step")
+        )
+        late = before.where(F.col("first_step") <= F.col("last_step")).first()
+        if late:
+            raise ValueError(
+                f"step {late['first_step']} of run {late['run_id']} is late: "
+                f"{late['last_step']} has been seen"
             )
-            ends = (
-                early_stop(new.unionByName(carried), self.rule)
-                .join(known, "run_id", "left")
-                .withColumns(
-                    {
-                        "n_steps": F.col("n_steps") + F.coalesce("earlier_steps", F.lit(0)),
-                        "stopped": F.col("stopped") | F.coalesce("stopped_earlier", F.lit(False)),
-                    }
-                )
-                .drop("earlier_steps", "stopped_earlier")
+        carried = before.select(
+            "run_id",
+            F.col("best_step").alias("step"),
+            F.col("val_loss").alias("loss"),
+            (F.col("counter") + 1).alias("weight"),
+        )
+        # the carried row repeats steps that ``before`` has counted already
+        known = before.select(
+            "run_id",
+            (F.col("n_steps") - F.col("counter") - 1).alias("earlier_steps"),
+            F.col("stopped").alias("stopped_earlier"),
+        )
+        ends = (
+            early_stop(new.unionByName(carried), self.rule)
+            .join(known, "run_id", "left")
+            .withColumns(
+                {
+                    "n_steps": F.col("n_steps") + F.coalesce("earlier_steps", F.lit(0)),
+                    "stopped": F.col("stopped") | F.coalesce("stopped_earlier", F.lit(False)),
+                }
             )
+            .drop("earlier_steps", "stopped_earlier")
+            .join(spans.drop("first_step"), "run_id")
+        )
+        if batch_id % self.snapshot_every == 0:
+            quiet = every.join(spans, "run_id", "left_anti")
+            ends = ends.unionByName(quiet)
         ends.write.mode("overwrite").parquet(self._folder(batch_id))
+        if batch_id % self.snapshot_every == 0:
+            for old in range(batch_id - 2 * self.snapshot_every, batch_id - self.snapshot_every):
+                remove(spark, self._folder(old))
 
     def start(self, losses: DataFrame, checkpoint: str) -> StreamingQuery:
         """Take in all records that are there, then stop."""
@@ -130,9 +220,20 @@ class RunMonitor:
 
     def state(self, spark: SparkSession) -> DataFrame:
         """State of all runs after the last micro-batch."""
-        states = spark.read.schema(f"{OUTPUT}, batch int").parquet(self.path)
-        last = states.agg(F.max("batch")).first()[0]
-        return states.where(F.col("batch") == last).drop("batch")
+        return newest(spark.read.schema(KEPT).parquet(self.path)).drop("last_step")
+
+
+KEPT = f"{OUTPUT}, last_step bigint, batch int"
+
+
+def newest(states: DataFrame) -> DataFrame:
+    """Of each run the state of the latest micro-batch that has one."""
+    rest = [c for c in states.columns if c not in ("run_id", "batch")]
+    return (
+        states.groupBy("run_id")
+        .agg(F.max_by(F.struct(*rest), "batch").alias("s"))
+        .select("run_id", "s.*")
+    )
 
 
 def latest(updates: DataFrame) -> DataFrame:
