@@ -38,6 +38,28 @@ def test_softmax_in_both_layouts(spark):
         assert r["prob"] == pytest.approx(expected_softmax(ROWS[r["pos"]])[r["id"]])
 
 
+def test_long_softmax_over_bands_and_hot_positions(spark):
+    """Scores on both sides of a band's end, far apart, and one position with most rows."""
+    rows = {
+        0: [127.9, 128.0, 128.1, -3.0],
+        1: [1e6, 1e6 - 0.5, -1e6],
+        2: [-700.0, -701.0, -828.5],
+        3: [(i * 37 % 1000) / 10 - 40 for i in range(20_000)],
+    }
+    table = spark.createDataFrame(
+        [(k, i, x) for k, v in rows.items() for i, x in enumerate(v)], "pos int, id int, score double"
+    ).repartition(6)
+    found = scores.softmax_long(table)
+    for r in found.where("pos < 3").collect():
+        assert r["prob"] == pytest.approx(expected_softmax(rows[r["pos"]])[r["id"]], rel=1e-9)
+    hot = found.where("pos = 3")
+    assert hot.agg(F.sum("prob")).first()[0] == pytest.approx(1)
+    want = expected_softmax(rows[3])
+    assert hot.where("id = 77").first()["prob"] == pytest.approx(want[77], rel=1e-9)
+    sums = scores.log_sum_exp_long(table)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in sums and "Window" not in sums and "partial_sum" in sums
+
+
 def test_top_k_breaks_ties_by_id_and_takes_small_groups_whole(spark):
     best = scores.top_k(F.col("score").cast("array<double>"), 3)
     wide = {r["pos"]: [i["id"] for i in r["b"]] for r in array_table(spark).select("pos", best.alias("b")).collect()}

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenmill.functions import steps
-from tokenmill.operators.ordering import BUCKET, MIN_NARROW_ROWS, RowOrder
+from tokenmill.operators.ordering import BUCKET, RowOrder
 from tokenmill.operators.windows import usable_batches
 
+#: Batches that a block of the schedule has at least, and blocks of a shard and rank at most.
+BLOCK_BATCHES = 10_000
+MOST_BLOCKS = 10_000
+
 
 def rank_shards(manifest: DataFrame, batch_rows: int, length: int, ranks: int) -> DataFrame:
     """Shards of a split with the batches each rank takes from them.
@@ -36,18 +40,19 @@ def batch_schedule(
     Ranks go through the shards of the manifest in order and start again after
     the last one.  Every (shard, rank) row knows how many batches come before
     it in a cycle, so it writes out its own batches; nothing has to be looked
-    up by range.  The manifest may hold many millions of shards: their running
-    batch count is taken per key range, with one total per rank and range.
+    up by range.  It does so in blocks that are dealt out first, so neither many cycles over
+    a tiny shard nor one huge shard is left to one task.  The manifest may hold many millions of
+    shards: their running batch count is taken per key range, with one total per rank and range.
     """
     if n_batches < 1:
         raise ValueError("n_batches must be at least 1")
-    order = RowOrder.fit(manifest, "shard_id", buckets, MIN_NARROW_ROWS)
+    order = RowOrder.fit(manifest, "shard_id", buckets)
     if order.n_rows == 0:
         raise ValueError("no shards found for the split")
     manifest = manifest.select("shard_id", "n_tokens")
     per_bucket = (
-        rank_shards(manifest, batch_rows, length, ranks)
-        .groupBy(order.bucket().alias(BUCKET), "rank")
+        rank_shards(order.with_bucket(manifest), batch_rows, length, ranks)
+        .groupBy(BUCKET, "rank")
         .agg(F.sum("n_batches").alias("in_bucket"))
     )
     by_rank = Window.partitionBy("rank")
@@ -71,22 +76,26 @@ def batch_schedule(
         .withColumn("ahead", F.col("base") + F.col("ahead"))
         .where(F.col("ahead") < n_batches)
     )
-    cycles = F.expr(f"sequence(0L, ({n_batches - 1}L - ahead) div per_cycle)")
-    batches = F.expr(
-        f"sequence(0L, least(n_batches, {n_batches}L - cycle * per_cycle - ahead) - 1)"
-    )
-    # A manifest is small and its schedule is not: rows are dealt out before they are written.
+    # The batches of a row over all cycles are numbered m = 0, 1, ..., and dealt out in blocks.
+    own = F.expr(f"(({n_batches - 1}L - ahead) div per_cycle + 1) * n_batches")
+    in_block = F.expr(f"greatest({BLOCK_BATCHES}L, own div {MOST_BLOCKS}L + 1)")
+    blocks = F.expr("sequence(0L, (own - 1) div in_block)")
+    numbers = F.expr("sequence(block * in_block, least((block + 1) * in_block, own) - 1)")
     parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cycle, k = F.expr("m div n_batches"), F.expr("m % n_batches")
     return (
-        placed.withColumn("cycle", F.explode(cycles))
-        .repartition(parts, "rank", "shard_id", "cycle")
-        .withColumn("k", F.explode(batches))
+        placed.withColumn("own", own)
+        .withColumn("in_block", in_block)
+        .withColumn("block", F.explode(blocks))
+        .repartition(parts, "rank", "shard_id", "block")
+        .withColumn("m", F.explode(numbers))
         .select(
             "rank",
-            (F.col("cycle") * F.col("per_cycle") + F.col("ahead") + F.col("k")).alias("i"),
+            (cycle * F.col("per_cycle") + F.col("ahead") + k).alias("i"),
             "shard_id",
-            ((F.col("rank") + F.col("k") * ranks) * (batch_rows * length)).alias("pos"),
+            ((F.col("rank") + k * ranks) * (batch_rows * length)).alias("pos"),
         )
+        .where(F.col("i") < n_batches)
     )
 
 

@@ -124,22 +124,46 @@ def mean_cross_entropy(df: DataFrame, scores: str, target: str, by: tuple = ())
 # Long layout.
 
 
-def softmax_long(
-    scores: DataFrame, position: str = "pos", score: str = "score", out: str = "prob"
-) -> DataFrame:
-    """Softmax per position over rows; two aggregations and joins on the position."""
-    tops = scores.groupBy(position).agg(F.max(F.col(score).cast("double")).alias("_top"))
-    shifted = scores.join(tops, position).withColumn(
-        "_exp", F.exp(F.col(score).cast("double") - F.col("_top"))
+#: Scores are summed up in bands of this width, in which no exponential overflows.
+BAND = 128
+
+
+def log_sum_exp_long(scores: DataFrame, position: str = "pos", score: str = "score") -> DataFrame:
+    """``(position, log_sum)``: ln(sum(exp(score))) of each position, in one pass over the scores.
+
+    The sums of a position are kept per band of scores, next to the lower end of the band.
+    Such sums merge by adding them up, so every task passes on a row or two per position, and a
+    position with very many rows meets in no task.  The two highest bands make the
+    result: what lies below them is smaller by e^128 at least.
+    """
+    value = F.col(score).cast("double")
+    banded = scores.select(position, value.alias("_score"), F.floor(value / BAND).alias("_band"))
+    sums = banded.groupBy(position, "_band").agg(
+        F.sum(F.exp(F.col("_score") - F.col("_band") * BAND)).alias("_sum")
+    )
+    highest = F.sort_array(F.collect_list(F.struct("_band", "_sum")), asc=False)
+    first, second = F.get("_bands", F.lit(0)), F.get("_bands", F.lit(1))
+    lower = F.coalesce(
+        second["_sum"] * F.exp(((second["_band"] - first["_band"]) * BAND).cast("double")),
+        F.lit(0.0),
     )
-    sums = shifted.groupBy(position).agg(F.sum("_exp").alias("_sum"))
     return (
-        shifted.join(sums, position)
-        .withColumn(out, F.col("_exp") / F.col("_sum"))
-        .drop("_top", "_exp", "_sum")
+        sums.where("_band is not null")
+        .groupBy(position)
+        .agg(highest.alias("_bands"))
+        .select(position, (first["_band"] * BAND + F.ln(first["_sum"] + lower)).alias("log_sum"))
     )
 
 
+def softmax_long(
+    scores: DataFrame, position: str = "pos", score: str = "score", out: str = "prob"
+) -> DataFrame:
+    """Softmax per position over rows: one aggregation, and one join of its result."""
+    sums = log_sum_exp_long(scores, position, score).withColumnRenamed("log_sum", "_log_sum")
+    share = F.exp(F.col(score).cast("double") - F.col("_log_sum"))
+    return scores.join(sums, position).withColumn(out, share).drop("_log_sum")
+
+
 def top_k_long(
     scores: DataFrame, position: str = "pos", class_id: str = "id", value: str = "prob", k: int = 50
 ) -> DataFrame:

@@ -240,6 +240,33 @@ from o group by 1
     "text_files": """
 select sum(length(text) - length(replace(text, chr(10), '')) + 1)::bigint as n_lines,
        sum(length(replace(text, chr(10), '')))::bigint as n_chars from documents
+""",
+    "whole_text_files": """
+select (2 * sum(length(text) + 1))::bigint as n_chars,
+       (2 * sum(length(text) - length(replace(text, chr(10), '')) + 1))::bigint as n_feeds,
+       true as all_end from documents
+""",
+    "chat_tokens_per_split": """
+with o as (select conv_id, list_transform(regexp_extract_all(hex(encode(text)), '..'),
+                                          lambda h: ('0x' || h)::int) as ids,
+                  row_number() over (order by conv_id, turn) - 1 as ord,
+                  count(*) over () as n from conversations)
+select case when ord < floor(0.8::double * n) then 'train_set'
+            when ord < floor(0.8::double * n) + floor(0.15::double * n) then 'val_set'
+            else 'test_set' end as split, min(conv_id) as conv_id, count(*) as n_rows,
+       (sum(len(ids)) + 1)::bigint as n_tokens, (sum(list_sum(ids)) + 256)::bigint as id_sum
+from o group by 1
+""",
+    "split_without_documents": """
+with o as (select octet_length(encode(r_name)) as nb,
+                  row_number() over (order by r_regionkey) - 1 as ord,
+                  count(*) over () as n from region),
+s as (select case when ord < floor(0.8::double * n) then 'train_set'
+                  when ord < floor(0.8::double * n) + floor(0.15::double * n) then 'val_set'
+                  else 'test_set' end as split, nb from o)
+select name as split, (coalesce(sum(nb), 0) + 1)::bigint as n_tokens
+from (values ('train_set'), ('val_set'), ('test_set')) v(name) left join s on split = name
+group by name
 """,
     "byte_token_checksum": f"""
 with {_DOCS}, t as (select ord, list_concat([256], ids) as ids from docs)
@@ -295,7 +322,7 @@ select split, shard_id, "window", x, y from windows
 """,
     "rank_batch_rows": _TOKENS + _WINDOWS + """
 select split, shard_id, "window", (("window" // 4) % 4)::bigint as rank,
-       "window" // 16 as batch, ("window" % 4)::int as row, y_last
+       "window" // 16 as batch, ("window" % 4)::int as row, x, y
 from windows
 where shard_tokens >= 128 * (("window" // 4) % 4 + 1) + 1
   and "window" // 16 < greatest(1, (shard_tokens - 1 - 128 * (("window" // 4) % 4)) // 512)
@@ -318,6 +345,13 @@ from due
 w as (select pos // 7 as "window", string_agg(token::varchar, ' ' order by pos) as ids
       from tokens where shard_id = 0 and pos < 35 group by 1)
 select "window", ids from w order by md5('42:' || "window") limit 1
+""",
+    "prompt_as_text": _TOKENS + """,
+w as (select pos // 7 as "window",
+             string_agg(case when token = 256 then '<|endoftext|>' else chr(token) end, ''
+                        order by pos) as text
+      from tokens where shard_id = 0 and pos < 35 group by 1)
+select "window", text from w order by md5('42:' || "window") limit 1
 """,
     "cross_entropy_by_label": """
 with long as (
@@ -371,6 +405,22 @@ select run_id, step, best as score, loss as val_loss from f where improved
 """,
     "validation_pipeline": _FOLD_OVER.format(series=_STEP_MEANS) + _LAST_STATE,
     "stream_pack": _TOKENS + _CHECKSUMS,
+    "stream_pack_bounded": _TOKENS.replace(
+        "as ids from docs\n", "as ids from docs\n  where ord < (select count(*) // 200 * 100 from docs)\n"
+    )
+    + _CHECKSUMS,
+    "stream_progress": """
+with o as (select row_number() over (order by doc_id) - 1 as ord, count(*) over () as n,
+                  octet_length(encode(text)) as nb from documents),
+b as (select unnest(range(-1, 3)) as batch),
+upto as (select batch, any_value(n) * (batch + 1) // 3 as seen,
+                (coalesce(sum(nb) filter (ord < n * (batch + 1) // 3 // 100 * 100), 0)
+                 + any_value(n) * (batch + 1) // 3 // 100)::bigint as tokens
+         from b, o group by batch)
+select x.batch::bigint as batch, (x.seen - y.seen)::bigint as n_rows, x.tokens - y.tokens as n_tokens,
+       x.tokens // 100000 as full_shards, x.tokens % 100000 as open_tokens
+from upto x join upto y on y.batch = x.batch - 1
+""",
     "stream_early_stop": _FOLD_END,
     "stream_run_state": _FOLD_END,
     "stream_run_log": _RUN_LOG,

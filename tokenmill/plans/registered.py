@@ -15,7 +15,12 @@ from tokenmill.operators.chunks import chunk_rows
 from tokenmill.operators.earlystop import Patience, early_stop, early_stop_trace, improvements
 from tokenmill.operators.encode import BpeEncoder, ByteEncoder, decode
 from tokenmill.operators.ordering import RowOrder
-from tokenmill.operators.pack import Packed, shards_per_split, with_progress
+from tokenmill.operators.pack import (
+    Packed,
+    planned_manifest,
+    shards_per_split,
+    with_progress,
+)
 from tokenmill.operators.schedule import batch_schedule, by_step, eval_batches, training_manifest
 from tokenmill.operators.splits import TRAIN, VAL, positional_split
 from tokenmill.operators.windows import (
@@ -24,8 +29,15 @@ from tokenmill.operators.windows import (
     rank_batches,
     token_windows,
 )
-from tokenmill.plans.corpus import CorpusPlan, corpus_to_shards, encoded_chunks, split_tokens
-from tokenmill.plans.training import validate_runs
+from tokenmill.plans.corpus import (
+    CorpusPlan,
+    corpus_manifest,
+    corpus_to_shards,
+    corpus_tokens,
+    encoded_chunks,
+    split_tokens,
+)
+from tokenmill.plans.training import prompt_text, validate_runs
 from tokenmill.sources import npy, runlog
 from tokenmill.sources.corpus import (
     Corpus,
@@ -184,6 +196,45 @@ def text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def whole_text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same read back file by file, with all line feeds, after a second append."""
+    path = new_path(spark, "texts")
+    corpus = documents(spark, sf_dir)
+    append_texts(corpus, path)
+    append_texts(corpus, path)
+    feeds = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"), F.lit("")))
+    return read_texts(spark, path).agg(
+        F.sum(F.char_length("text")).alias("n_chars"),
+        F.sum(feeds).alias("n_feeds"),
+        F.bool_and(F.endswith("text", F.lit("\n"))).alias("all_end"),
+    )
+
+
+@register
+def chat_tokens_per_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Splits of a corpus with a two-column order, first row of each and tokens."""
+    chats = registry(sf_dir).load(spark, "chats")
+    tokens = split_tokens(chats, ["conv_id", "turn"])
+    return tokens.groupBy("split").agg(
+        F.min("seq.conv_id").alias("conv_id"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("n_tokens").alias("n_tokens"),
+        F.sum(id_sum(F.col("tokens"))).alias("id_sum"),
+    )
+
+
+@register
+def split_without_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five regions give no validation rows; the split is its delimiter."""
+    regions = spark.read.parquet(f"{sf_dir}/region.parquet").select(
+        F.col("r_regionkey").cast("bigint").alias("doc_id"), F.col("r_name").alias("text")
+    )
+    path = new_path(spark, "split_tokens")
+    write_split_tokens(split_tokens(regions), path)
+    return split_token_counts(read_split_tokens(spark, path, ["train_set", "val_set", "test_set"]))
+
+
 # Tokens
 
 
@@ -243,6 +294,11 @@ def packed(spark: SparkSession, sf_dir: str, **settings: object) -> Packed:
     return corpus_to_shards(documents(spark, sf_dir), plan)
 
 
+def planned(spark: SparkSession, sf_dir: str, **settings: object) -> DataFrame:
+    plan = CorpusPlan(shard_size=SHARD_SIZE, **settings)
+    return corpus_manifest(documents(spark, sf_dir), plan)
+
+
 def written_shards(spark: SparkSession, sf_dir: str) -> str:
     path = new_path(spark, "shards")
     write_shards(packed(spark, sf_dir).pieces, path)
@@ -260,7 +316,7 @@ def checksums(pieces: DataFrame) -> DataFrame:
 @register
 def shard_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = shard_name(F.col("split"), F.col("shard_id"))
-    return packed(spark, sf_dir).manifest().withColumn("name", name)
+    return planned(spark, sf_dir).withColumn("name", name)
 
 
 @register
@@ -270,7 +326,7 @@ def shard_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def shard_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(spark, sf_dir, max_shards=5).manifest()
+    return planned(spark, sf_dir, max_shards=5)
 
 
 @register
@@ -297,7 +353,7 @@ def shard_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def split_shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shards_per_split(packed(spark, sf_dir).manifest())
+    return shards_per_split(planned(spark, sf_dir))
 
 
 @register
@@ -329,29 +385,30 @@ def rank_batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = next_token_pairs(token_windows(pieces, LENGTH), LENGTH)
     rows = rank_batches(pairs, BATCH_ROWS, LENGTH, RANKS)
     return rows.select(
-        "split", "shard_id", "window", "rank", "batch", "row", F.element_at("y", -1).alias("y_last")
-    )
+        "split", "shard_id", "window", "rank", "batch", "row",
+        F.array_join("x", " ").alias("x"), F.array_join("y", " ").alias("y"),
+    )
 
 
 @register
 def rank_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two rounds through the training shards for each rank, in steps of 8 micro-batches."""
-    shards = packed(spark, sf_dir)
-    train = shards.manifest().where(F.col("split") == TRAIN)
-    n = 2 * (shards.total_tokens // (BATCH_ROWS * LENGTH * RANKS))
+    total = corpus_tokens(documents(spark, sf_dir), CorpusPlan())
+    train = planned_manifest(spark, total, SHARD_SIZE).where(F.col("split") == TRAIN)
+    n = 2 * (total // (BATCH_ROWS * LENGTH * RANKS))
     return by_step(batch_schedule(train, BATCH_ROWS, LENGTH, RANKS, n), 8)
 
 
 @register
 def eval_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    val = packed(spark, sf_dir).manifest().where(F.col("split") == VAL)
+    val = planned(spark, sf_dir).where(F.col("split") == VAL)
     return eval_batches(val, BATCH_ROWS, LENGTH, RANKS)
 
 
 @register
 def training_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One epoch over the corpus in steps of 128 tokens."""
-    total = packed(spark, sf_dir).total_tokens
+    total = corpus_tokens(documents(spark, sf_dir), CorpusPlan())
     plan = training_manifest(spark, total // 128, BATCH_ROWS, LENGTH, 1, 128)
     return plan.withColumn("lr", F.round("lr", 12))
 
@@ -363,6 +420,12 @@ def prompt_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompt.select("window", F.array_join("x", " ").alias("ids"))
 
 
+@register
+def prompt_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = read_pieces(spark, written_shards(spark, sf_dir), TRAIN)
+    return prompt_text(pieces, {bytes([b]): b for b in range(256)})
+
+
 # Scores
 
 
@@ -588,6 +651,33 @@ def stream_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checksums(packer.packed(spark).pieces)
 
 
+@register
+def stream_pack_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the corpus in a limit on chunks, one arrival per micro-batch."""
+    corpus = documents(spark, sf_dir)
+    source, checkpoint = new_path(spark, "stream_in"), new_path(spark, "stream_checkpoint")
+    plan = CorpusPlan(shard_size=SHARD_SIZE, max_chunks=corpus.count() // 100 // 2)
+    packer = StreamPacker(new_path(spark, "stream_out"), plan)
+    for part in arrivals(corpus, "doc_id", 4):
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = stream_corpus(spark, source, corpus.schema, files_per_batch=1)
+    packer.start(stream, checkpoint).awaitTermination()
+    return checksums(packer.packed(spark).pieces)
+
+
+@register
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each micro-batch took in and packed, and how full it left the open shard."""
+    corpus = documents(spark, sf_dir)
+    source, checkpoint = new_path(spark, "stream_in"), new_path(spark, "stream_checkpoint")
+    packer = StreamPacker(new_path(spark, "stream_out"), CorpusPlan(shard_size=SHARD_SIZE))
+    for part in arrivals(corpus, "doc_id", 3):
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = stream_corpus(spark, source, corpus.schema, files_per_batch=1)
+    packer.start(stream, checkpoint).awaitTermination()
+    return packer.progress(spark)
+
+
 @register
 def stream_early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watch the runs as records arrive, with a restart after each arrival."""

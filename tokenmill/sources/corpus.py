@@ -90,10 +90,10 @@ def corpus_counts(corpus: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def read_texts(spark: SparkSession, path: str, whole: bool = True) -> DataFrame:
-    """Text files, one row per file (``whole``) or per line."""
+    """Text files, one row per file (``whole``, line feeds and all) or per line."""
     return spark.read.text(path, wholetext=whole).select(F.col("value").alias("text"))
 
 
 def append_texts(df: DataFrame, path: str, text_col: str = "text") -> None:
-    """Append one line per row to a folder of text files."""
+    """Append each text and a line feed to a folder of text files; its own line feeds stay."""
     df.select(F.col(text_col).alias("value")).write.mode("append").text(path)

@@ -1,9 +1,10 @@
 """Shards as ``.npy`` files of unsigned 16-bit ids, one file per shard.
 
 Writing goes through a Python data source: the shard id decides the partition
-and a task holds one shard at a time.  The task gives a finished file its final
-name itself; a repeated task writes the same bytes under the same name.  The
-driver only adds the success marker.  Reading uses Spark's binary file source.
+and a task holds one shard at a time.  The files go to a folder of this attempt, next to the
+target; a repeated task writes the same bytes under the same name there.  Once all tasks are
+done the attempt takes the place of the target, by two renames, so a failed export leaves the
+old one as it was.  Reading uses Spark's binary file source.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
+from tokenmill.staging import Folder
+
 FILE_NAME = "{split}_shard_{shard_id:06d}.npy"
 FILE_PATTERN = r"([^/]+)_shard_(\d+)\.npy$"
 
@@ -99,21 +102,44 @@ class NpyShards(DataSource):
 def write_npy(pieces: DataFrame, path: str) -> None:
     """Export pieces as one file per shard in place of what ``path`` held.
 
-    Only the tokens of one shard, a bounded number, come together in one place.
+    Only the tokens of one shard, a bounded number, come together in one place.  A path
+    without a scheme lies in the default file system of the cluster.
     """
-    files, folder = _open(path)
-    files.create_dir(folder, recursive=True)
-    files.delete_dir_contents(folder)
-    pieces.sparkSession.dataSource.register(NpyShards)
-    (
-        pieces.select("split", "shard_id", "start", "tokens")
-        .repartition("split", "shard_id")
-        .sortWithinPartitions("split", "shard_id", "start")
-        .write.format("npy_shards")
-        .mode("append")
-        .option("path", path)
-        .save()
-    )
+    spark = pieces.sparkSession
+    target = Folder(spark, path.rstrip("/"))
+    attempt = Folder(spark, f"{target.uri()}.attempt-{uuid.uuid4().hex}")
+    attempt.create()
+    spark.dataSource.register(NpyShards)
+    try:
+        (
+            pieces.select("split", "shard_id", "start", "tokens")
+            .repartition("split", "shard_id")
+            .sortWithinPartitions("split", "shard_id", "start")
+            .write.format("npy_shards")
+            .mode("append")
+            .option("path", attempt.uri())
+            .save()
+        )
+    except BaseException:
+        attempt.delete()
+        raise
+    _take_place(spark, attempt, target)
+
+
+def _take_place(spark: SparkSession, attempt: Folder, target: Folder) -> None:
+    """Put the finished attempt where the target is; the old one comes back if that fails."""
+    uri = target.uri()
+    old = Folder(spark, f"{uri}.old-{uuid.uuid4().hex}")
+    had = target.exists()
+    if had:
+        target.move(old.uri())
+    try:
+        attempt.move(uri)
+    except BaseException:
+        if had:
+            old.move(uri)
+        raise
+    old.delete()
 
 
 @F.arrow_udf(ArrayType(IntegerType()))
