@@ -66,9 +66,69 @@ def test_empty(spark):
     assert VectorDedup(spark.createDataFrame([], SCHEMA)).report().count() == 0
 
 
-def test_passes_grow_slowly():
-    found = [passes_for(n, PassSettings()) for n in (10, 10**4, 10**6, 10**9)]
-    assert found == sorted(found) and found[0] == 4 and found[-1] < 400
+def unit(rows):
+    return rows / np.linalg.norm(rows, axis=1)[:, None]
+
+
+def test_passes_grow_slowly_with_rows_and_with_density():
+    draws = np.random.default_rng(0)
+    sample = unit(draws.standard_normal((500, 64)))
+    mean = sample.mean(axis=0)
+    found = [passes_for(sample, mean, n, PassSettings()) for n in (500, 10**4, 10**6, 10**9)]
+    assert found == sorted(found) and found[0] <= 10 and found[-1] < 400
+    dense = unit(draws.standard_normal((500, 64)) * 0.5 + 8 * sample[:1])
+    assert passes_for(dense, dense.mean(axis=0), 10**4, PassSettings()) > 2 * found[1]
+    assert passes_for(sample[:0], np.zeros(64), 0, PassSettings()) == 4
+
+
+def planted(rows, partners, density, seed=2):
+    """Vectors of one label around one direction, some with a partner at a cosine near 0.94."""
+    draws = np.random.default_rng(seed)
+    base = unit(draws.standard_normal((1, 64)))
+    own = unit(draws.standard_normal((rows, 64)))
+    own = unit(own - (own @ base.T) * base)
+    found = unit(np.sqrt(density) * base + np.sqrt(1 - density) * own)
+    away = unit(draws.standard_normal((partners, 64)))
+    away = unit(away - (away * found[:partners]).sum(axis=1)[:, None] * found[:partners])
+    near = 0.94 * found[:partners] + np.sqrt(1 - 0.94**2) * away
+    return np.concatenate([found, near])
+
+
+@pytest.mark.parametrize("rows, partners", [(4000, 300), (600, 100)])
+def test_recall_in_a_dense_label(spark, rows, partners):
+    vectors = planted(rows, partners, 0.8)
+    gram = vectors @ vectors.T
+    assert np.median(gram) > 0.7
+    np.fill_diagonal(gram, 0)
+    want = (gram >= 0.93).sum(axis=1)
+    table = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in VectorDedup(df).report().collect()}
+    found = sum(got.values())
+    assert all(got[i] <= want[i] for i in got)
+    assert found >= 0.995 * want.sum() and want.sum() >= 2 * partners
+
+
+def test_doubles_are_not_narrowed(spark):
+    """Cosines on both sides of the least one that single precision cannot tell apart."""
+    angle = math.acos(0.93)
+    rows = [
+        (1, [1.0, 0.0], 1), (2, [math.cos(angle - 1e-9), math.sin(angle - 1e-9)], 1),
+        (3, [1.0, 0.0], 2), (4, [math.cos(angle + 1e-9), math.sin(angle + 1e-9)], 2),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert {r.vec_id: r.n_links for r in VectorDedup(df).report().collect()} == {1: 1, 2: 1, 3: 0, 4: 0}
+
+
+@pytest.mark.parametrize("parts", ["1", "400"])
+def test_the_result_does_not_depend_on_partitions(spark, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        rows = made()
+        assert result(spark, rows) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_recall_on_the_larger_sample(spark):

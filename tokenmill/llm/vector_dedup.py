@@ -7,8 +7,13 @@ vector is compared with the next ``window`` vectors in the order; pairs with a
 cosine of at least ``least`` are links.  The links of all passes are put together
 and their connected components found.
 
-The number of passes follows from the largest label: a pair at the least cosine is
-meant to be missed with a probability of at most ``miss``.
+Before they are projected, unit vectors are centred by the mean of their label, without which
+the bits of a dense label say little.  The number of passes is found for each label from a
+bounded hash sample of ``crowd`` of its vectors: from the angles in the sample follows how many
+bits it takes until no more than half a window of other vectors are expected to agree with
+one, and how likely a partner at the least cosine agrees in these bits.  The passes are so
+many that this partner is missed with a probability of at most ``miss``, for the sampled vector
+it is worst for.
 
 Equal vectors are one class and go through the passes once.  Tasks pass on a
 spanning forest of the links they find, so large groups of near copies cost one
@@ -19,7 +24,7 @@ the bounded windows cut no count.
 Contract: cosine in double precision; only vectors of equal label and length are
 compared; a null label, a null vector, a zero vector and one with null or
 non-finite components link with nothing and are their own component.  Repeated rows
-link like any equal vectors.  Other columns are not used.  An empty table gives an
+link like any equal vectors.  ``kept`` is false for a null ``vec_id``.  Other columns are not used.  An empty table gives an
 empty table.
 """
 
@@ -32,17 +37,24 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import FloatType, StructType
 
 from tokenmill.llm.components import components, forest
 from tokenmill.llm.tables import partitions, small_or_shuffled
 from tokenmill.staging import stage
 
 BITS = 64
+#: Rows of a sorted partition at least, in windows.
+WINDOWS_PER_TASK = 20
 #: Rows of a component that are compared with one another at once.
 BLOCK_ROWS = 1024
-SORTED = "label bigint, dims int, pass int, place bigint, node bigint, vector array<float>"
+SORTED = "label bigint, dims int, pass int, place bigint, node bigint, vector array<{kind}>"
+#: Numbers of the means of all labels that are sent to all tasks.
+MEANS_SENT = 1_000_000
+SHAPE = "label bigint, dims int, rows bigint, passes int, mean array<double>"
 
 
 @dataclass(frozen=True)
@@ -50,15 +62,39 @@ class PassSettings:
     least: float = 0.93
     window: int = 48
     miss: float = 0.001
+    #: Vectors of a label that its passes are found from.
+    crowd: int = 1000
     seed: int = 11
 
 
-def passes_for(rows: int, settings: PassSettings) -> int:
-    """Passes after which a pair at the least cosine is missed by chance ``miss``."""
-    agree = 1 - math.acos(settings.least) / math.pi
-    bits = max(0.0, math.log2(max(rows, 1) / settings.window))
-    near = min(agree**bits, 1 - 1e-9)
-    return max(4, math.ceil(math.log(settings.miss) / math.log(1 - near)))
+def passes_for(
+    sample: np.ndarray, mean: np.ndarray, rows: int, settings: PassSettings
+) -> int:
+    """Passes after which a pair at the least cosine is missed by chance ``miss``.
+
+    ``sample`` holds unit vectors of a label of ``rows`` vectors with the given mean.
+    """
+    centred = sample - mean
+    lengths = np.maximum(np.sqrt((centred * centred).sum(axis=1)), 1e-12)
+    angles = (centred @ centred.T) / np.outer(lengths, lengths)
+    agree = 1 - np.arccos(np.clip(angles, -1, 1)) / np.pi
+    # Those that link anyway do not stand in the way of a partner.
+    agree[sample @ sample.T >= settings.least] = 0
+    others = max(rows - 1, 0) / max(len(sample) - 1, 1)
+    # A partner of the same product with the mean.
+    partner = (settings.least - 1) / lengths**2 + 1
+    near = 1 - np.arccos(np.clip(partner, -1, 1)) / np.pi
+    found = np.full(len(sample), 1 - 1e-9)
+    power = np.ones_like(agree)
+    open_rows = (agree > 0).sum(axis=1) * others > settings.window / 2
+    for bits in range(1, BITS + 1):
+        if not open_rows.any():
+            break
+        power *= agree
+        found[open_rows] = near[open_rows] ** bits
+        open_rows &= power.sum(axis=1) * others > settings.window / 2
+    worst = min(max(float(found.min(initial=1 - 1e-9)), 1e-4), 1 - 1e-9)
+    return max(4, math.ceil(math.log(settings.miss) / math.log1p(-worst)))
 
 
 def matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -69,6 +105,12 @@ def matrix(column: pa.Array, dims: int) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1))[:, None]
 
 
+def kind_of(vectors: DataFrame) -> str:
+    """Floats stay floats, all else is taken as doubles; cosines are those of doubles."""
+    element = vectors.schema["embedding"].dataType.elementType
+    return "float" if isinstance(element, FloatType) else "double"
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """The rows that can link, with ``row`` as their number."""
     parts = F.col("embedding")
@@ -78,7 +120,7 @@ def usable(vectors: DataFrame) -> DataFrame:
             F.monotonically_increasing_id().alias("row"),
             "vec_id",
             F.col("label").cast("bigint"),
-            parts.cast("array<float>").alias("vector"),
+            parts.cast(f"array<{kind_of(vectors)}>").alias("vector"),
             F.size(parts).alias("dims"),
         )
         .withColumn(
@@ -93,16 +135,69 @@ def usable(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _projected(settings: PassSettings, passes: int):
-    """Each vector once per pass, with its bits as a place in the order."""
+def _groups(table: pa.Table) -> Iterator[tuple[int, int, pa.Table]]:
+    """The rows of each label and length."""
+    pairs = set(zip(table["label"].to_pylist(), table["dims"].to_pylist(), strict=True))
+    for label, dims in sorted(pairs):
+        same = pa.compute.and_(
+            pa.compute.equal(table["label"], label), pa.compute.equal(table["dims"], dims)
+        )
+        yield label, dims, table.filter(same).combine_chunks()
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows and sum of the unit vectors of each label and length in a task."""
+    found: dict[tuple[int, int], list] = {}
+    for batch in batches:
+        for label, dims, own in _groups(pa.Table.from_batches([batch])):
+            held = found.setdefault((label, dims), [0, np.zeros(dims)])
+            held[0] += len(own)
+            held[1] += matrix(own["vector"].combine_chunks(), dims).sum(axis=0)
+    if found:
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([label for label, _ in found], pa.int64()),
+                pa.array([dims for _, dims in found], pa.int32()),
+                pa.array([rows for rows, _ in found.values()], pa.int64()),
+                pa.array([list(total) for _, total in found.values()], pa.list_(pa.float64())),
+            ],
+            names=["label", "dims", "rows", "total"],
+        )
+
+
+def _shaped(settings: PassSettings):
+    """Rows, passes and mean of a label and length from partial sums and sampled vectors."""
+
+    def run(key: tuple, sums: pa.Table, sampled: pa.Table) -> pa.Table:
+        rows = sum(sums["rows"].to_pylist())
+        dims = key[1].as_py()
+        total = sums["total"].combine_chunks().flatten().to_numpy().reshape(-1, dims)
+        mean = total.sum(axis=0) / rows
+        sampled = sampled.take(pa.compute.sort_indices(sampled["draw"])[: settings.crowd])
+        vectors = sampled["vector"].combine_chunks()
+        sample = matrix(vectors, dims) if len(vectors) else np.zeros((0, dims))
+        return pa.table(
+            {
+                "label": pa.array([key[0].as_py()], pa.int64()),
+                "dims": pa.array([dims], pa.int32()),
+                "rows": pa.array([rows], pa.int64()),
+                "passes": pa.array([passes_for(sample, mean, rows, settings)], pa.int32()),
+                "mean": pa.array([list(mean)], pa.list_(pa.float64())),
+            }
+        )
+
+    return run
+
+
+def _projected(settings: PassSettings):
+    """Each vector once per pass of its label, with its bits as a place in the order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            for dims in sorted(set(table["dims"].to_pylist())):
-                own = table.filter(pa.compute.equal(table["dims"], dims)).combine_chunks()
+            for _, dims, own in _groups(pa.Table.from_batches([batch])):
                 rows = matrix(own["vector"].combine_chunks(), dims)
-                for turn in range(passes):
+                rows = rows - np.array(own["mean"][0].as_py())
+                for turn in range(own["passes"][0].as_py()):
                     draws = np.random.Generator(np.random.PCG64([settings.seed, turn, dims]))
                     bits = rows @ draws.standard_normal((dims, BITS)) > 0
                     packed = np.packbits(bits, axis=1).copy().view(">u8")[:, 0].astype(np.uint64)
@@ -136,7 +231,7 @@ def window_links(
     return tuple(np.concatenate(side) for side in zip(*found, strict=True))
 
 
-def _compared(settings: PassSettings):
+def _compared(settings: PassSettings, schema: pa.Schema):
     """Links inside a sorted partition, and the rows at its two ends.
 
     Rows of kind 0 are links.  Kind 1 are rows at the end of partition ``border``,
@@ -166,40 +261,37 @@ def _compared(settings: PassSettings):
                     matrix(own["vector"].combine_chunks(), dims),
                     settings,
                 )
-                yield _linked(*forest(*links))
+                yield _linked(*forest(*links), schema)
             carry = table.slice(max(0, len(table) - settings.window))
         if carry is not None:
-            yield _border(carry, 1, part)
-            yield _border(head, 2, part - 1)
+            yield _border(carry, 1, part, schema)
+            yield _border(head, 2, part - 1, schema)
 
     return run
 
 
-BORDER = f"kind int, border int, a bigint, b bigint, {SORTED}"
-BORDER_SCHEMA = pa.schema(
-    [("kind", pa.int32()), ("border", pa.int32()), ("a", pa.int64()), ("b", pa.int64()),
-     ("label", pa.int64()), ("dims", pa.int32()), ("pass", pa.int32()), ("place", pa.int64()),
-     ("node", pa.int64()), ("vector", pa.list_(pa.float32()))]
-)
+def border_schema(kind: str) -> StructType:
+    ends = StructType.fromDDL("kind int, border int, a bigint, b bigint")
+    return StructType([*ends, *StructType.fromDDL(SORTED.format(kind=kind))])
 
 
-def _filled(columns: dict[str, pa.Array], count: int) -> pa.RecordBatch:
+def _filled(columns: dict[str, pa.Array], count: int, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [columns.get(f.name, pa.nulls(count, f.type)) for f in BORDER_SCHEMA],
-        schema=BORDER_SCHEMA,
+        [columns.get(f.name, pa.nulls(count, f.type)) for f in schema], schema=schema
     )
 
 
-def _linked(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+def _linked(a: np.ndarray, b: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
     kinds = pa.array(np.zeros(len(a), np.int32))
-    return _filled({"kind": kinds, "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}, len(a))
+    found = {"kind": kinds, "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}
+    return _filled(found, len(a), schema)
 
 
-def _border(rows: pa.Table, kind: int, border: int) -> pa.RecordBatch:
+def _border(rows: pa.Table, kind: int, border: int, schema: pa.Schema) -> pa.RecordBatch:
     rows = rows.combine_chunks()
     named = {
         name: (rows[name].chunk(0) if rows[name].num_chunks else pa.nulls(0, rows[name].type)).cast(
-            BORDER_SCHEMA.field(name).type
+            schema.field(name).type
         )
         for name in rows.column_names
     }
@@ -207,7 +299,7 @@ def _border(rows: pa.Table, kind: int, border: int) -> pa.RecordBatch:
         "kind": pa.array(np.full(len(rows), kind, np.int32)),
         "border": pa.array(np.full(len(rows), border, np.int32)),
     }
-    return _filled(named | ends, len(rows))
+    return _filled(named | ends, len(rows), schema)
 
 
 def _across(settings: PassSettings):
@@ -273,6 +365,7 @@ class VectorDedup:
     def __init__(self, vectors: DataFrame, settings: PassSettings | None = None):
         self.settings = settings or PassSettings()
         self.spark = vectors.sparkSession
+        self.kind = kind_of(vectors)
         self.rows = stage(usable(vectors), "vectors")
         self.classes = stage(
             self.rows.where("fit")
@@ -286,22 +379,46 @@ class VectorDedup:
             "vector-classes",
         )
 
+    def shapes(self) -> DataFrame:
+        """``(label, dims, rows, passes, mean)`` of each label and length; one row each."""
+        sums = self.classes.select("label", "dims", "vector").mapInArrow(
+            _summed, "label bigint, dims int, rows bigint, total array<double>"
+        )
+        drawn = Window.partitionBy("label", "dims").orderBy("draw", "node")
+        sampled = (
+            self.classes.select("label", "dims", "node", "vector", F.xxhash64("node").alias("draw"))
+            .withColumn("number", F.row_number().over(drawn))
+            .where(F.col("number") <= self.settings.crowd)
+            .select("label", "dims", "draw", "vector")
+        )
+        shapes = (
+            sums.groupBy("label", "dims")
+            .cogroup(sampled.groupBy("label", "dims"))
+            .applyInArrow(_shaped(self.settings), SHAPE)
+        )
+        shapes = stage(shapes, "vector-shapes")
+        numbers = shapes.agg(F.sum("dims")).first()[0] or 0
+        return F.broadcast(shapes) if numbers <= MEANS_SENT else shapes
+
     def links(self) -> DataFrame:
         """Verified links ``(a, b)`` between classes, as spanning forests of what was found."""
-        most = self.classes.groupBy("label", "dims").count().agg(F.max("count")).first()[0]
-        passes = passes_for(most or 1, self.settings)
+        fields = SORTED.format(kind=self.kind)
+        shapes = self.shapes()
+        rows = shapes.agg(F.sum(F.col("rows") * F.col("passes"))).first()[0] or 0
+        tasks = max(1, min(2 * partitions(self.spark), rows // (WINDOWS_PER_TASK * self.settings.window)))
         projected = (
             self.classes.select("label", "dims", "node", "vector")
-            .mapInArrow(_projected(self.settings, passes), SORTED)
-            .repartitionByRange(
-                2 * partitions(self.spark), "pass", "label", "dims", "place", "node"
-            )
+            .join(shapes, ["label", "dims"])
+            .mapInArrow(_projected(self.settings), fields)
+            .repartitionByRange(tasks, "pass", "label", "dims", "place", "node")
             .sortWithinPartitions("pass", "label", "dims", "place", "node")
         )
-        found = stage(projected.mapInArrow(_compared(self.settings), BORDER), "vector-links")
+        schema = border_schema(self.kind)
+        compared = _compared(self.settings, to_arrow_schema(schema))
+        found = stage(projected.mapInArrow(compared, schema), "vector-links")
         across = (
             found.where("kind > 0")
-            .select("border", *[f.split()[0] for f in SORTED.split(", ")])
+            .select("border", *[f.split()[0] for f in fields.split(", ")])
             .groupBy("border")
             .applyInArrow(_across(self.settings), "a bigint, b bigint")
         )
@@ -374,5 +491,7 @@ class VectorDedup:
                 F.coalesce(links, F.lit(0)).cast("bigint").alias("n_links"),
                 F.coalesce(component, F.col("vec_id")).cast("bigint").alias("component_id"),
             )
-            .withColumn("kept", F.col("vec_id") == F.col("component_id"))
+            .withColumn(
+                "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
+            )
         )
