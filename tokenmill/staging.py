@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,10 +41,38 @@ def stage(df: DataFrame, label: str, folders: Sequence[str] = ()) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, label)
+    for made in _collecting:
+        made.append(path)
     df.write.partitionBy(*folders).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+_collecting: list[list[str]] = []
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The paths of the tables staged inside, in order, so that they can be removed in time."""
+    made: list[str] = []
+    _collecting.append(made)
+    try:
+        yield made
+    finally:
+        _collecting.remove(made)
+
+
+def remove_staged(spark: SparkSession, paths: Sequence[str], read_by: Sequence[DataFrame] = ()) -> None:
+    """Delete staged tables but for those that one of the tables ``read_by`` is still read from.
+
+    Other DataFrames that are still to be run must not read them.
+    """
+    needed = [file for table in read_by for file in table.inputFiles()]
+    for path in paths:
+        name = path.rsplit("/", 1)[1]
+        if not any(f"/{name}/" in file for file in needed):
+            remove(spark, path)
+
+
 class Folder:
     """A folder in whatever file system Spark reads its path from."""
 
