@@ -1,11 +1,42 @@
+from pathlib import Path
+
 import corpus_pipeline
 from tests.llm.test_contamination import brute as contaminated
 from tests.llm.test_line_dedup import brute as lines_removed
 from tests.llm.test_ngram_join import brute as grouped
 
+from tokenmill.staging import stage, work_root
+
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def staged(spark):
+    folder = Path(f"{work_root(spark).removeprefix('file:')}/tokenmill")
+    return {p.name for p in folder.iterdir()}
+
+
+def test_staged_tables_go(spark):
+    """What a stage staged on its way is gone once the next one is called."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    steps = dict(corpus_pipeline.STAGES)
+    steps["op7_language"](spark, docs, SF_DIR)
+    before = staged(spark)
+    docs = stage(steps["op8_line_dedup"](spark, docs, SF_DIR), "test-lines")
+    made = staged(spark) - before
+    assert not any(name.startswith(("line-sets", "line-index", "line-rest")) for name in made)
+    assert any(name.startswith("line-prefixes") for name in made)
+    rows = docs.count()
+    docs = stage(steps["op9_near_duplicates"](spark, docs, SF_DIR), "test-near")
+    left = staged(spark) - before
+    assert not any(name.startswith("line-") for name in left)
+    assert not any(name.startswith(("token-sets", "rarity-index", "verified")) for name in left)
+    assert 0 < docs.count() <= rows
+    assert steps["op3_mixing"](spark, docs, SF_DIR).count() == docs.count()
+    assert {n.rsplit("-", 1)[0] for n in staged(spark) - before} <= {
+        "test-lines", "test-near", "mix-sizes", "mix-sources", "mix-targets", "mix-flight", "mix-reserves",
+    }
+
+
 def test_stages_one_by_one(spark, sample):
     """Each stage against brute force on its own input."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.llm.tables import beside, columns_of, small_or_shuffled
-from tokenmill.staging import stage
+from tokenmill.staging import collecting, remove_staged, stage
 
 WIDTH = 5
 PERCENT = 75
@@ -307,13 +307,15 @@ class LineDedup:
 
     def removed(self) -> DataFrame:
         """``(doc_id, text_key, n_lines, removed)``: line numbers that go, for every document."""
-        later = self.later_classes().withColumn("later", F.lit(True))
-        classes = stage(
-            self.classes.join(later, ["one", "two"], "left").select(
-                "one", "two", "n", "first", F.coalesce("later", F.lit(False)).alias("later")
-            ),
-            "line-fates",
-        )
+        with collecting() as made:
+            later = self.later_classes().withColumn("later", F.lit(True))
+            classes = stage(
+                self.classes.join(later, ["one", "two"], "left").select(
+                    "one", "two", "n", "first", F.coalesce("later", F.lit(False)).alias("later")
+                ),
+                "line-fates",
+            )
+        remove_staged(self.docs.sparkSession, made, [classes])
         keys = self.lines.select("doc_id", "text_key", "line_no", "one", "two", "n")
         goes = F.col("later") | (F.col("first") != position())
         return (

@@ -46,7 +46,7 @@ from pyspark.sql.window import Window
 from tokenmill.llm.components import components
 from tokenmill.llm.tables import beside, columns_of, partitions, small_or_shuffled
 from tokenmill.llm.text import blocks, mix, shingles, word_hashes
-from tokenmill.staging import stage
+from tokenmill.staging import collecting, remove_staged, stage
 
 UNIT_ROWS = 500_000
 BUCKET_ROWS = 500_000
@@ -509,22 +509,24 @@ class NgramJoin:
         ``component`` tells components apart, which a doc_id that several of them hold
         does not.  Both are null for rows without shingles.
         """
-        links = self.links()
-        classes = self.classes
-        if links is not None:
-            names = components(links)
-            named = classes.join(names, "node", "left").withColumn(
-                "component", F.coalesce("component", "node")
-            )
-            least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-            classes = named.join(least, "component")
-        else:
-            classes = classes.withColumn("component", F.col("node")).withColumn(
-                "component_id", F.col("least")
+        with collecting() as made:
+            links = self.links()
+            classes = self.classes
+            if links is not None:
+                names = components(links)
+                named = classes.join(names, "node", "left").withColumn(
+                    "component", F.coalesce("component", "node")
+                )
+                least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+                classes = named.join(least, "component")
+            else:
+                classes = classes.withColumn("component", F.col("node")).withColumn(
+                    "component_id", F.col("least")
+                )
+            found = small_or_shuffled(
+                classes.select("one", "two", "n", "component", "component_id"), "groups"
             )
-        found = small_or_shuffled(
-            classes.select("one", "two", "n", "component", "component_id"), "groups"
-        )
+        remove_staged(self.spark, made, [found])
         return self.rows.join(found, ["one", "two", "n"], "left")
 
     def groups(self) -> DataFrame:
