@@ -83,6 +83,20 @@ def test_fold_property(spark, runs, patience, delta):
     check(spark, runs, Patience(patience, delta), 5, summary=False)
 
 
+@pytest.mark.parametrize("delta", [0.0, 0.2, 1.5])
+def test_ways_by_doubling(spark, monkeypatch, delta):
+    """With no few ways that are followed at once, and runs over many buckets."""
+    monkeypatch.setattr("tokenmill.operators.earlystop.FEW_WAYS", 0)
+    rng = random.Random(3)
+    runs = {
+        1: [10 - i * 0.01 for i in range(700)],
+        2: [rng.random() * 10 - i * 0.01 for i in range(600)],
+        3: [5.0] * 200 + [1.0] * 10,
+        4: [2.0],
+    }
+    check(spark, runs, Patience(20, delta), 11, summary=False)
+
+
 def test_a_run_with_most_of_the_rows_is_spread_over_buckets(spark):
     rng = random.Random(7)
     hot = [rng.random() * 10 for _ in range(3000)]

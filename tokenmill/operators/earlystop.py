@@ -139,24 +139,49 @@ def _records(series: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
     return stage(kept.select("run_id", "step", "ord", "score", BUCKET), "records", [BUCKET])
 
 
-def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
     """The share of one run in one bucket, whole, from rows sorted by bucket and run."""
-    held: list[pd.DataFrame] = []
+    held: list[dict[str, np.ndarray]] = []
+
+    def whole() -> dict[str, np.ndarray]:
+        if len(held) == 1:
+            return held[0]
+        return {name: np.concatenate([part[name] for part in held]) for name in held[0]}
+
     for batch in batches:
-        runs, buckets = batch["run_id"].to_numpy(), batch["bucket"].to_numpy()
+        columns = {name: batch[name].to_numpy() for name in batch.columns}
+        runs, buckets = columns["run_id"], columns["bucket"]
         borders = np.flatnonzero((np.diff(runs) != 0) | (np.diff(buckets) != 0)) + 1
-        for lo, hi in zip([0, *borders], [*borders, len(batch)]):
-            part = batch.iloc[lo:hi]
-            if held and len(part) and (
-                held[0]["run_id"].iat[0] != part["run_id"].iat[0]
-                or held[0]["bucket"].iat[0] != part["bucket"].iat[0]
-            ):
-                yield pd.concat(held)
+        for lo, hi in zip([0, *borders.tolist()], [*borders.tolist(), len(batch)]):
+            if lo == hi:
+                continue
+            first = held[0] if held else None
+            if first and (first["run_id"][0] != runs[lo] or first["bucket"][0] != buckets[lo]):
+                yield whole()
                 held = []
-            if len(part):
-                held.append(part)
+            held.append({name: column[lo:hi] for name, column in columns.items()})
     if held:
-        yield pd.concat(held)
+        yield whole()
+
+
+def _together(
+    parts: Iterator[dict[str, np.ndarray]], names: list[str], rows: int = 10_000
+) -> Iterator[pd.DataFrame]:
+    """Small results as frames of some thousand rows."""
+    held: list[dict[str, np.ndarray]] = []
+
+    def frame() -> pd.DataFrame:
+        return pd.DataFrame({name: np.concatenate([p[name] for p in held]) for name in names})
+
+    size = 0
+    for part in parts:
+        held.append(part)
+        size += len(part[names[0]])
+        if size >= rows:
+            yield frame()
+            held, size = [], 0
+    if held:
+        yield frame()
 
 
 def _by_segment(records: DataFrame) -> DataFrame:
@@ -173,31 +198,43 @@ def _fold(records: DataFrame, entries: DataFrame, rule: Patience) -> DataFrame:
     """
     delta = rule.delta
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["bucket", "run_id", "step", "ord", "score"]
+
+    def taken(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
         for segment in _segments(batches):
-            entry, first = segment["entry"].iat[0], 0
+            entry, first = segment["entry"][0], 0
             if not np.isnan(entry):
                 if not entry:
                     continue
-                first = int(np.searchsorted(segment["ord"].to_numpy(), entry))
-            taken = climb(segment["score"].to_numpy(), first, delta)
-            yield segment.iloc[taken][["bucket", "run_id", "step", "ord", "score"]]
+                first = int(np.searchsorted(segment["ord"], entry))
+            at = climb(segment["score"], first, delta)
+            yield {name: segment[name][at] for name in names}
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _together(taken(batches), names)
 
     known = records.join(F.broadcast(entries), [BUCKET, "run_id"], "left")
     return _by_segment(known).mapInPandas(walk, RECORD)
 
 
+#: Ways out of buckets that are followed without further jobs.
+FEW_WAYS = 20_000
+
 EXIT = "bucket int, run_id bigint, ord bigint, score double, needed double"
 
 
 def _exits(crossing: DataFrame, delta: float) -> DataFrame:
     """For each record the score that a run has to reach to get better after its bucket."""
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["bucket", "run_id", "ord", "score", "needed"]
+
+    def needing(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, np.ndarray]]:
         for segment in _segments(batches):
-            scores = segment["score"].to_numpy()
-            needed = scores[last_taken(scores, delta)] + delta
-            yield segment.assign(needed=needed)[["bucket", "run_id", "ord", "score", "needed"]]
+            scores = segment["score"]
+            yield segment | {"needed": scores[last_taken(scores, delta)] + delta}
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return _together(needing(batches), names)
 
     return _by_segment(crossing).mapInPandas(walk, EXIT)
 
@@ -260,14 +297,34 @@ def _entries(records: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
     )
     if runs.isEmpty():
         return empty
-    crossing = records.join(F.broadcast(runs.select("run_id")), "run_id", "left_semi")
-    # levels[k] leads a record out of its block of 2^k buckets.
-    levels = [stage(_leaving(crossing, runs, order.n_buckets, rule.delta), "leaving")]
-    while 1 << len(levels) < order.n_buckets:
-        levels.append(stage(_doubled(levels[-1], len(levels)), "leaving"))
     first = F.get("tops", F.lit(0))
     starts = runs.select("run_id", first[BUCKET].alias(BUCKET), first["first"].alias("ord"))
+    way = spark.createDataFrame(_way(records, runs, starts, order.n_buckets, rule.delta))
+    segments = runs.select("run_id", F.explode("tops").alias("segment")).select(
+        "run_id", f"segment.{BUCKET}"
+    )
+    taken = way.withColumnRenamed("ord", "entry")
+    return segments.join(F.broadcast(taken), ["run_id", BUCKET], "left").select(
+        BUCKET, "run_id", F.coalesce("entry", F.lit(0)).alias("entry")
+    )
+
+
+def _way(
+    records: DataFrame, runs: DataFrame, starts: DataFrame, n_buckets: int, delta: float
+) -> pa.Table:
+    """The records ``(run_id, bucket, ord)`` that runs take first in their buckets.
+
+    A few ways out are followed one after the other; more are put together by doubling.
+    """
+    spark = records.sparkSession
+    crossing = records.join(F.broadcast(runs.select("run_id")), "run_id", "left_semi")
+    # levels[k] leads a record out of its block of 2^k buckets.
+    levels = [stage(_reached(_leaving(crossing, runs, n_buckets, delta), starts), "leaving")]
     found = starts.toArrow()
+    if levels[0].count() <= FEW_WAYS:
+        return _followed(found, levels[0].toArrow())
+    while 1 << len(levels) < n_buckets:
+        levels.append(stage(_doubled(levels[-1], len(levels)), "leaving"))
     for size, level in reversed(list(enumerate(levels))):
         leads = level.where(_block("to", size + 1) == _block(BUCKET, size + 1))
         so_far = F.broadcast(spark.createDataFrame(found))
@@ -275,14 +332,27 @@ def _entries(records: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
             "run_id", F.col("to").alias(BUCKET), F.col("next").alias("ord")
         )
         found = pa.concat_tables([found, further.toArrow()]).combine_chunks()
-    way = spark.createDataFrame(found)
-    segments = runs.select("run_id", F.explode("tops").alias("segment")).select(
-        "run_id", f"segment.{BUCKET}"
-    )
-    taken = way.withColumnRenamed("ord", "entry")
-    return segments.join(F.broadcast(taken), ["run_id", BUCKET], "left").select(
-        BUCKET, "run_id", F.coalesce("entry", F.lit(0)).alias("entry")
+    return found
+
+
+def _followed(starts: pa.Table, leaving: pa.Table) -> pa.Table:
+    key = lambda table, bucket, ord_: zip(
+        *(table[c].to_pylist() for c in ("run_id", bucket, ord_)), strict=True
     )
+    after = dict(zip(key(leaving, BUCKET, "ord"), key(leaving, "to", "next"), strict=True))
+    way = []
+    for record in key(starts, BUCKET, "ord"):
+        while record is not None:
+            way.append(record)
+            record = after.get(record)
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*way), starts.schema)]
+    return pa.Table.from_arrays(columns, schema=starts.schema)
+
+
+def _reached(leaving: DataFrame, starts: DataFrame) -> DataFrame:
+    """Of the records those that a run may take first in a bucket: targets of others, and its first."""
+    entered = leaving.select("run_id", F.col("to").alias(BUCKET), F.col("next").alias("ord"))
+    return leaving.join(entered.unionByName(starts).distinct(), ["run_id", BUCKET, "ord"], "left_semi")
 
 
 def _block(bucket: str, size: int) -> Column:
