@@ -289,16 +289,24 @@ def _entries(records: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
     per_bucket = records.groupBy("run_id", BUCKET).agg(
         F.max("score").alias("top"), F.min("ord").alias("first")
     )
-    runs = stage(
+    found = (
         per_bucket.groupBy("run_id")
         .agg(F.array_sort(F.collect_list(F.struct(BUCKET, "top", "first"))).alias("tops"))
-        .where(F.size("tops") > 1),
-        "crossing-runs",
+        .where(F.size("tops") > 1)
+        .toArrow()
+        .combine_chunks()
     )
-    if runs.isEmpty():
+    if not len(found):
         return empty
-    first = F.get("tops", F.lit(0))
-    starts = runs.select("run_id", first[BUCKET].alias(BUCKET), first["first"].alias("ord"))
+    runs = spark.createDataFrame(found)
+    firsts = [tops[0] for tops in found["tops"].to_pylist()]
+    starts = pa.table(
+        {
+            "run_id": found["run_id"],
+            BUCKET: pa.array([first[BUCKET] for first in firsts], pa.int32()),
+            "ord": pa.array([first["first"] for first in firsts], pa.int64()),
+        }
+    )
     way = spark.createDataFrame(_way(records, runs, starts, order.n_buckets, rule.delta))
     segments = runs.select("run_id", F.explode("tops").alias("segment")).select(
         "run_id", f"segment.{BUCKET}"
@@ -310,7 +318,7 @@ def _entries(records: DataFrame, order: RowOrder, rule: Patience) -> DataFrame:
 
 
 def _way(
-    records: DataFrame, runs: DataFrame, starts: DataFrame, n_buckets: int, delta: float
+    records: DataFrame, runs: DataFrame, starts: pa.Table, n_buckets: int, delta: float
 ) -> pa.Table:
     """The records ``(run_id, bucket, ord)`` that runs take first in their buckets.
 
@@ -318,11 +326,13 @@ def _way(
     """
     spark = records.sparkSession
     crossing = records.join(F.broadcast(runs.select("run_id")), "run_id", "left_semi")
+    leaving = _leaving(crossing, runs, n_buckets, delta)
+    ways = _reached(leaving, spark.createDataFrame(starts))
+    few = ways.limit(FEW_WAYS + 1).toArrow()
+    if len(few) <= FEW_WAYS:
+        return _followed(starts, few)
     # levels[k] leads a record out of its block of 2^k buckets.
-    levels = [stage(_reached(_leaving(crossing, runs, n_buckets, delta), starts), "leaving")]
-    found = starts.toArrow()
-    if levels[0].count() <= FEW_WAYS:
-        return _followed(found, levels[0].toArrow())
+    levels, found = [stage(ways, "leaving")], starts
     while 1 << len(levels) < n_buckets:
         levels.append(stage(_doubled(levels[-1], len(levels)), "leaving"))
     for size, level in reversed(list(enumerate(levels))):
