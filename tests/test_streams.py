@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from models import pack as model_pack
 from models import stop_trace
@@ -11,7 +12,7 @@ from tokenmill.operators.encode import BpeEncoder
 from tokenmill.plans.corpus import CorpusPlan
 from tokenmill.sources import runlog
 from tokenmill.streaming.corpus import StreamPacker, stream_corpus
-from tokenmill.streaming.monitor import RunMonitor, latest, monitor_runs, reduced
+from tokenmill.streaming.monitor import RunMonitor, block_records, latest, monitor_runs, reduced
 
 TEXT = "doc_id bigint, text string"
 
@@ -198,6 +199,29 @@ def test_one_run_with_a_whole_backlog_is_spread(spark, tmp_path, monkeypatch):
     assert (row.score, row.counter, row.stopped, row.n_steps) == (best, counter, stopped, 4000)
 
 
+def test_blocks_of_many_runs_are_reduced_together():
+    """Runs with few steps a block make as many blocks as rows, so one call takes many blocks."""
+    draws = random.Random(4)
+    rows = [
+        (run, step // 8, step, draws.choice([0.5, 1.0, 2.0, -0.0]))
+        for run in [None, 3, 7] for step in draws.sample(range(64), 30)
+    ]
+    columns = ["run_id", "block", "step", "loss"]
+    table = lambda rows: pa.table([pa.array(c) for c in zip(*rows)], columns)
+    want = []
+    for key in {row[:2] for row in rows}:
+        own = sorted(row[2:] for row in rows if row[:2] == key)
+        for place, (step, loss) in enumerate(own):
+            if all(loss <= earlier for _, earlier in own[:place]):
+                ends = own[0][0], own[-1][0]
+                want.append((*key, len(own), *ends, step, place, -loss))
+    got = [tuple(row.values()) for row in block_records(table(rows), -1.0).to_pylist()]
+    order = lambda row: (str(row[0]), *row[1:])
+    assert sorted(got, key=order) == sorted(want, key=order)
+    with pytest.raises(ValueError, match="a step of run 7 comes up more than once"):
+        block_records(table([*rows, (7, *rows[-1][1:])]), -1.0)
+
+
 @pytest.mark.parametrize("bad, message", [
     ([(1, 50, float("nan"))], "not a number"),
     ([(1, 50, None)], "not a number"),

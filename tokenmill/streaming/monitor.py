@@ -18,6 +18,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -36,40 +37,68 @@ OUTPUT = (
 )
 #: Steps of a run that are reduced together.
 BLOCK_STEPS = 4096
+#: Blocks are dealt out into so many groups by a hash; a group holds at least one whole block.
+CELLS = 4096
 REDUCED = (
     "run_id bigint, block bigint, n_rows bigint, first_step bigint, last_step bigint, "
     "step bigint, place bigint, score double"
 )
 
 
+def block_records(rows: pa.Table, sign: float) -> pa.Table:
+    """The records of all blocks of steps in a table ``(run_id, block, step, loss)``."""
+    runs = rows.column("run_id").combine_chunks()
+    if rows.column("step").null_count:
+        raise ValueError("a step is not known")
+    run = runs.dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+    block, step, loss = (rows.column(c).to_numpy() for c in ("block", "step", "loss"))
+    order = np.lexsort((step, block, run))
+    run, block, step, score = run[order], block[order], step[order], sign * loss[order] + 0.0
+    if np.isnan(score).any():
+        raise ValueError(f"a loss of run {runs[order[np.isnan(score).argmax()]]} is not a number")
+    opens = np.append(True, (np.diff(run) != 0) | (np.diff(block) != 0))
+    twice = ~opens[1:] & (np.diff(step) == 0)
+    if twice.any():
+        raise ValueError(f"a step of run {runs[order[twice.argmax()]]} comes up more than once")
+    owner, firsts = np.cumsum(opens) - 1, np.flatnonzero(opens)
+    n_rows = np.diff(np.append(firsts, len(step)))
+    # a running maximum that starts anew with each block, on the ranks of the scores
+    level = owner * (len(step) + 1) + np.unique(score, return_inverse=True)[1]
+    kept = np.flatnonzero(level >= np.maximum.accumulate(level))
+    first, size = firsts[owner[kept]], n_rows[owner[kept]]
+    return pa.table(
+        {
+            "run_id": runs.take(pa.array(order[kept])),
+            "block": block[kept],
+            "n_rows": size,
+            "first_step": step[first],
+            "last_step": step[first + size - 1],
+            "step": step[kept],
+            "place": kept - first,
+            "score": score[kept],
+        }
+    )
+
+
 def reduced(losses: DataFrame, rule: Patience) -> DataFrame:
-    """The records of each block of steps of a run, with their place and the size of the block."""
+    """The records of each block of steps of a run, with their place and the size of the block.
+
+    Blocks are reduced many at a time, as runs with few steps in a block make as many blocks
+    as there are rows.
+    """
     sign = -1.0 if rule.mode == "min" else 1.0
 
-    def shorten(key: tuple[int, int], rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("step")
-        steps, scores = rows["step"].to_numpy(), sign * rows["loss"].to_numpy() + 0.0
-        if np.isnan(scores).any():
-            raise ValueError(f"a loss of run {key[0]} is not a number")
-        if (np.diff(steps) == 0).any():
-            raise ValueError(f"a step of run {key[0]} comes up more than once")
-        kept = np.flatnonzero(scores >= np.maximum.accumulate(scores))
-        return pd.DataFrame(
-            {
-                "run_id": key[0],
-                "block": key[1],
-                "n_rows": len(steps),
-                "first_step": steps[0],
-                "last_step": steps[-1],
-                "step": steps[kept],
-                "place": kept,
-                "score": scores[kept],
-            }
-        )
+    def shorten(rows: pa.Table) -> pa.Table:
+        return block_records(rows, sign)
 
-    block = F.floor(F.col("step") / BLOCK_STEPS).alias("block")
-    blocks = losses.select("run_id", "step", F.col("loss").cast("double"), block)
-    return blocks.groupBy("run_id", "block").applyInPandas(shorten, REDUCED)
+    blocks = losses.select(
+        F.col("run_id").cast("bigint").alias("run_id"),
+        F.floor(F.col("step") / BLOCK_STEPS).alias("block"),
+        F.col("step").cast("bigint").alias("step"),
+        F.col("loss").cast("double").alias("loss"),
+    )
+    cell = F.pmod(F.xxhash64("run_id", "block"), F.lit(CELLS)).alias("cell")
+    return blocks.groupBy(cell).applyInArrow(shorten, REDUCED)
 
 
 def monitor_runs(losses: DataFrame, rule: Patience) -> DataFrame:
@@ -84,18 +113,20 @@ def monitor_runs(losses: DataFrame, rule: Patience) -> DataFrame:
     def advance(
         key: tuple[int], frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(["block", "place"])
-        blocks = rows.drop_duplicates("block")
-        ahead = blocks["n_rows"].cumsum() - blocks["n_rows"]
-        places = rows["place"].to_numpy() + rows["block"].map(
-            dict(zip(blocks["block"], ahead))
-        ).to_numpy()
-        steps, scores = rows["step"].to_numpy(), rows["score"].to_numpy()
+        rows = pd.concat(list(frames))
+        block, place, n_rows = (rows[c].to_numpy() for c in ("block", "place", "n_rows"))
+        order = np.lexsort((place, block))
+        block, n_rows = block[order], n_rows[order]
+        opens = np.append(True, np.diff(block) != 0)
+        n_rows = n_rows[opens]
+        ahead = np.cumsum(n_rows) - n_rows
+        places = place[order] + ahead[np.cumsum(opens) - 1]
+        steps, scores = rows["step"].to_numpy()[order], rows["score"].to_numpy()[order]
+        first_step = int(rows["first_step"].to_numpy()[order[0]])
         records = np.flatnonzero(scores >= np.maximum.accumulate(scores))
         places, steps, scores = places[records], steps[records], scores[records]
         if state.exists:
             best, best_step, n_steps, counter, stopped, last_step = state.get
-            first_step = int(blocks["first_step"].iat[0])
             if first_step <= last_step:
                 raise ValueError(
                     f"step {first_step} of run {key[0]} is late: {last_step} has been seen"
@@ -109,11 +140,11 @@ def monitor_runs(losses: DataFrame, rule: Patience) -> DataFrame:
             at = int(places[record])
             stopped = stopped or at - last - 1 >= limit
             best, best_step, last = float(scores[record]), int(steps[record]), at
-        n_rows = int(blocks["n_rows"].sum())
-        n_steps += n_rows
-        counter = n_rows - 1 - last
+        taken = int(n_rows.sum())
+        n_steps += taken
+        counter = taken - 1 - last
         stopped = bool(stopped or counter >= limit)
-        last_step = int(blocks["last_step"].iat[-1])
+        last_step = int(rows["last_step"].to_numpy()[order[-1]])
         state.update((best, best_step, n_steps, counter, stopped, last_step))
         yield pd.DataFrame(
             {
