@@ -1,6 +1,9 @@
 import random
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -16,8 +19,16 @@ from tokenmill.operators.encode import (
     as_column,
     decode,
     encode_in_order,
+    sliced,
+    utf8_bytes,
+)
+from tokenmill.operators.pack import (
+    PIECE_TOKENS,
+    cut_into_shards,
+    shard_manifest,
+    shards_per_split,
+    with_progress,
 )
-from tokenmill.operators.pack import shard_manifest, shards_per_split, with_progress
 from tokenmill.plans.corpus import (
     CorpusPlan,
     corpus_manifest,
@@ -393,3 +404,63 @@ def test_text_files(spark, tmp_path):
     lines = [r["text"] for r in read_texts(spark, path, whole=False).collect()]
     assert sorted(lines) == ["a", "b", "c", "d"]
     assert "c\nd\n" in [r["text"] for r in read_texts(spark, path).collect()]
+
+
+class OneTextAtATime:
+    """Byte ids; it refuses to get more than it should at once."""
+
+    eot = 256
+
+    def encode(self, text):
+        return as_column(self.batch_encoder(), text)
+
+    def length(self, text):
+        return None
+
+    def batch_encoder(self):
+        def run(texts):
+            if pc.sum(pc.binary_length(texts)).as_py() > 2_300_000:
+                raise ValueError("too much text at once")
+            return utf8_bytes(texts)
+
+        return run
+
+
+def test_long_texts_are_encoded_in_small_parts(spark):
+    """A batch holds as many texts as Spark sends; ids take four times their memory, and more."""
+    texts = ["a" * 700_000, "b" * 700_000, None, "", "c" * 700_000, "d" * 1_200_000]
+    df = corpus(spark, texts).coalesce(1)
+    ids = df.select(F.size(OneTextAtATime().encode(F.col("text"))).alias("n"), "doc_id")
+    want = [len(text or "") for text in texts]
+    assert [row.n for row in ids.orderBy("doc_id").collect()] == want
+    plan = CorpusPlan(chunk_size=1, buckets=1)
+    chunks, totals = encoded_chunks(df, plan, OneTextAtATime())
+    assert totals == [sum(want) + len(want)]
+    found = chunks.orderBy("chunk_id").select("n_tokens", "inside").collect()
+    inside = np.cumsum([0, *[n + 1 for n in want]])
+    assert [tuple(row) for row in found] == [(n + 1, at) for n, at in zip(want, inside)]
+    assert [len(part) for part in sliced(pa.record_batch([texts], ["t"]), "t")] == [2, 3, 1]
+
+
+def test_written_shards_are_read_in_small_parts(spark, tmp_path):
+    """A reader holds a row group at once, so neither its rows nor its row groups may be long."""
+    plan = CorpusPlan(chunk_size=2, shard_size=150_000, buckets=1)
+    texts = [chr(97 + i % 26) * 40_000 for i in range(120)]
+    pieces = corpus_to_shards(corpus(spark, texts), plan).pieces
+    path = str(tmp_path / "shards")
+    write_shards(pieces, path)
+    files = [pq.ParquetFile(file) for file in tmp_path.rglob("*.parquet")]
+    groups = [f.metadata.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert max(groups) <= 32 < sum(groups)
+    back = read_pieces(spark, path)
+    assert back.agg(F.max("n_tokens")).first()[0] <= PIECE_TOKENS
+    model = model_pack(byte_chunks(texts, 2), 150_000)
+    assert shards_of(back) == model
+    limited = cut_into_shards(
+        spark.createDataFrame([(5, 200_000, [1] * 200_000)], "offset long, n_tokens long, tokens array<int>"),
+        90_000, 2,
+    )
+    found = sorted(limited.selectExpr("shard_id", "start", "n_tokens", "size(tokens)").collect())
+    assert [tuple(row) for row in found] == [
+        (0, 5, 65531, 65531), (0, 65536, 24464, 24464), (1, 0, 65536, 65536), (1, 65536, 24464, 24464)
+    ]

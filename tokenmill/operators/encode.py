@@ -26,6 +26,9 @@ from tokenmill.functions.tokens import ID_LIMIT, checked, prefix_token
 
 TOKENS = ArrayType(IntegerType())
 
+#: Bytes of text that a task encodes together, whatever Spark sends it at once.
+SLICE_BYTES = 1 << 20
+
 # Fixed value: the published split pattern of the GPT-2 vocabulary.
 SPLIT_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -50,6 +53,18 @@ def _list_array(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
+def sliced(batch: pa.RecordBatch, column: str, size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """A batch in stretches whose ``column`` holds about ``size`` bytes, or one longer value.
+
+    Tokens take several times the memory of their text, so they are made of one stretch at a time.
+    """
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    ahead = np.cumsum(lengths, dtype=np.int64) - lengths
+    firsts = np.flatnonzero(np.diff(ahead // (size or SLICE_BYTES), prepend=-1)).tolist()
+    for first, end in zip(firsts, [*firsts[1:], len(lengths)]):
+        yield batch.slice(first, end - first)
+
+
 def utf8_bytes(texts: pa.Array) -> pa.Array:
     blobs = texts.fill_null("").cast(pa.binary())
     lengths = pc.binary_length(blobs).to_numpy(zero_copy_only=False)
@@ -178,10 +193,12 @@ def in_range(values: np.ndarray) -> None:
 
 def as_column(batch: Callable[[pa.Array], pa.Array], text: Column) -> Column:
     @F.arrow_udf(TOKENS)
-    def encode(texts: pa.Array) -> pa.Array:
-        tokens = batch(texts)
-        in_range(tokens.flatten().to_numpy(zero_copy_only=False))
-        return tokens
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for part in sliced(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+                tokens = batch(part.column("text"))
+                in_range(tokens.flatten().to_numpy(zero_copy_only=False))
+                yield tokens
 
     return encode(text)
 
@@ -214,7 +231,7 @@ def encode_in_order(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, seen = None, 0
-        for batch in batches:
+        for batch in (part for batch in batches for part in sliced(batch, text_col)):
             tokens = batch_encoder(batch.column(text_col))
             firsts = tokens.offsets.to_numpy()[:-1]
             values = np.insert(tokens.values.to_numpy(zero_copy_only=False), firsts, eot)

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tokenmill.operators.encode import sliced
 from tokenmill.staging import stage
 
 #: Bytes of the next block that a run goes on into.
@@ -109,7 +110,7 @@ def leaving(blocks: DataFrame, codec: Codec) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = codec.sizes
-        for batch in batches:
+        for batch in (part for batch in batches for part in sliced(batch, "body")):
             maps = []
             for row in batch.select(["body", "head", "opens"]).to_pylist():
                 block = Block(row["body"], row["head"], codec.encode_piece, sizes)
@@ -127,7 +128,7 @@ def block_tokens(blocks: DataFrame, codec: Codec) -> DataFrame:
     """``(split, seq, part, tokens)`` of blocks with the byte they are entered at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for batch in batches for part in sliced(batch, "body")):
             found = []
             for row in batch.select(["body", "head", "entry"]).to_pylist():
                 block = Block(row["body"], row["head"], codec.encode_piece, codec.sizes)
@@ -193,7 +194,7 @@ def _parted(codec: Codec):
                  pa.binary(), pa.list_(pa.int32())],
             )
         )
-        for batch in batches:
+        for batch in (part for batch in batches for part in sliced(batch, "text")):
             rows = []
             for unit in batch.to_pylist():
                 pieces = [m.encode() for m in pattern.findall(unit["text"])]

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from tokenmill.operators.ordering import with_base
 from tokenmill.operators.splits import TRAIN, VAL
 
+#: Longest piece of a shard in a row of its own.
+PIECE_TOKENS = 1 << 16
+
 
 @dataclass(frozen=True)
 class Packed:
@@ -62,19 +65,32 @@ def shard_split(filled: Column, shard_size: int) -> Column:
 def cut_into_shards(
     sequences: DataFrame, shard_size: int, max_shards: int | None = None
 ) -> DataFrame:
-    """Cut sequences with a known global ``offset`` at the shard borders."""
+    """Cut sequences with a known global ``offset`` at the shard borders.
+
+    Inside a shard they are cut at each ``PIECE_TOKENS`` tokens, too, which bounds a row.
+    """
     if shard_size < 1:
         raise ValueError("shard_size must be at least 1")
     kept = sequences.where("n_tokens > 0")
     if max_shards is not None:
         kept = kept.where(F.col("offset") < max_shards * shard_size)
-    first, last = f"offset div {shard_size}L", f"(offset + n_tokens - 1) div {shard_size}L"
-    cut = kept.withColumn("shard_id", F.explode(F.expr(f"sequence({first}, {last})")))
+    per_shard = -(-shard_size // PIECE_TOKENS)
+
+    def stretch(token: str) -> str:
+        """Number of the stretch of at most ``PIECE_TOKENS`` tokens of a shard that a token is in."""
+        place = f"(({token}) % {shard_size}L) div {PIECE_TOKENS}L"
+        return f"(({token}) div {shard_size}L) * {per_shard}L + {place}"
+
+    first, last = stretch("offset"), stretch("offset + n_tokens - 1")
+    cut = kept.withColumn("stretch", F.explode(F.expr(f"sequence({first}, {last})")))
+    cut = cut.withColumn("shard_id", F.expr(f"stretch div {per_shard}L"))
     if max_shards is not None:
         cut = cut.where(F.col("shard_id") < max_shards)
     shard_start = F.col("shard_id") * shard_size
-    from_token = F.greatest(shard_start - F.col("offset"), F.lit(0))
-    to_token = F.least(shard_start + shard_size - F.col("offset"), F.col("n_tokens"))
+    starts = shard_start + (F.col("stretch") % per_shard) * PIECE_TOKENS
+    ends = F.least(starts + PIECE_TOKENS, shard_start + shard_size)
+    from_token = F.greatest(starts - F.col("offset"), F.lit(0))
+    to_token = F.least(ends - F.col("offset"), F.col("n_tokens"))
     return cut.select(
         "shard_id",
         (F.col("offset") + from_token - shard_start).alias("start"),

@@ -29,7 +29,7 @@ from tokenmill.operators.pack import Packed, pack, planned_manifest
 from tokenmill.operators.seams import BLOCK_BYTES, split_units
 from tokenmill.operators.splits import TEST, TRAIN, VAL, split_label, split_starts
 from tokenmill.sources.corpus import spread
-from tokenmill.staging import stage
+from tokenmill.staging import LONG_ROWS, stage
 
 
 @dataclass(frozen=True)
@@ -78,7 +78,8 @@ def encode_rows(chunks: ChunkedRows, encoder: Encoder) -> tuple[DataFrame, list[
     texts = chunks.texts()
     length = encoder.length(F.col("text"))
     if length is None:
-        sequences = stage(encode_in_order(texts, encoder, BUCKET, "chunk_id"), "encoded")
+        encoded = encode_in_order(texts, encoder, BUCKET, "chunk_id")
+        sequences = stage(encoded, "encoded", options=LONG_ROWS)
         return sequences, totals_by_bucket(sequences, "n_tokens", chunks.order.n_buckets)
     sequences = (
         texts.withColumn("n_tokens", (length + 1).cast("bigint"))

@@ -143,11 +143,12 @@ def _take_place(spark: SparkSession, attempt: Folder, target: Folder) -> None:
 
 
 @F.arrow_udf(ArrayType(IntegerType()))
-def _ids(blobs: pa.Array) -> pa.Array:
-    arrays = [np.load(io.BytesIO(blob.as_py())).astype(np.int32) for blob in blobs]
-    offsets = np.concatenate([[0], np.cumsum([len(one) for one in arrays])]).astype(np.int32)
-    values = np.concatenate(arrays) if arrays else np.empty(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+def _ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The ids of one file at a time."""
+    for blob in (blob for blobs in batches for blob in blobs):
+        values = np.load(io.BytesIO(blob.as_py())).astype(np.int32)
+        offsets = pa.array([0, len(values)], pa.int32())
+        yield pa.ListArray.from_arrays(offsets, pa.array(values))
 
 
 def read_npy(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tokenmill.functions.tokens import widen
 from tokenmill.operators.pack import shard_manifest
 from tokenmill.operators.splits import TRAIN
+from tokenmill.staging import LONG_ROWS
 
 PIECE_SCHEMA = (
     "shard_id bigint, start bigint, n_tokens bigint, shard_tokens bigint, "
@@ -22,12 +23,12 @@ def write_shards(pieces: DataFrame, path: str, one_folder_per_shard: bool = Fals
 
     Pieces arrive bucket by bucket in shard order, so the files of a split hold
     disjoint shard ranges already and a filter on ``shard_id`` skips all other
-    row groups.  A folder per shard is for small corpora only: a large one has
-    millions of shards.
+    row groups, which are small, as readers hold one at a time.  A folder per shard is for
+    small corpora only: a large one has millions of shards.
     """
     folders = ["split", "shard_id"] if one_folder_per_shard else ["split"]
     writer = pieces.sortWithinPartitions("split", "shard_id", "start").write
-    writer.mode("overwrite").partitionBy(*folders).parquet(path)
+    writer.options(**LONG_ROWS).mode("overwrite").partitionBy(*folders).parquet(path)
 
 
 def read_pieces(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:

@@ -25,6 +25,7 @@ from tokenmill.operators.encode import ByteEncoder, Encoder
 from tokenmill.operators.ordering import RowOrder, with_base
 from tokenmill.operators.pack import Packed, cut_into_shards, label_shards
 from tokenmill.plans.corpus import CorpusPlan, encode_rows
+from tokenmill.staging import LONG_ROWS
 
 
 def stream_corpus(
@@ -140,7 +141,8 @@ class StreamPacker:
         return pieces, next_offset + sum(totals)
 
     def _write(self, df: DataFrame, kind: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/{kind}/batch={batch_id}")
+        options = LONG_ROWS if kind == "pieces" else {}
+        df.write.options(**options).mode("overwrite").parquet(f"{self.path}/{kind}/batch={batch_id}")
 
     def start(self, stream: DataFrame, checkpoint: str) -> StreamingQuery:
         """Pack all files that are there, then stop; earlier if the limit on chunks is reached."""
