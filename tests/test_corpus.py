@@ -29,6 +29,7 @@ from tokenmill.operators.pack import (
     shards_per_split,
     with_progress,
 )
+from tokenmill.operators.seams import split_units
 from tokenmill.plans.corpus import (
     CorpusPlan,
     corpus_manifest,
@@ -464,3 +465,20 @@ def test_written_shards_are_read_in_small_parts(spark, tmp_path):
     assert [tuple(row) for row in found] == [
         (0, 5, 65531, 65531), (0, 65536, 24464, 24464), (1, 0, 65536, 65536), (1, 65536, 24464, 24464)
     ]
+
+
+def test_a_joined_split_is_dealt_out_by_bytes(spark, monkeypatch):
+    """A few long texts weigh as much as many short ones."""
+    seen = []
+
+    def units(df, order, *rest):
+        seen.append(order)
+        return split_units(df, order, *rest)
+
+    monkeypatch.setattr("tokenmill.plans.corpus.split_units", units)
+    texts = ["a word " * (2000 if i < 200 else 2) for i in range(2000)]
+    df = corpus(spark, texts)
+    tokens = split_tokens(df, encoder=BpeEncoder({bytes([b]): b for b in range(256)}))
+    assert tokens.agg(F.sum("n_tokens")).first()[0] == sum(map(len, texts)) + 3
+    sizes = seen[0].totals(df, F.octet_length("text"))
+    assert max(sizes) < sum(sizes) / 4

@@ -222,7 +222,7 @@ class RowOrder:
             .drop("base of range", "place in range")
         )
 
-    def keys_at(self, df: DataFrame, ordinals: Sequence[int]) -> dict[int, tuple[Any, ...]]:
+    def keys_at(self, df: DataFrame, ordinals: Iterable[int]) -> dict[int, tuple[Any, ...]]:
         """Keys of the rows at the given positions; only key columns are shuffled.
 
         At most a few positions per bucket may be asked for.
@@ -252,7 +252,9 @@ class RowOrder:
 
     def recut(self, df: DataFrame, starts: Iterable[int]) -> RowOrder:
         """The same order with buckets that start at the given positions."""
-        at = self.keys_at(df, [start for start in set(starts) if 0 < start < self.n_rows])
+        wanted = {start for start in starts if 0 < start < self.n_rows}
+        at = {base: key for base, key in zip(self.bases[1:], self.bounds) if base in wanted}
+        at |= self.keys_at(df, wanted - set(at))
         kept = sorted(at)
         return replace(self, bounds=tuple(at[o] for o in kept), bases=(0, *kept))
 

@@ -24,13 +24,20 @@ def positional_split(
 
 
 def split_starts(
-    df: DataFrame, order_by: str | list[str], train: float, val: float
+    df: DataFrame,
+    order_by: str | list[str],
+    train: float,
+    val: float,
+    weight: Column | None = None,
 ) -> tuple[RowOrder, tuple[int, int]]:
-    """Order of the table, cut where the validation and the test rows start."""
-    order = RowOrder.fit(df, order_by)
+    """Order of the table, cut where the validation and the test rows start, too.
+
+    Where the rows themselves are moved, ``weight`` gives their bytes.
+    """
+    order = RowOrder.fit(df, order_by, weight=weight)
     n_train, n_val = int(train * order.n_rows), int(val * order.n_rows)
     starts = (n_train, n_train + n_val)
-    return order.recut(df, starts), starts
+    return order.recut(df, {*order.bases, *starts}), starts
 
 
 def split_label(order: RowOrder, df: DataFrame, starts: tuple[int, int]) -> Column:

@@ -171,8 +171,10 @@ def split_tokens(
     """
     encoder = encoder or ByteEncoder()
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    order, starts = split_starts(corpus, keys, train, val)
-    if encoder.length(F.col("text")) is None:
+    joined = encoder.length(F.col("text")) is None
+    weight = F.octet_length(F.coalesce(F.col("text"), F.lit(""))) if joined else None
+    order, starts = split_starts(corpus, keys, train, val, weight)
+    if joined:
         rows = joined_split_tokens(corpus, order, starts, encoder)
     else:
         firsts = order.keys_at(corpus, sorted({0, *starts}))
