@@ -3,6 +3,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tokenmill.llm import periodic
@@ -201,3 +202,32 @@ def test_planting_leaves_other_rows_alone(spark):
     for number, text in rows:
         if zlib.crc32(str(number).encode()) % 10 or number is None:
             assert planted[number] == text
+
+
+def test_batches_come_back_in_small_parts():
+    """What a task holds at once does not follow the size of the batches Spark sends."""
+    whole = " ".join(f"w{i}" for i in range(3000))
+    again = whole + " " + " ".join(["on", "off"] * 20)
+    texts = [whole, again] * 200 + [None]
+    numbers = pa.array(range(len(texts)), pa.int64())
+    keys = pa.StructArray.from_arrays([numbers], ["doc_id"])
+    batch = pa.RecordBatch.from_arrays(
+        [numbers, pa.array(texts, pa.string()), keys], ["row", "text", "document"]
+    )
+    assert batch.nbytes > 5 << 20
+    plain = list(periodic._without_runs(RunSettings())(iter([batch])))
+    assert sum(len(part) for part in plain) == 201
+    first = list(periodic._first_pass(RunSettings(), keys.type)(iter([batch])))
+    assert max(part.nbytes for part in plain + first) < 2 << 20
+    kinds = [kind for part in first for kind in part.column("kind").to_pylist()]
+    assert kinds.count(periodic.DOCUMENT) == 200
+
+
+def test_only_the_columns_asked_for_travel_with_a_text(spark):
+    docs = spark.createDataFrame([(1, "a b", "much", 2.0)], "doc_id int, text string, b string, c double")
+    found = PeriodicRuns(docs)
+    assert found.report("doc_id").collect() == [(1, 2, [], "a b")]
+    assert found.collapsed().collect() == [(1, "a b", "much", 2.0)]
+    assert PeriodicRuns(docs.select("text")).collapsed().collect() == [("a b",)]
+    sent = found._whole(["doc_id"]).schema
+    assert sent["document"].dataType.names == ["doc_id"]

@@ -22,6 +22,9 @@ Documents in which no eight words come back, most of them, hold no run and never
 
 Words are compared by their number in the document, which is exact.
 
+A text crosses to Python once in each pass, beside the columns that the result needs, and is
+handled about a megabyte at a time, so that neither side holds copies of a whole batch.
+
 Contract: words are runs of ``[^\\x20\\x09-\\x0D]``; a null text has none.  Repeated rows and
 rows with equal or null keys are documents of their own.  An empty table gives an empty table.
 ``report`` and ``collapsed`` take tables with any further columns, whatever their names.
@@ -40,6 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from tokenmill.llm.text import word_bounds
+from tokenmill.operators.encode import sliced
 from tokenmill.staging import stage
 
 #: Words that have to come back before a boundary is solved: less than half of what a
@@ -302,6 +306,12 @@ def is_plain(words: Words | LongWords, settings: RunSettings) -> bool:
     return len(words) < settings.least_words or not comes_back(words.codes())
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with a ``text`` in stretches of about a megabyte of it."""
+    for batch in batches:
+        yield from sliced(batch, "text")
+
+
 # Rows that the first pass over the documents gives, by ``kind``.
 FRAGMENT, TILE, DOCUMENT = range(3)
 INNER = (
@@ -338,13 +348,15 @@ def _first_pass(settings: RunSettings, kinds: pa.DataType):
         + [("codes", pa.binary())]
     )
 
-    def batch_of(rows: list[dict], documents: pa.Array | None = None) -> pa.RecordBatch:
+    def batch_of(rows: list[dict], documents: list[pa.Array] | None = None) -> pa.RecordBatch:
         columns = pa.RecordBatch.from_pylist(rows, schema).columns
-        held = pa.nulls(len(rows), kinds) if documents is None else documents
-        return pa.RecordBatch.from_arrays([*columns, held], names=[*INNER_NAMES, "document"])
+        held = documents or [pa.nulls(len(rows), pa.string()), pa.nulls(len(rows), kinds)]
+        return pa.RecordBatch.from_arrays(
+            [*columns, *held], names=[*INNER_NAMES, "text", "document"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             found, places = [], []
             numbers = batch.column("row").to_pylist()
             for place, text in enumerate(batch.column("text")):
@@ -361,7 +373,7 @@ def _first_pass(settings: RunSettings, kinds: pa.DataType):
             if found:
                 yield batch_of(found)
             if places:
-                own = batch.column("document").take(pa.array(places))
+                own = batch.select(["text", "document"]).take(pa.array(places)).columns
                 yield batch_of([_inner(DOCUMENT, numbers[p]) for p in places], own)
 
     return run
@@ -392,7 +404,7 @@ def _without_runs(settings: RunSettings):
     """The documents that the first pass gave no row for, with their words joined."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             places, counts, texts = [], [], []
             for place, text in enumerate(batch.column("text")):
                 words = words_of(text.as_py())
@@ -415,7 +427,7 @@ def _without_runs(settings: RunSettings):
 
 def _with_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents next to their runs, with the words that stay joined."""
-    for batch in batches:
+    for batch in parts(batches):
         counts, texts = [], []
         for text, runs in zip(batch.column("text"), batch.column("runs"), strict=True):
             words = words_of(text.as_py())
@@ -439,10 +451,13 @@ class PeriodicRuns:
     def __init__(self, docs: DataFrame, settings: RunSettings = RunSettings()):
         self.docs = docs
         self.settings = settings
-        self.whole = docs.select(
+
+    def _whole(self, kept: list[str]) -> DataFrame:
+        """The texts with a number for each row, and next to them the columns ``kept``."""
+        return self.docs.select(
             F.monotonically_increasing_id().alias("row"),
-            F.col("text"),
-            F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document"),
+            F.col("text").cast("string").alias("text"),
+            F.struct(*(F.col(f"`{c}`") for c in kept)).alias("document"),
         )
 
     def stretches(self, first: DataFrame) -> DataFrame:
@@ -475,13 +490,14 @@ class PeriodicRuns:
             F.transform(F.array_sort(F.collect_list(one)), lambda r: r["run"]).alias("runs")
         )
 
-    def _found(self) -> DataFrame:
-        """``document, n_words, collapsed, runs`` for every document."""
-        document = StructField("document", self.whole.schema["document"].dataType)
-        inner = StructType.fromDDL(INNER)
-        kinds = self.whole.limit(0).select("document").toArrow().schema.field("document").type
+    def _found(self, kept: list[str]) -> DataFrame:
+        """``document, n_words, collapsed, runs`` for every document, with its columns ``kept``."""
+        whole = self._whole(kept)
+        document = StructField("document", whole.schema["document"].dataType)
+        inner = StructType.fromDDL(INNER).add("text", "string")
+        kinds = whole.limit(0).select("document").toArrow().schema.field("document").type
         first = stage(
-            self.whole.mapInArrow(
+            whole.mapInArrow(
                 _first_pass(self.settings, kinds), StructType([*inner.fields, document])
             ),
             "periodic-fragments",
@@ -489,10 +505,10 @@ class PeriodicRuns:
         result = StructType([document, StructField("n_words", LongType())]).add(
             "collapsed", "string"
         )
-        plain = self.whole.mapInArrow(_without_runs(self.settings), result)
-        documents = first.where(F.col("kind") == DOCUMENT).select("row", "document")
+        plain = whole.mapInArrow(_without_runs(self.settings), result)
+        documents = first.where(F.col("kind") == DOCUMENT).select("row", "text", "document")
         own = documents.join(self.runs(first), "row", "left").select(
-            F.col("document.text").alias("text"),
+            "text",
             "document",
             F.coalesce("runs", F.array().cast(RUNS)).alias("runs"),
         )
@@ -501,7 +517,7 @@ class PeriodicRuns:
 
     def report(self, key: str = "doc_id") -> DataFrame:
         """One row per document: the key, ``n_words``, ``runs`` and ``collapsed``."""
-        return self._found().select(
+        return self._found([key]).select(
             F.col("document").getField(key).alias(key), "n_words", "runs", "collapsed"
         )
 
@@ -511,4 +527,6 @@ class PeriodicRuns:
             F.col("collapsed").alias(c) if c == "text" else F.col("document").getField(c).alias(c)
             for c in self.docs.columns
         ]
-        return self._found().select(*columns)
+        # A struct needs a field.
+        kept = [c for c in self.docs.columns if c != "text"] or ["text"]
+        return self._found(kept).select(*columns)
