@@ -193,3 +193,30 @@ def test_components(spark, monkeypatch, kind, tail):
     nodes = {x for link in links for x in link} | {9000}
     assert got == connected(nodes, links)
     assert components(df.where("a < -1")).count() == 0
+
+
+def test_a_pair_that_shares_many_shingles_is_made_once(spark, monkeypatch):
+    """Loose copies are not connected by the first turn and share dozens of shingles each."""
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(160)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for at in draw.sample(range(160), 4):
+            words[at] = f"x{draw.randrange(10**9)}"
+        rows.append((i, " ".join(words)))
+    made = []
+    plain = NgramJoin.open_pairs
+
+    def counted(self, *given):
+        pairs = plain(self, *given)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(NgramJoin, "open_pairs", counted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = [tuple(r) for r in NgramJoin(docs).groups().drop("row").collect()]
+    assert sorted(found, key=str) == brute(rows)
+    total = sum(rows for rows, _ in made)
+    assert sum(pairs for _, pairs in made) > 100
+    assert total < 1.5 * sum(pairs for _, pairs in made)
