@@ -99,3 +99,28 @@ def test_sql(spark):
     want = connect(SF_DIR).execute(queries.SQL["op8_line_dedup"]).df()
     assert difference(got, want) is None
     assert duckdb.__version__ and DOC_SCHEMA
+
+
+def test_a_pair_that_shares_many_tokens_is_made_once(spark, monkeypatch):
+    """Loose copies of a long line share many tokens of their prefixes."""
+    draws = random.Random(9)
+    base = [f"w{i}" for i in range(160)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for at in draws.sample(range(160), 4):
+            words[at] = f"x{draws.randrange(10**9)}"
+        rows.append((i, " ".join(words)))
+    made = []
+    plain = LineDedup.near
+
+    def counted(self, left, right):
+        pairs = plain(self, left, right)
+        made.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(LineDedup, "near", counted)
+    assert result(spark, rows)[1] == brute(rows)
+    total, pairs = made[1]  # heads of lists first, then the lists
+    assert pairs > 50
+    assert total < 1.5 * pairs
