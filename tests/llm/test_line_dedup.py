@@ -1,11 +1,14 @@
 import random
+import time
 
 import duckdb
 from check_oracles import connect, difference
+from pyspark.sql import functions as F
 from tests.llm.conftest import DOC_SCHEMA, ODD_ROWS, SF_DIR
 
 from tokenmill.llm import line_dedup, queries, tables
 from tokenmill.llm.line_dedup import LineDedup
+from tokenmill.staging import stage
 
 
 def tokens(line):
@@ -124,3 +127,42 @@ def test_a_pair_that_shares_many_tokens_is_made_once(spark, monkeypatch):
     total, pairs = made[1]  # heads of lists first, then the lists
     assert pairs > 50
     assert total < 1.5 * pairs
+
+
+def shuffled_files(spark):
+    environment = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    files = environment.blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if "/shuffle_" in f and f.endswith(".data")}
+
+
+def left(spark, before):
+    """The new shuffle files once Spark has had some seconds to delete what it wants to."""
+    until = time.time() + 10
+    while (new := shuffled_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return new
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    before = shuffled_files(spark)
+    spread = spark.range(10_000).groupBy((F.col("id") % 5_000).alias("k")).agg(F.sum("id").alias("s"))
+    table = stage(spread, "spread")
+    assert not left(spark, before)
+    assert table.count() == 5_000
+
+
+def test_no_text_is_shuffled_for_the_sets_of_lines(spark, monkeypatch):
+    """Only the documents that hold a line of a pair are cut again."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(200)]
+    rows += [(1000 + i, f"{rows[i][1]} more") for i in range(3)]
+    read = []
+    plain = line_dedup.line_rows
+
+    def counted(docs):
+        read.append(docs.count())
+        return plain(docs)
+
+    monkeypatch.setattr(line_dedup, "line_rows", counted)
+    assert result(spark, rows)[1] == brute(rows)
+    assert read[:2] == [203, 203]  # how rare the tokens are, and the prefixes
+    assert all(n <= 8 for n in read[2:])
